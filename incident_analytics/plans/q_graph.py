@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from incident_analytics.functions import scalar as S
 from incident_analytics.operators import graph, joins
 from incident_analytics.operators.aggregates import distinct_per_group
-from incident_analytics.plans.q_marts import rounded
-from incident_analytics.plans.registry import ev_sql, query
+from incident_analytics.plans.registry import ev_sql, query, r, rounded
 
 _NODES = "nodes AS (SELECT *, concat_ws('|', State, City) AS node FROM ev)"
 
@@ -72,14 +71,14 @@ def _(t):
 
 
 @query("g03_node_risk", ev_sql(
-    "SELECT node, n, round(avg_pred_sev, 4) AS avg_pred_sev FROM risk", _NODES, _RISK))
+    f"SELECT node, n, {r('avg_pred_sev')} AS avg_pred_sev FROM risk", _NODES, _RISK))
 def _(t):
     return rounded(graph.node_risk(_nodes(t), "node", "pred_severity"))
 
 
-@query("g04_edge_risk", ev_sql("""
-SELECT src, dst, cooc, round(s.avg_pred_sev, 4) AS src_avg_sev, round(d.avg_pred_sev, 4) AS dst_avg_sev,
-  round((s.avg_pred_sev + d.avg_pred_sev) / 2, 4) AS edge_risk
+@query("g04_edge_risk", ev_sql(f"""
+SELECT src, dst, cooc, {r('s.avg_pred_sev')} AS src_avg_sev, {r('d.avg_pred_sev')} AS dst_avg_sev,
+  {r('(s.avg_pred_sev + d.avg_pred_sev) / 2')} AS edge_risk
 FROM edges LEFT JOIN risk s ON src = s.node LEFT JOIN risk d ON dst = d.node""", *_TOP_HOUR, _RISK))
 def _(t):
     edges = _top_hour(t)
@@ -87,8 +86,8 @@ def _(t):
     return rounded(joins.attach_edge_risk(edges, risk))
 
 
-@query("g05_hubs_of_top_edges", ev_sql("""
-SELECT node, degree, degree_weighted, n, round(avg_pred_sev, 4) AS avg_pred_sev
+@query("g05_hubs_of_top_edges", ev_sql(f"""
+SELECT node, degree, degree_weighted, n, {r('avg_pred_sev')} AS avg_pred_sev
 FROM hubs LEFT JOIN risk USING (node)""", *_TOP_HOUR, _BOTH, _HUBS.format(3000), _RISK))
 def _(t):
     edges = _top_hour(t)

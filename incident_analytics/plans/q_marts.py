@@ -8,21 +8,15 @@ from incident_analytics.functions import scalar as S
 from incident_analytics.operators import aggregates as A
 from incident_analytics.operators import graph, joins, ranking, sets
 from incident_analytics.plans.q_rows import _POINTS, nation_points
-from incident_analytics.plans.registry import ev_sql, ln_sql, query
-
-
-def rounded(df, digits=4):
-    """Doubles rounded, since engines add up in different orders."""
-    return df.select([F.round(c, digits).alias(c) if kind == "double" else c
-                      for c, kind in df.dtypes])
+from incident_analytics.plans.registry import ev_sql, ln_sql, query, r, rounded
 
 
 # --- marts --------------------------------------------------------------------------------
 
-@query("a01_summary", ln_sql("""
+@query("a01_summary", ln_sql(f"""
 SELECT year, State, Severity, count(*) AS accident_count,
-  round(avg(Distance_mi), 4) AS avg_distance_mi, round(avg(Temperature_F), 4) AS avg_temp_f,
-  round(avg(Humidity_pct), 4) AS avg_humidity_pct, round(avg(Visibility_mi), 4) AS avg_visibility_mi
+  {r('avg(Distance_mi)')} AS avg_distance_mi, {r('avg(Temperature_F)')} AS avg_temp_f,
+  {r('avg(Humidity_pct)')} AS avg_humidity_pct, {r('avg(Visibility_mi)')} AS avg_visibility_mi
 FROM ln GROUP BY ALL"""))
 def summary_mart(t):
     return rounded(A.summary(t.ln(), ["year", "State", "Severity"], {
@@ -30,8 +24,8 @@ def summary_mart(t):
         "avg_humidity_pct": "Humidity_pct", "avg_visibility_mi": "Visibility_mi"}))
 
 
-@query("a02_trend_predicted", ln_sql("""
-SELECT year, month, pred_severity, count(*) AS n, round(avg(pred_conf), 4) AS avg_conf
+@query("a02_trend_predicted", ln_sql(f"""
+SELECT year, month, pred_severity, count(*) AS n, {r('avg(pred_conf)')} AS avg_conf
 FROM ln GROUP BY ALL"""))
 def _(t):
     return rounded(A.trend(t.ln(), "pred_severity", "pred_conf"))
@@ -42,16 +36,16 @@ def _(t):
     return A.trend(t.ln(), "Severity")
 
 
-@query("a04_hotspots_predicted", ev_sql("""
-SELECT State, City, n, round(a, 4) AS avg_pred_sev, round(c, 4) AS avg_conf, round(n * a, 4) AS risk_score
+@query("a04_hotspots_predicted", ev_sql(f"""
+SELECT State, City, n, {r('a')} AS avg_pred_sev, {r('c')} AS avg_conf, {r('n * a')} AS risk_score
 FROM (SELECT State, City, count(*) AS n, avg(pred_severity) AS a, avg(pred_conf) AS c FROM ev GROUP BY ALL)
 ORDER BY n * a DESC, State, City LIMIT 3000"""))
 def _(t):
     return rounded(A.hotspots(t.ev(), "pred_severity", "avg_pred_sev", "pred_conf"))
 
 
-@query("a05_hotspots_actual", ln_sql("""
-SELECT State, City, n, round(a, 4) AS avg_sev, round(n * a, 4) AS risk_score
+@query("a05_hotspots_actual", ln_sql(f"""
+SELECT State, City, n, {r('a')} AS avg_sev, {r('n * a')} AS risk_score
 FROM (SELECT State, City, count(*) AS n, avg(Severity) AS a FROM ln GROUP BY ALL)
 ORDER BY n * a DESC, State, City LIMIT 300"""))
 def _(t):
@@ -105,13 +99,13 @@ _WEIGHTS = """weights AS (
 
 
 @query("a14_class_weights", ev_sql(
-    "SELECT Severity, cnt, round(weight, 6) AS weight FROM weights", _WEIGHTS))
+    f"SELECT Severity, cnt, {r('weight', 6)} AS weight FROM weights", _WEIGHTS))
 def _(t):
     return rounded(A.class_weights(t.ev(), "Severity"), 6)
 
 
-@query("a14_weighted_rows", ev_sql("""
-SELECT ID, CASE WHEN ev.Severity = 4 THEN 1.0 ELSE round(weight, 6) END AS classWeight
+@query("a14_weighted_rows", ev_sql(f"""
+SELECT ID, CASE WHEN ev.Severity = 4 THEN 1.0 ELSE {r('weight', 6)} END AS classWeight
 FROM ev JOIN weights USING (Severity)""", _WEIGHTS))
 def _(t):
     ev = t.events()
@@ -119,9 +113,9 @@ def _(t):
     return rounded(A.with_class_weight(ev, weights, "Severity").select("ID", "classWeight"), 6)
 
 
-@query("a15_mismatch", ev_sql("""
+@query("a15_mismatch", ev_sql(f"""
 SELECT count(*) AS total, count(*) FILTER (s <> pred_severity) AS mismatch,
-  round(count(*) FILTER (s <> pred_severity) * 100.0 / count(*), 6) AS pct
+  {r('count(*) FILTER (s <> pred_severity) * 100.0 / count(*)', 6)} AS pct
 FROM (SELECT nullif(Severity, 4) AS s, pred_severity FROM ev)"""))
 def _(t):
     ev = t.events().withColumn("Severity", F.nullif("Severity", F.lit(4)))
@@ -152,20 +146,20 @@ def _confusion(t):
     return A.confusion(t.events().withColumn("pred_severity", predicted), "Severity", "pred_severity")
 
 
-@query("a17_metrics", ev_sql("""
-SELECT round(sum(hits) / sum(support), 6) AS accuracy,
-  round(sum("precision" * support) / sum(support), 6) AS precision_weighted,
-  round(sum(recall * support) / sum(support), 6) AS recall_weighted,
-  round(sum(f1 * support) / sum(support), 6) AS f1_weighted,
-  round(avg("precision"), 6) AS precision_macro, round(avg(recall), 6) AS recall_macro,
-  round(avg(f1), 6) AS f1_macro FROM scored""", _METRICS))
+@query("a17_metrics", ev_sql(f"""
+SELECT {r('sum(hits) / sum(support)', 6)} AS accuracy,
+  {r('sum("precision" * support) / sum(support)', 6)} AS precision_weighted,
+  {r('sum(recall * support) / sum(support)', 6)} AS recall_weighted,
+  {r('sum(f1 * support) / sum(support)', 6)} AS f1_weighted,
+  {r('avg("precision")', 6)} AS precision_macro, {r('avg(recall)', 6)} AS recall_macro,
+  {r('avg(f1)', 6)} AS f1_macro FROM scored""", _METRICS))
 def _(t):
     return rounded(A.metrics(_confusion(t), "Severity", "pred_severity"), 6)
 
 
-@query("a18_class_metrics", ev_sql("""
-SELECT label, support, hits, round("precision", 6) AS "precision", round(recall, 6) AS recall,
-  round(f1, 6) AS f1 FROM scored""", _METRICS))
+@query("a18_class_metrics", ev_sql(f"""
+SELECT label, support, hits, {r('"precision"', 6)} AS "precision", {r('recall', 6)} AS recall,
+  {r('f1', 6)} AS f1 FROM scored""", _METRICS))
 def _(t):
     return rounded(A.class_metrics(_confusion(t), "Severity", "pred_severity"), 6)
 
@@ -190,9 +184,9 @@ def _risk(t):
     return states.unionByName(graph.node_risk(ln, "City", "Severity"))
 
 
-@query("j01_attach_endpoints", ln_sql("""
-SELECT src, dst, cooc, round(s.avg_pred_sev, 4) AS src_avg_sev, round(d.avg_pred_sev, 4) AS dst_avg_sev,
-  round((s.avg_pred_sev + d.avg_pred_sev) / 2, 4) AS edge_risk
+@query("j01_attach_endpoints", ln_sql(f"""
+SELECT src, dst, cooc, {r('s.avg_pred_sev')} AS src_avg_sev, {r('d.avg_pred_sev')} AS dst_avg_sev,
+  {r('(s.avg_pred_sev + d.avg_pred_sev) / 2')} AS edge_risk
 FROM edges LEFT JOIN risk s ON src = s.node LEFT JOIN risk d ON dst = d.node""", _EDGES))
 def _(t):
     return rounded(joins.attach_edge_risk(_edges(t), _risk(t)))
@@ -202,8 +196,8 @@ _DEGREES = """degrees AS (SELECT node, count(*) AS degree, sum(cooc)::BIGINT AS
   FROM (SELECT src AS node, cooc FROM edges UNION ALL SELECT dst, cooc FROM edges) GROUP BY ALL)"""
 
 
-@query("j02_attach_node_risk", ln_sql("""
-SELECT node, degree, degree_weighted, n, round(avg_pred_sev, 4) AS avg_pred_sev
+@query("j02_attach_node_risk", ln_sql(f"""
+SELECT node, degree, degree_weighted, n, {r('avg_pred_sev')} AS avg_pred_sev
 FROM degrees LEFT JOIN risk USING (node)""", _EDGES, _DEGREES))
 def _(t):
     return rounded(joins.attach_node_risk(graph.degrees(_edges(t)), _risk(t)))

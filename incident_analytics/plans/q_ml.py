@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from incident_analytics import fixed_values as fixed
 from incident_analytics.operators import aggregates as A
 from incident_analytics.operators import ml
-from incident_analytics.plans.q_marts import rounded
-from incident_analytics.plans.registry import ev_sql, ln_sql, query
+from incident_analytics.plans.registry import ev_sql, ln_sql, query, r, rounded
 from incident_analytics.sources import lake
 from incident_analytics.sources.adapters import LINE_ID
 from incident_analytics.sources.scratch import scratch_path
@@ -50,7 +49,7 @@ def _(t):
 @query("m01_index_rows", ev_sql("""
 SELECT ID, coalesce(idx, 4)::DOUBLE AS idx FROM ev LEFT JOIN (
   SELECT weather_bucket, row_number() OVER (ORDER BY count(*) DESC, weather_bucket) - 1 AS idx FROM ev
-  WHERE weather_bucket <> 'view' GROUP BY ALL) USING (weather_bucket)"""))
+  WHERE weather_bucket <> 'view' GROUP BY weather_bucket) USING (weather_bucket)"""))
 def _(t):
     events = t.events().select("ID", "weather_bucket")
     model = ml.indexer("weather_bucket").fit(events.filter("weather_bucket <> 'view'"))
@@ -58,9 +57,10 @@ def _(t):
 
 
 @query("m02_one_hot", ln_sql("""
-SELECT order_id, line_no, part_id, list_transform(range(6), i -> (i = idx)::INT::DOUBLE) AS hot
+SELECT order_id, line_no, part_id, [(idx = 0)::INT::DOUBLE, (idx = 1)::INT::DOUBLE,
+  (idx = 2)::INT::DOUBLE, (idx = 3)::INT::DOUBLE, (idx = 4)::INT::DOUBLE, (idx = 5)::INT::DOUBLE] AS hot
 FROM ln JOIN (SELECT weather_bucket, row_number() OVER (ORDER BY count(*) DESC, weather_bucket) - 1 AS idx
-  FROM ln GROUP BY ALL) USING (weather_bucket)"""))
+  FROM ln GROUP BY weather_bucket) USING (weather_bucket)"""))
 def _(t):
     rows = t.ln().select("order_id", "line_no", "part_id", "weather_bucket")
     stages = Pipeline(stages=[ml.indexer("weather_bucket"), ml.one_hot("weather_bucket")])
@@ -79,15 +79,15 @@ def _(t):
     return out.select("event_id", vector_to_array("features_raw").alias("features"))
 
 
-@query("m04_scale_stats", ln_sql("""
-SELECT round(stddev_samp(Distance_mi), 6) AS Distance_mi, round(stddev_samp(Temperature_F), 6) AS Temperature_F,
-  round(stddev_samp(Visibility_mi), 6) AS Visibility_mi FROM ln"""))
+@query("m04_scale_stats", ln_sql(f"""
+SELECT {r('stddev_samp(Distance_mi)', 6)} AS Distance_mi, {r('stddev_samp(Temperature_F)', 6)} AS Temperature_F,
+  {r('stddev_samp(Visibility_mi)', 6)} AS Visibility_mi FROM ln"""))
 def _(t):
     return rounded(ml.scale_stats(t.ln(), ["Distance_mi", "Temperature_F", "Visibility_mi"]), 6)
 
 
-@query("m04_scaled_rows", """
-SELECT event_id, round(value / (SELECT stddev_samp(value) FROM events), 6) AS scaled FROM events""")
+@query("m04_scaled_rows", f"""
+SELECT event_id, {r('value / (SELECT stddev_samp(value) FROM events)', 6)} AS scaled FROM events""")
 def _(t):
     rows = ml.assembler(ml.Features(numeric=("value",))).transform(t("events"))
     out = ml.scaler().fit(rows).transform(rows)

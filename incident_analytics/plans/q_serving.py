@@ -8,9 +8,8 @@ from incident_analytics.functions import scalar as S
 from incident_analytics.operators import aggregates as A
 from incident_analytics.operators import clean, graph, serving
 from incident_analytics.operators.joins import state_cases, unmatched_states
-from incident_analytics.plans.q_marts import rounded
 from incident_analytics.plans.q_rows import _POINTS, _nation_dim, nation_points
-from incident_analytics.plans.registry import ev_sql, ln_sql, query
+from incident_analytics.plans.registry import ev_sql, ln_sql, query, r, rounded
 
 _TREND = "trend AS (SELECT year, month, Severity, count(*) AS n FROM ln GROUP BY ALL)"
 _WEATHER = "weather AS (SELECT weather_bucket, Severity, count(*) AS n FROM ln GROUP BY ALL)"
@@ -57,14 +56,14 @@ def _(t):
     return serving.peak(_hours(t), "hour")
 
 
-@query("a21_high_share", ln_sql("""
-SELECT round(sum(n) FILTER (Severity >= 3) / sum(n) * 100, 1) AS high_share_pct FROM trend""", _TREND))
+@query("a21_high_share", ln_sql(f"""
+SELECT {r('sum(n) FILTER (Severity >= 3) / sum(n) * 100', 1)} AS high_share_pct FROM trend""", _TREND))
 def _(t):
     return serving.high_share(_trend(t), "Severity")
 
 
-@query("a22_weighted_avg", ln_sql("""
-SELECT round(sum(avg_sev * n) / sum(n), 2) AS weighted_avg FROM hot""", _HOT))
+@query("a22_weighted_avg", ln_sql(f"""
+SELECT {r('sum(avg_sev * n) / sum(n)', 2)} AS weighted_avg FROM hot""", _HOT))
 def _(t):
     return serving.weighted_avg(_hot(t), "avg_sev")
 
@@ -73,8 +72,8 @@ _SHARES = """shares AS (SELECT weather_bucket, sum(n)::BIGINT AS total_n,
   coalesce(sum(n) FILTER (Severity >= 3), 0)::BIGINT AS hi_n FROM weather GROUP BY ALL)"""
 
 
-@query("a23_share_by", ln_sql("""
-SELECT *, round(hi_n / total_n * 100, 4) AS high_sev_share_pct FROM shares
+@query("a23_share_by", ln_sql(f"""
+SELECT *, {r('hi_n / total_n * 100')} AS high_sev_share_pct FROM shares
 ORDER BY hi_n / total_n DESC, weather_bucket LIMIT 4""", _WEATHER, _SHARES))
 def _(t):
     return rounded(serving.share_by(_weather(t), "weather_bucket", "Severity", k=4))
@@ -165,16 +164,16 @@ def _(t):
     return serving.top_by_total(_hot(t), "City")
 
 
-@query("a30_top_entity", ln_sql("""
-SELECT City, round(n * avg_sev, 4) AS risk_score FROM hot ORDER BY n * avg_sev DESC, City, State LIMIT 1""",
+@query("a30_top_entity", ln_sql(f"""
+SELECT City, {r('n * avg_sev')} AS risk_score FROM hot ORDER BY n * avg_sev DESC, City, State LIMIT 1""",
                                 _HOT))
 def _(t):
     scored = _hot(t).withColumn("risk_score", S.risk_score("n", "avg_sev"))
     return rounded(serving.top_entity(scored, "City", "risk_score", ["State"]))
 
 
-@query("a30_ranked_places", ln_sql("""
-SELECT State, City, n, round(avg_sev, 4) AS avg_sev, round(n * avg_sev, 4) AS risk_score FROM hot
+@query("a30_ranked_places", ln_sql(f"""
+SELECT State, City, n, {r('avg_sev')} AS avg_sev, {r('n * avg_sev')} AS risk_score FROM hot
 ORDER BY n * avg_sev DESC, State, City LIMIT 50""", _HOT))
 def _(t):
     return rounded(serving.ranked_places(_hot(t)))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from incident_analytics.sources.adapters import EV_SQL, LN_SQL, Tables
 
@@ -26,6 +27,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
+    """All doubles rounded over a decimal, like `r` in SQL."""
+    def short(c: str) -> Column:
+        return F.round(F.col(c).cast("decimal(30,8)"), digits).cast("double").alias(c)
+
+    return df.select([short(c) if kind == "double" else c for c, kind in df.dtypes])
+
+
 def ev_sql(body: str, *ctes: str) -> str:
     """A query over ev, with further common table expressions between."""
     return f"WITH {', '.join([EV_SQL, *ctes])} {body}"
@@ -35,6 +44,16 @@ def ln_sql(body: str, *ctes: str) -> str:
     return f"WITH {', '.join([LN_SQL, *ctes])} {body}"
 
 
+def r(expr: str, digits: int = 4) -> str:
+    """SQL that rounds a double the way `rounded` does: over a decimal.
+
+    Engines add doubles up in different orders. The decimal removes the last
+    bits before the rounding, so that a value halfway between two results goes
+    the same way in both.
+    """
+    return f"round(({expr})::DECIMAL(30, 8), {digits})::DOUBLE"
+
+
 def values_sql(rows) -> str:
     """Rows as a SQL VALUES list."""
     def literal(v) -> str:
