@@ -16,6 +16,7 @@ has, so that the pair step does not grow with the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,34 +32,39 @@ SPREAD = 64             # sub-partitions of a profile when its first nodes are p
 
 # --- profiles ---------------------------------------------------------------------------
 
-def node_profiles(df: DataFrame, group: str, bucket: str, node: str) -> DataFrame:
-    """Per node: its sorted cells, its groups, and the profile id of the cell set.
+@dataclass(frozen=True)
+class Profiles:
+    """`nodes`: node and profile id. `table`: one row per profile with its sorted
+    cells, its groups, its number of nodes and its first node. Both are written
+    tables, since every graph operator reads them several times.
+    """
+
+    nodes: DataFrame
+    table: DataFrame
+
 
-    Rows are made distinct before the sets are built, so that a set is as long as
-    the number of cells a node occurs in, whatever its number of rows. Null
-    groups and buckets are values of their own. The result feeds several steps
-    and is materialized.
+def node_profiles(df: DataFrame, group: str, bucket: str, node: str) -> Profiles:
+    """Profiles of the nodes of a table. Null groups and buckets are values too.
+
+    Rows are made distinct before the sets are built: a set is then as long as
+    the number of cells a node occurs in, whatever its number of rows.
     """
-    cell = F.to_json(F.array(F.col(group).cast("string"), F.col(bucket).cast("string")))
-    home = F.to_json(F.array(F.col(group).cast("string")))
-    cells = df.select(
-        F.col(node).alias("node"), home.alias("home"), cell.alias("cell")
+    distinct = df.select(
+        F.col(node).alias("node"), F.col(group).cast("string").alias("g"),
+        F.col(bucket).cast("string").alias("b"),
     ).distinct()
-    sets = cells.groupBy("node").agg(
-        F.array_sort(F.collect_set("cell")).alias("cells"),
-        F.array_sort(F.collect_set("home")).alias("homes"),
+    sets = distinct.groupBy("node").agg(
+        F.array_sort(F.collect_set(F.to_json(F.array("g", "b")))).alias("cells"),
+        F.array_sort(F.collect_set(F.to_json(F.array("g")))).alias("homes"),
     )
-    return materialize(sets.withColumn("profile", F.sha2(F.to_json("cells"), 256)), "nodes")
-
-
-def profiles(nodes: DataFrame) -> DataFrame:
-    """One row per profile: its cells and groups, how many nodes, the first node."""
-    return nodes.groupBy("profile").agg(
+    nodes = materialize(sets.withColumn("profile", F.sha2(F.to_json("cells"), 256)), "nodes")
+    table = nodes.groupBy("profile").agg(
         F.first("cells").alias("cells"),
         F.first("homes").alias("homes"),
         F.count(F.lit(1)).alias("size"),
         F.min("node").alias("first_node"),
     )
+    return Profiles(nodes.select("node", "profile"), materialize(table, "profiles"))
 
 
 def _blocked(table: DataFrame) -> DataFrame:
@@ -120,22 +126,21 @@ def _with_edges(pairs: DataFrame) -> DataFrame:
 
 # --- edges ------------------------------------------------------------------------------
 
-def weight_histogram(nodes: DataFrame, min_cooc: int = 1) -> DataFrame:
+def weight_histogram(graph: Profiles, min_cooc: int = 1) -> DataFrame:
     """Number of edges per weight, without forming an edge."""
-    pairs = _with_edges(profile_pairs(profiles(nodes), min_cooc))
+    pairs = _with_edges(profile_pairs(graph.table, min_cooc))
     return pairs.groupBy("cooc").agg(F.sum("edges").alias("n_edges"))
 
 
-def all_edges(nodes: DataFrame, min_cooc: int) -> DataFrame:
+def all_edges(graph: Profiles, min_cooc: int) -> DataFrame:
     """Every edge src, dst, cooc with cooc >= min_cooc, each formed once.
 
     The result is as large as the graph, so use it for a selective threshold;
     `top_edges`, `degrees` and `weight_histogram` do without it.
     """
-    pairs = profile_pairs(profiles(nodes), min_cooc).select("p_profile", "q_profile", "cooc")
-    members = nodes.select("profile", "node")
-    p = members.select(F.col("profile").alias("p_profile"), F.col("node").alias("a"))
-    q = members.select(F.col("profile").alias("q_profile"), F.col("node").alias("b"))
+    pairs = profile_pairs(graph.table, min_cooc).select("p_profile", "q_profile", "cooc")
+    p = graph.nodes.select(F.col("profile").alias("p_profile"), F.col("node").alias("a"))
+    q = graph.nodes.select(F.col("profile").alias("q_profile"), F.col("node").alias("b"))
     return (
         pairs.join(p, "p_profile").join(q, "q_profile")
         .filter(~_same() | (F.col("a") < F.col("b")))
@@ -168,15 +173,14 @@ def _first_nodes(nodes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     within = Window.partitionBy("profile", "spread").orderBy("node")
     overall = Window.partitionBy("profile").orderBy("node")
     return (
-        nodes.select("profile", "node")
-        .join(F.broadcast(wanted), "profile", "left_semi")
+        nodes.join(F.broadcast(wanted), "profile", "left_semi")
         .withColumn("spread", F.pmod(F.xxhash64("node"), F.lit(SPREAD)))
         .withColumn("i", F.row_number().over(within)).filter(F.col("i") <= k).drop("i")
         .withColumn("i", F.row_number().over(overall)).filter(F.col("i") <= k).drop("spread")
     )
 
 
-def top_edges(nodes: DataFrame, min_cooc: int = 2, k: int = 300) -> DataFrame:
+def top_edges(graph: Profiles, min_cooc: int = 2, k: int = 300) -> DataFrame:
     """The `k` heaviest edges with cooc >= min_cooc, ties by src, then dst. Exact.
 
     1. Profile pairs are ranked by weight and by the first edge they hold. A pair
@@ -188,8 +192,7 @@ def top_edges(nodes: DataFrame, min_cooc: int = 2, k: int = 300) -> DataFrame:
 
     All that is formed is bounded by `k`, not by the size of a profile.
     """
-    table = profiles(nodes)
-    useful = table.filter(F.size("cells") >= _assured_weight(table, k))
+    useful = graph.table.filter(F.size("cells") >= _assured_weight(graph.table, k))
     pairs = _with_edges(profile_pairs(useful, min_cooc)).withColumns({
         "low": F.least("p_first_node", "q_first_node"),
         "high": F.greatest("p_first_node", "q_first_node"),
@@ -206,7 +209,8 @@ def top_edges(nodes: DataFrame, min_cooc: int = 2, k: int = 300) -> DataFrame:
         )
 
     ways = oriented("p", "q").unionByName(oriented("q", "p").filter(~F.col("same")))
-    firsts = _first_nodes(nodes, ways.select(F.col("s_profile").alias("profile")).distinct(), k + 1)
+    wanted = ways.select(F.col("s_profile").alias("profile")).distinct()
+    firsts = _first_nodes(graph.nodes, wanted, k + 1)
     src = firsts.select(F.col("profile").alias("s_profile"), F.col("node").alias("src"), "i")
     dst = firsts.select(F.col("profile").alias("d_profile"), F.col("node").alias("dst"))
     i, size = F.col("i"), F.col("d_size")
@@ -234,8 +238,8 @@ def edges_out(edges: DataFrame) -> DataFrame:
 
 # --- degrees and hubs ---------------------------------------------------------------------
 
-def _profile_degrees(nodes: DataFrame, min_cooc: int) -> DataFrame:
-    pairs = profile_pairs(profiles(nodes), min_cooc, mirrored=True)
+def _profile_degrees(graph: Profiles, min_cooc: int) -> DataFrame:
+    pairs = profile_pairs(graph.table, min_cooc, mirrored=True)
     partners = F.col("q_size") - F.when(_same(), 1).otherwise(0)
     return pairs.groupBy(F.col("p_profile").alias("profile")).agg(
         F.min("p_first_node").alias("first_node"),
@@ -244,15 +248,15 @@ def _profile_degrees(nodes: DataFrame, min_cooc: int) -> DataFrame:
     ).filter("degree > 0")
 
 
-def hubs_of_all_edges(nodes: DataFrame, min_cooc: int = 2, k: int = 300) -> DataFrame:
+def hubs_of_all_edges(graph: Profiles, min_cooc: int = 2, k: int = 300) -> DataFrame:
     """Degree and weighted degree over every edge of at least a weight; the top `k`.
 
     All nodes of a profile have the same degrees, so these are summed per profile
     pair. A profile ranked above a node holds a node above it, which makes the
     first `k` profiles enough and bounds the broadcast.
     """
-    best = topk(_profile_degrees(nodes, min_cooc), "degree_weighted", k, ["first_node"])
-    ranked = nodes.select("profile", "node").join(F.broadcast(best), "profile")
+    best = topk(_profile_degrees(graph, min_cooc), "degree_weighted", k, ["first_node"])
+    ranked = graph.nodes.join(F.broadcast(best), "profile")
     return topk(ranked.select("node", "degree", "degree_weighted"), "degree_weighted", k, ["node"])
 
 

@@ -225,8 +225,7 @@ GROUP BY ALL""", """cells AS (
   SELECT DISTINCT State, weather_bucket, concat_ws('|', State, City) AS node FROM ev)"""))
 def _(t):
     ev = t.ev().withColumn("node", S.node_key("State", "City"))
-    nodes = graph.node_profiles(ev, "State", "weather_bucket", "node")
-    return graph.weight_histogram(nodes)
+    return graph.weight_histogram(graph.node_profiles(ev, "State", "weather_bucket", "node"))
 
 
 @query("j07_semi_topk", ln_sql("""

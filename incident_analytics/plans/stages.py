@@ -18,6 +18,7 @@ from incident_analytics.functions import scalar as S
 from incident_analytics.operators import aggregates as A
 from incident_analytics.operators import clean, graph, joins, ml
 from incident_analytics.sources import lake
+from incident_analytics.sources.scratch import materialize
 
 Marts = dict[str, DataFrame]
 
@@ -173,8 +174,8 @@ def write_marts(spark: SparkSession, tables: Marts, out: str, meta: Mapping[str,
 def run_marts(spark: SparkSession, src: str, out: str, k: int = 3000) -> None:
     """Two scans of the scored table for all marts; the cubes go to scratch."""
     scored = lake.read_lake(spark, src)
-    times = graph.materialize(time_cube(scored), "time_cube")
-    places = graph.materialize(place_cube(scored), "place_cube")
+    times = materialize(time_cube(scored), "time_cube")
+    places = materialize(place_cube(scored), "place_cube")
     write_marts(spark, marts(times, places, k), out, {"input": src, "k": k})
 
 
@@ -226,19 +227,19 @@ def graph_rows(df: DataFrame, cfg: GraphConfig) -> DataFrame:
 
 def city_graph(rows: DataFrame, cfg: GraphConfig) -> Marts:
     """Top edges, hubs and communities of the city graph."""
-    nodes = graph.node_profiles(rows, "State", "bucket", "node")
-    edges = graph.materialize(graph.top_edges(nodes, cfg.min_cooc, cfg.top_edges), "edges")
+    profiles = graph.node_profiles(rows, "State", "bucket", "node")
+    edges = materialize(graph.top_edges(profiles, cfg.min_cooc, cfg.top_edges), "edges")
     if not cfg.pruned_hubs:
-        hubs = graph.hubs_of_all_edges(nodes, cfg.min_cooc, cfg.top_hubs)
+        hubs = graph.hubs_of_all_edges(profiles, cfg.min_cooc, cfg.top_hubs)
         hubs = S.split_node(hubs, "node", "State", "City")
         return {
             "top_edges": graph.edges_out(edges),
             "top_hubs_nodes": hubs.select("State", "City", "degree", "degree_weighted"),
             "cities_per_state": A.distinct_per_group(rows, "State", "City", cfg.top_hubs),
         }
-    risk = graph.materialize(
+    risk = materialize(
         graph.node_risk(rows, "node", "pred_severity", only=graph.endpoints(edges)), "risk")
-    hubs = graph.materialize(graph.hubs(edges, risk, cfg.top_hubs), "hubs")
+    hubs = materialize(graph.hubs(edges, risk, cfg.top_hubs), "hubs")
     labels = graph.communities(edges, hubs, cfg.rounds)
     by_weight = [F.desc("cooc"), "src", "dst"]
     return {
