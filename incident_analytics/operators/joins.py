@@ -62,7 +62,8 @@ def semi_topk(df: DataFrame, key: str, weight: str, k: int) -> DataFrame:
     The key list has at most `k` rows, so that it may be broadcast.
     """
     totals = df.groupBy(key).agg(F.sum(weight).alias("_w"))
-    return df.join(F.broadcast(topk(totals, "_w", k, [key]).select(key)), key, "left_semi")
+    top = F.broadcast(topk(totals, "_w", k, [key]).select(key))
+    return df.join(top, key, "left_semi").select(*df.columns)
 
 
 def left_equi(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
