@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from incident_analytics import fixed_values as fixed
@@ -181,31 +181,31 @@ def facets(
     """Values of the three facets with the ones selected at the start.
 
     Years: 2023 and 2022 if 2023 occurs, else the latest. States: the first
-    `default_states` in order. Weather: all.
+    `default_states` in order. Weather: all. One scan finds the combinations
+    that occur; the windows run over the few values of a facet.
     """
-    years = df.select(F.col(year).try_cast("int").alias("y")).dropna().distinct()
-    states = df.select(F.upper(F.col(state).cast("string")).alias("s")).dropna().distinct()
-    kinds = df.select(F.col(weather).cast("string").alias("w")).dropna().distinct()
-
-    newest = years.agg(F.max("y")).scalar()
-    has_2023 = years.filter(F.col("y") == 2023).exists()
-    year_default = F.when(has_2023, F.col("y").isin(2023, 2022)).otherwise(F.col("y") == newest)
-    first_states = states.orderBy("s").limit(default_states)
-    last_default = first_states.agg(F.max("s")).scalar()
-
-    def shaped(part: DataFrame, name: str, c: str, default: Column) -> DataFrame:
-        return part.select(
-            F.lit(name).alias("facet"),
-            F.col(c).cast("string").alias("value"),
-            default.alias("is_default"),
-        )
-
-    return (
-        shaped(years, "year", "y", year_default)
-        .unionByName(shaped(states, "state", "s", F.col("s") <= last_default))
-        .unionByName(shaped(kinds, "weather", "w", F.lit(True)))
-        .orderBy("facet", "value")
+    combos = df.select(
+        F.col(year).try_cast("int").alias("y"),
+        F.upper(F.col(state).cast("string")).alias("s"),
+        F.col(weather).cast("string").alias("w"),
+    ).distinct()
+    pairs = F.array(*[
+        F.struct(F.lit(name).alias("facet"), F.col(c).cast("string").alias("value"))
+        for name, c in (("year", "y"), ("state", "s"), ("weather", "w"))
+    ])
+    values = combos.select(F.inline(pairs)).dropna().distinct()
+
+    facet = Window.partitionBy("facet")
+    years = F.when(F.col("facet") == "year", F.col("value").try_cast("int"))
+    has_2023 = F.max(F.when(years == 2023, 1)).over(facet).isNotNull()
+    default = (
+        F.when(F.col("facet") == "weather", True)
+        .when(F.col("facet") == "state",
+              F.row_number().over(facet.orderBy("value")) <= default_states)
+        .when(has_2023, years.isin(2023, 2022))
+        .otherwise(years == F.max(years).over(facet))
     )
+    return values.withColumn("is_default", default).orderBy("facet", "value")
 
 
 def selected_point(points: DataFrame, states: Sequence[str]) -> DataFrame:

@@ -19,7 +19,8 @@ SELECT year, State, Severity, count(*) AS accident_count,
   {r('avg(Humidity_pct)')} AS avg_humidity_pct, {r('avg(Visibility_mi)')} AS avg_visibility_mi
 FROM ln GROUP BY ALL"""))
 def summary_mart(t):
-    return rounded(A.summary(t.ln(), ["year", "State", "Severity"], {
+    ln = t.ln("year", "State", "Severity", "Distance_mi", "Temperature_F", "Humidity_pct", "Visibility_mi")
+    return rounded(A.summary(ln, ["year", "State", "Severity"], {
         "avg_distance_mi": "Distance_mi", "avg_temp_f": "Temperature_F",
         "avg_humidity_pct": "Humidity_pct", "avg_visibility_mi": "Visibility_mi"}))
 
@@ -28,12 +29,12 @@ def summary_mart(t):
 SELECT year, month, pred_severity, count(*) AS n, {r('avg(pred_conf)')} AS avg_conf
 FROM ln GROUP BY ALL"""))
 def _(t):
-    return rounded(A.trend(t.ln(), "pred_severity", "pred_conf"))
+    return rounded(A.trend(t.ln("year", "month", "pred_severity", "pred_conf"), "pred_severity", "pred_conf"))
 
 
 @query("a03_trend_actual", ln_sql("SELECT year, month, Severity, count(*) AS n FROM ln GROUP BY ALL"))
 def _(t):
-    return A.trend(t.ln(), "Severity")
+    return A.trend(t.ln("year", "month", "Severity"), "Severity")
 
 
 @query("a04_hotspots_predicted", ev_sql(f"""
@@ -49,13 +50,13 @@ SELECT State, City, n, {r('a')} AS avg_sev, {r('n * a')} AS risk_score
 FROM (SELECT State, City, count(*) AS n, avg(Severity) AS a FROM ln GROUP BY ALL)
 ORDER BY n * a DESC, State, City LIMIT 300"""))
 def _(t):
-    return rounded(A.hotspots(t.ln(), "Severity", "avg_sev", k=300))
+    return rounded(A.hotspots(t.ln("State", "City", "Severity"), "Severity", "avg_sev", k=300))
 
 
 def _cross(name, view, sql, a, b):
     @query(name, sql(f"SELECT {a}, {b}, count(*) AS n FROM {view} GROUP BY ALL"))
     def _(t):
-        return A.cross_count(getattr(t, view)(), a, b)
+        return A.cross_count(t.ln(a, b) if view == "ln" else t.events(), a, b)
 
 
 _cross("a06_weather_predicted", "ln", ln_sql, "weather_bucket", "pred_severity")
@@ -82,14 +83,14 @@ def _(t):
 
 @query("a12_labels", ln_sql("SELECT DISTINCT Severity FROM ln"))
 def _(t):
-    return A.labels(t.ln(), "Severity")
+    return A.labels(t.ln("Severity"), "Severity")
 
 
 @query("a13_class_counts", ev_sql("""
 SELECT Severity, count(*) AS cnt, (SELECT count(*) FROM ev) AS total,
   (SELECT count(DISTINCT Severity) FROM ev) AS n_classes FROM ev GROUP BY ALL"""))
 def _(t):
-    return A.class_counts(t.ev(), "Severity")
+    return A.class_counts(t.events(), "Severity")
 
 
 _WEIGHTS = """weights AS (
@@ -101,7 +102,7 @@ _WEIGHTS = """weights AS (
 @query("a14_class_weights", ev_sql(
     f"SELECT Severity, cnt, {r('weight', 6)} AS weight FROM weights", _WEIGHTS))
 def _(t):
-    return rounded(A.class_weights(t.ev(), "Severity"), 6)
+    return rounded(A.class_weights(t.events(), "Severity"), 6)
 
 
 @query("a14_weighted_rows", ev_sql(f"""
@@ -174,14 +175,14 @@ risk AS (
 
 
 def _edges(t):
-    counts = A.cross_count(t.ln(), "State", "City")
+    counts = A.cross_count(t.ln("State", "City"), "State", "City")
     return counts.withColumnsRenamed({"State": "src", "City": "dst", "n": "cooc"})
 
 
 def _risk(t):
-    ln = t.ln()
-    states = graph.node_risk(ln.filter("State <> 'NATION_3'"), "State", "Severity")
-    return states.unionByName(graph.node_risk(ln, "City", "Severity"))
+    known = t.ln("State", "Severity").filter("State <> 'NATION_3'")
+    states = graph.node_risk(known, "State", "Severity")
+    return states.unionByName(graph.node_risk(t.ln("City", "Severity"), "City", "Severity"))
 
 
 @query("j01_attach_endpoints", ln_sql(f"""
@@ -232,7 +233,7 @@ def _(t):
 SELECT order_id, line_no, part_id, City, Distance_mi FROM ln WHERE City IN (
   SELECT City FROM ln GROUP BY City ORDER BY sum(Distance_mi) DESC, City LIMIT 5)"""))
 def _(t):
-    rows = t.ln().select("order_id", "line_no", "part_id", "City", "Distance_mi")
+    rows = t.ln("order_id", "line_no", "part_id", "City", "Distance_mi")
     return joins.semi_topk(rows, "City", "Distance_mi", 5)
 
 
@@ -240,7 +241,7 @@ def _(t):
 
 @query("l01_sort", ln_sql("SELECT year, month, Severity, count(*) AS n FROM ln GROUP BY ALL"))
 def _(t):
-    counts = A.cross_count(t.ln(), "month", "Severity", "year")
+    counts = A.cross_count(t.ln("year", "month", "Severity"), "month", "Severity", "year")
     return ranking.sort_asc(counts.select("year", "month", "Severity", "n"),
                             ["year", "month", "Severity"])
 

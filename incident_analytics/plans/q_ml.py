@@ -23,10 +23,8 @@ _TRAINED: dict[tuple[str, str], ml.Trained] = {}
 
 def lines(t):
     """Order lines with the planted label."""
-    cols = [*LINE_ID, *[c for c in fixed.ML_COLS if c != "Severity"]]
-    ln = t.ln()
-    return ln.select(*[c for c in cols if c in ln.columns],
-                     F.col("pred_severity").alias("Severity"))
+    ln = t.ln(*LINE_ID, "pred_severity", *[c for c in fixed.ML_COLS if c != "Severity"])
+    return ln.withColumnRenamed("pred_severity", "Severity")
 
 
 def trained(t) -> ml.Trained:
@@ -43,7 +41,7 @@ def trained(t) -> ml.Trained:
 SELECT State AS value, (row_number() OVER (ORDER BY count(*) DESC, State) - 1)::INT AS idx
 FROM ln GROUP BY State"""))
 def _(t):
-    return ml.index_map(t.ln(), "State")
+    return ml.index_map(t.ln("State"), "State")
 
 
 @query("m01_index_rows", ev_sql("""
@@ -62,7 +60,7 @@ SELECT order_id, line_no, part_id, [(idx = 0)::INT::DOUBLE, (idx = 1)::INT::DOUB
 FROM ln JOIN (SELECT weather_bucket, row_number() OVER (ORDER BY count(*) DESC, weather_bucket) - 1 AS idx
   FROM ln GROUP BY weather_bucket) USING (weather_bucket)"""))
 def _(t):
-    rows = t.ln().select("order_id", "line_no", "part_id", "weather_bucket")
+    rows = t.ln("order_id", "line_no", "part_id", "weather_bucket")
     stages = Pipeline(stages=[ml.indexer("weather_bucket"), ml.one_hot("weather_bucket")])
     out = stages.fit(rows).transform(rows)
     return out.select("order_id", "line_no", "part_id",
@@ -83,7 +81,7 @@ def _(t):
 SELECT {r('stddev_samp(Distance_mi)', 6)} AS Distance_mi, {r('stddev_samp(Temperature_F)', 6)} AS Temperature_F,
   {r('stddev_samp(Visibility_mi)', 6)} AS Visibility_mi FROM ln"""))
 def _(t):
-    return rounded(ml.scale_stats(t.ln(), ["Distance_mi", "Temperature_F", "Visibility_mi"]), 6)
+    return rounded(ml.scale_stats(t.ln("Distance_mi", "Temperature_F", "Visibility_mi"), ["Distance_mi", "Temperature_F", "Visibility_mi"]), 6)
 
 
 @query("m04_scaled_rows", f"""
@@ -96,7 +94,7 @@ def _(t):
 
 @query("m05_label_index", ln_sql("SELECT DISTINCT Severity, (Severity - 1)::DOUBLE AS label FROM ln"))
 def _(t):
-    rows = t.ln().select("Severity").distinct()
+    rows = t.ln("Severity").distinct()
     return ml.label_indexer("Severity").fit(rows).transform(rows)
 
 

@@ -29,7 +29,8 @@ def _text_ts(c):
     "SELECT State, year, Severity, Distance_mi FROM ln"))
 def _(t):
     return clean.select_existing(
-        t.ln(), ["State", "Pressure_in", "year", "Severity", "Zipcode", "Distance_mi"])
+        t.ln("order_id", "Distance_mi", "year", "State", "Severity"),
+        ["State", "Pressure_in", "year", "Severity", "Zipcode", "Distance_mi"])
 
 
 @query("p02_cast_rename", """
@@ -133,7 +134,7 @@ def _(t):
 @query("p08_label_range", ln_sql(
     "SELECT order_id, line_no, part_id, Severity FROM ln WHERE Severity BETWEEN 1 AND 4"))
 def _(t):
-    return clean.label_range(t.ln().select("order_id", "line_no", "part_id", "Severity"), "Severity")
+    return clean.label_range(t.ln("order_id", "line_no", "part_id", "Severity"), "Severity")
 
 
 @query("p09_clean_key", """
@@ -189,7 +190,7 @@ def _(t):
 SELECT year, State, Severity, count(*) AS n FROM ln
 WHERE year IN (1997, 1998) AND State IN ('NATION_3', 'NATION_7', 'NATION_11') GROUP BY ALL"""))
 def _(t):
-    lower = t.ln().select("year", F.lower("State").alias("State"), "Severity")
+    lower = t.ln("year", "State", "Severity").withColumn("State", F.lower("State"))
     kept = clean.facet_filter(lower, [1997, 1998], ["NATION_3", "NATION_7", "NATION_11"], ["ring"])
     return cross_count(kept, "year", "State", "Severity")
 
@@ -198,7 +199,7 @@ def _(t):
 SELECT weather_bucket, Severity, count(*) AS n FROM ln WHERE weather_bucket IN ('ring', 'other')
 GROUP BY ALL"""))
 def _(t):
-    rows = t.ln().select("weather_bucket", "Severity")
+    rows = t.ln("weather_bucket", "Severity")
     return cross_count(clean.facet_filter(rows, [1997], [], ["ring", "other"]),
                        "weather_bucket", "Severity")
 
@@ -239,12 +240,12 @@ UNION ALL SELECT 'weather', weather_bucket, true FROM (SELECT DISTINCT weather_b
 
 @query("p17_facets", _facets_sql(22, "year IN (2023, 2022)"))
 def _(t):
-    return clean.facets(t.ln().withColumn("year", F.col("year") + 22))
+    return clean.facets(t.ln("year", "State", "weather_bucket").withColumn("year", F.col("year") + 22))
 
 
 @query("p17_facets_latest", _facets_sql(0, "year = (SELECT max(year) FROM ln)"))
 def _(t):
-    return clean.facets(t.ln())
+    return clean.facets(t.ln("year", "State", "weather_bucket"))
 
 
 _POINTS = """points AS (
@@ -338,7 +339,8 @@ SELECT order_id, line_no, part_id, supplier_id, CASE WHEN weather_bucket <> 'rin
 FROM ln"""))
 def _(t):
     end = F.when(F.col("weather_bucket") != "ring", F.col("End_Time_ts"))
-    return t.ln().select(*LINE_ID[:4], S.duration_min("Start_Time_ts", end).alias("minutes"))
+    ln = t.ln(*LINE_ID, "Start_Time_ts", "weather_bucket")
+    return ln.select(*LINE_ID[:4], S.duration_min("Start_Time_ts", end).alias("minutes"))
 
 
 @query("f10_null_outliers", ln_sql("""
@@ -347,7 +349,7 @@ SELECT order_id, line_no, part_id, supplier_id,
 FROM (SELECT *, (epoch(End_Time_ts) - epoch(Start_Time_ts)) / 86400.0 AS days FROM ln)"""))
 def _(t):
     days = S.duration_min("Start_Time_ts", "End_Time_ts") / 1440
-    rows = t.ln().select(*LINE_ID[:4], days.alias("days"))
+    rows = t.ln(*LINE_ID, "Start_Time_ts").select(*LINE_ID[:4], days.alias("days"))
     return rows.withColumn("days", S.null_outliers("days", 0, 365))
 
 
@@ -399,8 +401,9 @@ SELECT order_id, line_no, part_id, CASE WHEN s IS NULL THEN 'unknown' WHEN s <=
   WHEN s = 3 THEN 'medium' ELSE 'high' END AS band
 FROM (SELECT *, nullif(Severity, 5) AS s FROM ln)"""))
 def _(t):
-    return t.ln().select("order_id", "line_no", "part_id",
-                         S.band(F.nullif("Severity", F.lit(5))).alias("band"))
+    ln = t.ln("order_id", "line_no", "part_id", "Severity")
+    return ln.select("order_id", "line_no", "part_id",
+                     S.band(F.nullif("Severity", F.lit(5))).alias("band"))
 
 
 _SPELLED = {"view": "very_high", "click": "med", "signup": " 1.7 ", "purchase": "odd", "error": "4"}
@@ -511,7 +514,8 @@ def _(t):
 SELECT order_id, line_no, part_id, least(nullif(Severity, 1), nullif(pred_severity, 2)) AS low FROM ln"""))
 def _(t):
     low = S.least(F.nullif("Severity", F.lit(1)), F.nullif("pred_severity", F.lit(2)))
-    return t.ln().select("order_id", "line_no", "part_id", low.alias("low"))
+    ln = t.ln("order_id", "line_no", "part_id", "Severity", "pred_severity")
+    return ln.select("order_id", "line_no", "part_id", low.alias("low"))
 
 
 @query("f24_risk_score", ln_sql("""
@@ -519,16 +523,18 @@ SELECT order_id, line_no, part_id, Distance_mi * nullif(Severity, 5) AS risk,
        Distance_mi * coalesce(nullif(Severity, 5), 0) AS risk_filled FROM ln"""))
 def _(t):
     avg = F.nullif("Severity", F.lit(5))
-    return t.ln().select("order_id", "line_no", "part_id",
-                         S.risk_score("Distance_mi", avg).alias("risk"),
-                         S.risk_score("Distance_mi", avg, null_as_zero=True).alias("risk_filled"))
+    ln = t.ln("order_id", "line_no", "part_id", "Severity", "Distance_mi")
+    return ln.select("order_id", "line_no", "part_id",
+                     S.risk_score("Distance_mi", avg).alias("risk"),
+                     S.risk_score("Distance_mi", avg, null_as_zero=True).alias("risk_filled"))
 
 
 @query("f25_edge_risk", ln_sql("""
 SELECT order_id, line_no, part_id, (nullif(Severity, 5) + pred_severity) / 2.0::DOUBLE AS risk FROM ln"""))
 def _(t):
     risk = S.edge_risk(F.nullif("Severity", F.lit(5)), "pred_severity")
-    return t.ln().select("order_id", "line_no", "part_id", risk.alias("risk"))
+    ln = t.ln("order_id", "line_no", "part_id", "Severity", "pred_severity")
+    return ln.select("order_id", "line_no", "part_id", risk.alias("risk"))
 
 
 @query("f26_map_measures", f"""

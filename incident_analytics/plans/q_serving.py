@@ -18,11 +18,11 @@ _HOT = """hot AS (SELECT State, City, count(*) AS n, avg(Severity) AS avg_sev FR
 
 
 def _trend(t):
-    return A.trend(t.ln(), "Severity")
+    return A.trend(t.ln("year", "month", "Severity"), "Severity")
 
 
 def _weather(t):
-    return A.cross_count(t.ln(), "weather_bucket", "Severity")
+    return A.cross_count(t.ln("weather_bucket", "Severity"), "weather_bucket", "Severity")
 
 
 def _hours(t):
@@ -30,7 +30,7 @@ def _hours(t):
 
 
 def _hot(t):
-    return t.ln().groupBy("State", "City").agg(
+    return t.ln("State", "City", "Severity").groupBy("State", "City").agg(
         F.count(F.lit(1)).alias("n"), F.avg("Severity").alias("avg_sev"))
 
 
@@ -138,7 +138,7 @@ SELECT State, City, w, dense_rank() OVER (ORDER BY wa DESC, State)::INT AS State
 FROM (SELECT *, sum(w) OVER (PARTITION BY State) AS wa, sum(w) OVER (PARTITION BY City) AS wb FROM cells)""",
                              _HEAT))
 def _(t):
-    edges = t.ln().withColumn("w", F.col("pred_severity"))
+    edges = t.ln("State", "City", "pred_severity").withColumnRenamed("pred_severity", "w")
     return serving.heatmap(edges, "State", "City", "w", 6, 5)
 
 

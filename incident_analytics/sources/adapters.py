@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from incident_analytics import fixed_values as fixed
 from incident_analytics.functions import scalar as S
+from incident_analytics.operators import clean
 
 EVENT_SEVERITY = {"view": "1", "click": "2", "signup": "2", "purchase": "3", "error": "4"}
 GOODS_RULES = [("widget", "widget"), ("gear", "gear"), ("bolt", "bolt"), ("ring", "ring"),
@@ -51,57 +52,64 @@ class Tables:
             value,
         )
 
+    def _customers(self) -> DataFrame:
+        """Customers with their nation: the small join comes before the fact table."""
+        nation = self("nation").select("n_nationkey", F.col("n_name").alias("State"))
+        customer = self("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+        return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").drop(
+            "c_nationkey", "n_nationkey")
+
     def ev(self) -> DataFrame:
         """Events with State and City of the customer."""
-        nation = self("nation").select("n_nationkey", "n_name")
-        customer = self("customer").select("c_custkey", "c_name", "c_nationkey")
-        placed = (
-            self.events()
-            .join(customer, F.col("user_id") == F.col("c_custkey"), "left")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        )
-        return placed.withColumns({
-            "State": F.coalesce("n_name", F.lit(fixed.UNKNOWN)),
-            "City": F.coalesce("c_name", F.lit(fixed.UNKNOWN)),
-        }).drop("user_id", "c_custkey", "c_name", "c_nationkey", "n_nationkey", "n_name")
-
-    def ln(self) -> DataFrame:
-        """Order lines with order, customer, nation and part."""
-        nation = self("nation").select("n_nationkey", "n_name")
-        customer = self("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-        orders = self("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-        part = self("part").select("p_partkey", "p_name", "p_brand")
-        joined = (
-            self("lineitem")
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        )
+        customer = self._customers().select("c_custkey", "State", F.col("c_name").alias("City"))
+        placed = self.events().join(customer, F.col("user_id") == F.col("c_custkey"), "left")
+        return clean.fill(placed.drop("user_id", "c_custkey"),
+                          {"State": fixed.UNKNOWN, "City": fixed.UNKNOWN})
+
+    def ln(self, *cols: str) -> DataFrame:
+        """Order lines with order, customer, nation and part: the columns asked for.
+
+        All joins are left joins on unique keys, which neither drop nor repeat a
+        line. So a join that no asked column needs is left out, and customers
+        are joined to the orders rather than to the lines: at most two joins
+        move the large table.
+        """
         start = F.col("o_orderdate").cast("timestamp")
-        return joined.select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("line_no"),
-            F.col("l_partkey").alias("part_id"),
-            F.col("l_suppkey").alias("supplier_id"),
-            start.alias("Start_Time_ts"),
-            F.col("l_shipdate").cast("timestamp").alias("End_Time_ts"),
-            F.year(start).alias("year"),
-            S.year_month(start).alias("month"),
-            F.hour(start).alias("hour"),
-            F.col("n_name").alias("State"),
-            F.col("p_brand").alias("City"),
-            F.col("c_mktsegment").alias("County"),
-            F.col("p_name").alias("Weather_Condition"),
-            S.keyword_bucket("p_name", GOODS_RULES).alias("weather_bucket"),
-            F.substring("o_orderpriority", 1, 1).cast("int").alias("Severity"),
-            (F.floor(F.col("l_quantity") / 13) + 1).cast("int").alias("pred_severity"),
-            (F.col("l_tax") * 5 + 0.5).alias("pred_conf"),
-            F.col("l_quantity").alias("Distance_mi"),
-            F.col("l_extendedprice").alias("Temperature_F"),
-            F.col("l_discount").alias("Humidity_pct"),
-            F.col("l_tax").alias("Visibility_mi"),
-        )
+        every = {
+            "order_id": F.col("l_orderkey"),
+            "line_no": F.col("l_linenumber"),
+            "part_id": F.col("l_partkey"),
+            "supplier_id": F.col("l_suppkey"),
+            "Start_Time_ts": start,
+            "End_Time_ts": F.col("l_shipdate").cast("timestamp"),
+            "year": F.year(start),
+            "month": S.year_month(start),
+            "hour": F.hour(start),
+            "State": F.col("State"),
+            "City": F.col("p_brand"),
+            "County": F.col("c_mktsegment"),
+            "Weather_Condition": F.col("p_name"),
+            "weather_bucket": S.keyword_bucket("p_name", GOODS_RULES),
+            "Severity": F.substring("o_orderpriority", 1, 1).cast("int"),
+            "pred_severity": (F.floor(F.col("l_quantity") / 13) + 1).cast("int"),
+            "pred_conf": F.col("l_tax") * 5 + 0.5,
+            "Distance_mi": F.col("l_quantity"),
+            "Temperature_F": F.col("l_extendedprice"),
+            "Humidity_pct": F.col("l_discount"),
+            "Visibility_mi": F.col("l_tax"),
+        }
+        asked = set(cols or every)
+        lines = self("lineitem")
+        if asked & {"Start_Time_ts", "year", "month", "hour", "Severity", "State", "County"}:
+            orders = self("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+            if asked & {"State", "County"}:
+                same = F.col("o_custkey") == F.col("c_custkey")
+                orders = orders.join(self._customers().drop("c_name"), same, "left")
+            lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        if asked & {"City", "Weather_Condition", "weather_bucket"}:
+            part = self("part").select("p_partkey", "p_name", "p_brand")
+            lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        return lines.select(*[c.alias(name) for name, c in every.items() if name in asked])
 
 
 # --- the same views in SQL ------------------------------------------------------------------
@@ -132,5 +140,6 @@ LN_SQL = """ln AS (
          floor(l_quantity / 13)::INT + 1 AS pred_severity, l_tax * 5 + 0.5 AS pred_conf,
          l_quantity AS Distance_mi, l_extendedprice AS Temperature_F,
          l_discount AS Humidity_pct, l_tax AS Visibility_mi
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-       JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey)"""
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+       LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+       LEFT JOIN part ON l_partkey = p_partkey)"""
