@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -76,7 +77,7 @@ def ensure_month_num(df: DataFrame) -> DataFrame:
     """Add month_num from the first source the frame has.
 
     Order: an existing month_num, the "yyyy-MM" month, the parsed start, the
-    start text. With none of them the month is 1.
+    start text. With none of them the month is 1, with a warning.
     """
     cols = df.columns
     if "month_num" in cols:
@@ -88,6 +89,7 @@ def ensure_month_num(df: DataFrame) -> DataFrame:
     elif "Start_Time" in cols:
         month = F.month(parse_ts("Start_Time"))
     else:
+        warnings.warn("no column to take the month from: month_num is 1", stacklevel=2)
         month = F.lit(1)
     return df.withColumn("month_num", month)
 

@@ -55,26 +55,29 @@ def _(t):
 
 
 @query("m02_one_hot", ln_sql("""
-SELECT order_id, line_no, part_id, [(idx = 0)::INT::DOUBLE, (idx = 1)::INT::DOUBLE,
-  (idx = 2)::INT::DOUBLE, (idx = 3)::INT::DOUBLE, (idx = 4)::INT::DOUBLE, (idx = 5)::INT::DOUBLE] AS hot
+SELECT order_id, line_no, part_id, (idx = 0)::INT AS hot0, (idx = 1)::INT AS hot1, (idx = 2)::INT AS hot2,
+  (idx = 3)::INT AS hot3, (idx = 4)::INT AS hot4, (idx = 5)::INT AS hot5
 FROM ln JOIN (SELECT weather_bucket, row_number() OVER (ORDER BY count(*) DESC, weather_bucket) - 1 AS idx
   FROM ln GROUP BY weather_bucket) USING (weather_bucket)"""))
 def _(t):
     rows = t.ln("order_id", "line_no", "part_id", "weather_bucket")
     stages = Pipeline(stages=[ml.indexer("weather_bucket"), ml.one_hot("weather_bucket")])
     out = stages.fit(rows).transform(rows)
+    hot = vector_to_array("weather_bucket_ohe")
     return out.select("order_id", "line_no", "part_id",
-                      vector_to_array("weather_bucket_ohe").alias("hot"))
+                      *[hot[i].cast("int").alias(f"hot{i}") for i in range(6)])
 
 
 @query("m03_assemble", """
-SELECT event_id, [hour(ts)::DOUBLE, CASE WHEN value < 5 THEN 'NaN'::DOUBLE ELSE value END] AS features
-FROM events""")
+SELECT event_id, hour(ts)::DOUBLE AS hour, value < 5 AS missing,
+  CASE WHEN value < 5 THEN -1.0 ELSE value END AS value FROM events""")
 def _(t):
     rows = t("events").select("event_id", F.hour("ts").alias("hour"),
                               F.when(F.col("value") >= 5, F.col("value")).alias("value"))
     out = ml.assembler(ml.Features(numeric=("hour", "value"))).transform(rows)
-    return out.select("event_id", vector_to_array("features_raw").alias("features"))
+    hour, value = (vector_to_array("features_raw")[i] for i in range(2))
+    return out.select("event_id", hour.alias("hour"), F.isnan(value).alias("missing"),
+                      F.nanvl(value, F.lit(-1.0)).alias("value"))
 
 
 @query("m04_scale_stats", ln_sql(f"""

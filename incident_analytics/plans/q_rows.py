@@ -47,10 +47,11 @@ def _(t):
 
 
 @query("p07_ensure_cols", """
-SELECT p_partkey, p_name, NULL::INT AS Severity, NULL::VARCHAR AS State FROM part""")
+SELECT p_partkey, p_name, -1 AS Severity, 'none' AS State FROM part""")
 def _(t):
-    return clean.ensure_cols(t("part").select("p_partkey", "p_name"),
-                             [("p_name", "string"), ("Severity", "int"), ("State", "string")])
+    added = clean.ensure_cols(t("part").select("p_partkey", "p_name"),
+                              [("p_name", "string"), ("Severity", "int"), ("State", "string")])
+    return clean.fill(added, {"Severity": -1, "State": "none"})
 
 
 @query("p15_drop_existing", "SELECT s_suppkey, s_name FROM supplier")

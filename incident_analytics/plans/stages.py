@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from incident_analytics import fixed_values as fixed
 from incident_analytics.functions import scalar as S
 from incident_analytics.operators import aggregates as A
-from incident_analytics.operators import clean, graph, joins, ml
+from incident_analytics.operators import clean, graph, ml
+from incident_analytics.operators.joins import attach_edge_risk
+from incident_analytics.operators.ranking import sample_n, topk
 from incident_analytics.sources import lake
 from incident_analytics.sources.scratch import materialize
 
@@ -105,9 +107,26 @@ def run_train(
     return record
 
 
-def run_score(spark: SparkSession, src: str, model: str, out: str, mode: str = "overwrite") -> None:
-    scored = ml.scored_table(lake.read_lake(spark, src), lake.load_model(model))
-    lake.write_table(scored, out, mode)
+def run_score(
+    spark: SparkSession, src: str, model: str, out: str, mode: str = "overwrite", sample: int = 0
+) -> None:
+    """Score the curated table, or a sample of `sample` rows by id."""
+    curated = lake.read_lake(spark, src)
+    if sample:
+        curated = sample_n(curated, ["ID"], sample, seed=7)
+    lake.write_table(ml.scored_table(curated, lake.load_model(model)), out, mode)
+
+
+def score_report(scored: DataFrame) -> Marts:
+    """How predictions differ from actual severities, over all rows."""
+    return {
+        "mismatch": A.mismatch(scored, "Severity", "pred_severity"),
+        "confusion": A.confusion(scored, "Severity", "pred_severity"),
+    }
+
+
+def run_report(spark: SparkSession, src: str, out: str) -> None:
+    write_marts(spark, score_report(lake.read_lake(spark, src)), out, {"input": src})
 
 
 # --- marts --------------------------------------------------------------------------------------------
@@ -146,7 +165,7 @@ def _hot(cube: DataFrame, k: int, **names: str) -> DataFrame:
     avg = next(iter(names))
     out = cube.select(*PLACE_KEYS, "n", *[F.col(c).alias(name) for name, c in names.items()])
     scored = out.withColumn("risk_score", S.risk_score("n", avg))
-    return joins.topk(scored, "risk_score", k, PLACE_KEYS)
+    return topk(scored, "risk_score", k, PLACE_KEYS)
 
 
 def marts(times: DataFrame, places: DataFrame, k: int = 3000) -> Marts:
@@ -243,7 +262,7 @@ def city_graph(rows: DataFrame, cfg: GraphConfig) -> Marts:
     labels = graph.communities(edges, hubs, cfg.rounds)
     by_weight = [F.desc("cooc"), "src", "dst"]
     return {
-        "top_edges": graph.edges_out(joins.attach_edge_risk(edges, risk)).orderBy(*by_weight),
+        "top_edges": graph.edges_out(attach_edge_risk(edges, risk)).orderBy(*by_weight),
         "top_hubs_nodes": S.split_node(hubs).select(
             "state", "city", "degree", "degree_weighted", "n", "avg_pred_sev"
         ).orderBy(F.desc("degree_weighted"), "state", "city"),
