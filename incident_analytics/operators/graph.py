@@ -10,13 +10,16 @@ pairs are formed only for edges that belong to the result.
     profiles x profiles of one group, in blocks --> weights, degrees, top edges
 
 With 7 weather buckets a group has at most 127 profiles however many nodes it
-has, so that the pair step does not grow with the data.
+has, so that the pair step does not grow with the data. Cells are compared as bit
+masks: a pair costs one AND and one bit count per 64 buckets, and is aggregated
+where it is formed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,21 +29,27 @@ from incident_analytics.operators.clean import clean_key, resolve_col
 from incident_analytics.operators.ranking import topk
 from incident_analytics.sources.scratch import materialize
 
-BLOCK_PROFILES = 1_000  # profiles of one group that one side of a join cell may hold
+BLOCK_PROFILES = 2_000  # profiles of one group that one side of a join cell may hold
 SPREAD = 64             # sub-partitions of a profile when its first nodes are picked
+WORD = 64               # cells of a group that one bigint mask holds
+MAX_WORDS = 16          # masks per profile; groups with more cells compare the sets
 
 
 # --- profiles ---------------------------------------------------------------------------
 
 @dataclass(frozen=True)
 class Profiles:
-    """`nodes`: node and profile id. `table`: one row per profile with its sorted
-    cells, its groups, its number of nodes and its first node. Both are written
-    tables, since every graph operator reads them several times.
+    """Profiles of a node table, as written tables that every operator scans.
+
+    `nodes`: node and profile. `table`: a row per profile with its number `pid`,
+    sorted cells, number of nodes and first node. `groups`: a row per profile and
+    group, with the cells of the group as `words` bit masks.
     """
 
     nodes: DataFrame
     table: DataFrame
+    groups: DataFrame
+    words: int
 
 
 def node_profiles(df: DataFrame, group: str, bucket: str, node: str) -> Profiles:
@@ -54,46 +63,84 @@ def node_profiles(df: DataFrame, group: str, bucket: str, node: str) -> Profiles
         F.col(bucket).cast("string").alias("b"),
     ).distinct()
     sets = distinct.groupBy("node").agg(
-        F.array_sort(F.collect_set(F.to_json(F.array("g", "b")))).alias("cells"),
-        F.array_sort(F.collect_set(F.to_json(F.array("g")))).alias("homes"),
-    )
+        F.array_sort(F.collect_set(F.struct("g", "b"))).alias("cells"))
     nodes = materialize(sets.withColumn("profile", F.sha2(F.to_json("cells"), 256)), "nodes")
     table = nodes.groupBy("profile").agg(
         F.first("cells").alias("cells"),
-        F.first("homes").alias("homes"),
         F.count(F.lit(1)).alias("size"),
         F.min("node").alias("first_node"),
     )
-    return Profiles(nodes.select("node", "profile"), materialize(table, "profiles"))
+    # the number is fixed by writing the table
+    table = materialize(table.withColumn("pid", F.monotonically_increasing_id()), "profiles")
+    groups, words = _masked(table)
+    return Profiles(nodes.select("node", "profile"), table, materialize(groups, "groups"), words)
+
 
+def _masked(table: DataFrame) -> tuple[DataFrame, int]:
+    """Profiles by group with bit masks of their cells, and the number of masks.
 
-def _blocked(table: DataFrame) -> DataFrame:
-    """Profiles by group, with a block number that cuts large groups up."""
-    by_group = table.withColumn("home", F.explode("homes"))
-    sizes = by_group.groupBy("home").agg(
+    A cell's bit is its position among the cells of its group, of which there are
+    as many as buckets. The sets themselves are carried only for profiles that
+    span several groups, and where there are too many buckets for masks.
+    """
+    cells = table.select("pid", F.inline("cells"))
+    in_group = Window.partitionBy("g").orderBy("b")
+    places = cells.select("g", "b").distinct().select(
+        F.col("g").alias("pg"), F.col("b").alias("pb"), (F.row_number().over(in_group) - 1).alias("at"))
+    last = places.agg(F.max("at")).first()[0] or 0
+    words = last // WORD + 1
+    words = words if words <= MAX_WORDS else 0
+
+    same_cell = F.col("g").eqNullSafe(F.col("pg")) & F.col("b").eqNullSafe(F.col("pb"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at") % WORD)
+    masks = [
+        F.coalesce(F.bit_or(F.when(F.floor(F.col("at") / WORD) == w, bit)), F.lit(0).cast("long"))
+        .alias(f"m{w}") for w in range(words)
+    ]
+    placed = cells.join(places, same_cell).groupBy("pid", "g").agg(F.count(F.lit(1)).alias("n"), *masks)
+    homes = F.array_distinct("cells.g")
+    several = F.size(homes) > 1
+    carried = table.select(
+        "pid", "size", "first_node", F.size("cells").alias("n_cells"), several.alias("several"),
+        F.when(several, homes).alias("homes"),
+        F.when(several | F.lit(words == 0), F.col("cells")).alias("cells"),
+    )
+    return placed.drop("n").join(carried, "pid"), words
+
+
+def _blocked(groups: DataFrame) -> DataFrame:
+    """Group rows with a block number that cuts large groups up."""
+    sizes = groups.groupBy(F.col("g").alias("bg")).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_PROFILES)).cast("int").alias("blocks")
     )
-    block = F.pmod(F.xxhash64("profile"), F.col("blocks")).cast("int")
-    return by_group.join(sizes, "home").withColumn("block", block)
+    block = F.pmod(F.xxhash64("pid"), F.col("blocks")).cast("int")
+    joined = groups.join(sizes, F.col("g").eqNullSafe(F.col("bg")))
+    return joined.drop("bg").withColumn("block", block)
 
 
-def profile_pairs(table: DataFrame, min_cooc: int = 1, mirrored: bool = False) -> DataFrame:
+def profile_pairs(
+    graph: Profiles, min_cooc: int = 1, mirrored: bool = False, at_least: Column | None = None
+) -> DataFrame:
     """Pairs of profiles that share at least `min_cooc` cells, with the count as cooc.
 
     Each unordered pair appears once, a profile with itself included, or in both
     orders with `mirrored`. A pair that meets in several groups is taken in the
     first of them. Blocks are joined with blocks, so that a large group becomes
     many join cells; the number of partitions is fixed because the output, not
-    the small input, decides how much work a cell is.
+    the small input, decides how much work a cell is. `at_least` leaves out
+    profiles with fewer cells.
     """
-    blocked = _blocked(table.filter(F.size("cells") >= min_cooc))
-    carried = ["profile", "cells", "homes", "size", "first_node"]
-    meet = ["home", "p_block", "q_block"]
-    parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    enough = F.col("n_cells") >= min_cooc
+    rows = graph.groups.filter(enough if at_least is None else enough & (F.col("n_cells") >= at_least))
+    blocked = _blocked(rows.withColumn("g", F.coalesce(F.concat(F.lit("="), "g"), F.lit(""))))
+    masks = [f"m{w}" for w in range(graph.words)]
+    carried = ["pid", "size", "first_node", "several", "homes", "cells", *masks]
+    meet = ["g", "p_block", "q_block"]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def side(name: str, other: str) -> DataFrame:
         return blocked.select(
-            "home",
+            "g",
             F.col("block").alias(f"{name}_block"),
             F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(f"{other}_block"),
             *[F.col(c).alias(f"{name}_{c}") for c in carried],
@@ -101,20 +148,23 @@ def profile_pairs(table: DataFrame, min_cooc: int = 1, mirrored: bool = False) -
 
     pairs = side("p", "q").join(side("q", "p").hint("shuffle_hash"), meet)
     if not mirrored:
-        pairs = pairs.filter(F.col("p_profile") <= F.col("q_profile"))
-    one_group = (F.size("p_homes") == 1) | (F.size("q_homes") == 1)
-    first_meeting = F.array_min(F.array_intersect("p_homes", "q_homes"))
-    shared = F.size(F.array_intersect("p_cells", "q_cells")).cast("long")
+        pairs = pairs.filter(F.col("p_pid") <= F.col("q_pid"))
+    both_several = F.col("p_several") & F.col("q_several")
+    home = F.coalesce(F.concat(F.lit("="), F.array_min(F.array_intersect("p_homes", "q_homes"))), F.lit(""))
+    cooc = F.size(F.array_intersect("p_cells", "q_cells"))
+    if masks:
+        common = [F.bit_count(F.col(f"p_{m}").bitwiseAND(F.col(f"q_{m}"))) for m in masks]
+        cooc = F.when(both_several, cooc).otherwise(reduce(lambda a, b: a + b, common))
     return (
-        pairs.filter(one_group | (F.col("home") == first_meeting))
-        .select("p_profile", "q_profile", "p_size", "q_size", "p_first_node", "q_first_node",
-                shared.alias("cooc"))
+        pairs.filter(~both_several | (F.col("g") == home))
+        .select("p_pid", "q_pid", "p_size", "q_size", "p_first_node", "q_first_node",
+                cooc.cast("long").alias("cooc"))
         .filter(F.col("cooc") >= min_cooc)
     )
 
 
 def _same() -> Column:
-    return F.col("p_profile") == F.col("q_profile")
+    return F.col("p_pid") == F.col("q_pid")
 
 
 def _with_edges(pairs: DataFrame) -> DataFrame:
@@ -128,7 +178,7 @@ def _with_edges(pairs: DataFrame) -> DataFrame:
 
 def weight_histogram(graph: Profiles, min_cooc: int = 1) -> DataFrame:
     """Number of edges per weight, without forming an edge."""
-    pairs = _with_edges(profile_pairs(graph.table, min_cooc))
+    pairs = _with_edges(profile_pairs(graph, min_cooc))
     return pairs.groupBy("cooc").agg(F.sum("edges").alias("n_edges"))
 
 
@@ -136,13 +186,14 @@ def all_edges(graph: Profiles, min_cooc: int) -> DataFrame:
     """Every edge src, dst, cooc with cooc >= min_cooc, each formed once.
 
     The result is as large as the graph, so use it for a selective threshold;
-    `top_edges`, `degrees` and `weight_histogram` do without it.
+    `top_edges`, `hubs_of_all_edges` and `weight_histogram` do without it.
     """
-    pairs = profile_pairs(graph.table, min_cooc).select("p_profile", "q_profile", "cooc")
-    p = graph.nodes.select(F.col("profile").alias("p_profile"), F.col("node").alias("a"))
-    q = graph.nodes.select(F.col("profile").alias("q_profile"), F.col("node").alias("b"))
+    pairs = profile_pairs(graph, min_cooc).select("p_pid", "q_pid", "cooc")
+    numbered = graph.nodes.join(graph.table.select("profile", "pid"), "profile")
+    p = numbered.select(F.col("pid").alias("p_pid"), F.col("node").alias("a"))
+    q = numbered.select(F.col("pid").alias("q_pid"), F.col("node").alias("b"))
     return (
-        pairs.join(p, "p_profile").join(q, "q_profile")
+        pairs.join(p, "p_pid").join(q, "q_pid")
         .filter(~_same() | (F.col("a") < F.col("b")))
         .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"), "cooc")
     )
@@ -164,16 +215,17 @@ def _assured_weight(table: DataFrame, k: int) -> Column:
     return F.coalesce(reached.agg(F.max("w")).scalar(), F.lit(0))
 
 
-def _first_nodes(nodes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """First `k` nodes of each wanted profile, numbered from 1.
+def _first_nodes(graph: Profiles, pids: DataFrame, k: int) -> DataFrame:
+    """First `k` nodes of each of a bounded number of profiles, numbered from 1.
 
     A profile may hold most of the nodes, so the pick runs in two steps: within
     sub-partitions by node hash, then over what those leave.
     """
-    within = Window.partitionBy("profile", "spread").orderBy("node")
-    overall = Window.partitionBy("profile").orderBy("node")
+    wanted = graph.table.select("pid", "profile").join(F.broadcast(pids), "pid", "left_semi")
+    within = Window.partitionBy("pid", "spread").orderBy("node")
+    overall = Window.partitionBy("pid").orderBy("node")
     return (
-        nodes.join(F.broadcast(wanted), "profile", "left_semi")
+        graph.nodes.join(F.broadcast(wanted), "profile").select("pid", "node")
         .withColumn("spread", F.pmod(F.xxhash64("node"), F.lit(SPREAD)))
         .withColumn("i", F.row_number().over(within)).filter(F.col("i") <= k).drop("i")
         .withColumn("i", F.row_number().over(overall)).filter(F.col("i") <= k).drop("spread")
@@ -192,8 +244,8 @@ def top_edges(graph: Profiles, min_cooc: int = 2, k: int = 300) -> DataFrame:
 
     All that is formed is bounded by `k`, not by the size of a profile.
     """
-    useful = graph.table.filter(F.size("cells") >= _assured_weight(graph.table, k))
-    pairs = _with_edges(profile_pairs(useful, min_cooc)).withColumns({
+    useful = profile_pairs(graph, min_cooc, at_least=_assured_weight(graph.table, k))
+    pairs = _with_edges(useful).withColumns({
         "low": F.least("p_first_node", "q_first_node"),
         "high": F.greatest("p_first_node", "q_first_node"),
     })
@@ -204,20 +256,19 @@ def top_edges(graph: Profiles, min_cooc: int = 2, k: int = 300) -> DataFrame:
 
     def oriented(s: str, d: str) -> DataFrame:
         return best.select(
-            F.col(f"{s}_profile").alias("s_profile"), F.col(f"{d}_profile").alias("d_profile"),
+            F.col(f"{s}_pid").alias("s_pid"), F.col(f"{d}_pid").alias("d_pid"),
             F.col(f"{d}_size").alias("d_size"), "cooc", _same().alias("same"),
         )
 
     ways = oriented("p", "q").unionByName(oriented("q", "p").filter(~F.col("same")))
-    wanted = ways.select(F.col("s_profile").alias("profile")).distinct()
-    firsts = _first_nodes(graph.nodes, wanted, k + 1)
-    src = firsts.select(F.col("profile").alias("s_profile"), F.col("node").alias("src"), "i")
-    dst = firsts.select(F.col("profile").alias("d_profile"), F.col("node").alias("dst"))
+    firsts = _first_nodes(graph, ways.select(F.col("s_pid").alias("pid")).distinct(), k + 1)
+    src = firsts.select(F.col("pid").alias("s_pid"), F.col("node").alias("src"), "i")
+    dst = firsts.select(F.col("pid").alias("d_pid"), F.col("node").alias("dst"))
     i, size = F.col("i"), F.col("d_size")
     smaller_src = F.when(F.col("same"), (i - 1) * size - i * (i - 1) / 2).otherwise((i - 1) * size)
     edges = (
-        src.join(F.broadcast(ways), "s_profile").filter(smaller_src < k)
-        .join(dst, "d_profile").filter(F.col("src") < F.col("dst"))
+        src.join(F.broadcast(ways), "s_pid").filter(smaller_src < k)
+        .join(dst, "d_pid").filter(F.col("src") < F.col("dst"))
         .select("src", "dst", "cooc")
     )
     return topk(edges, "cooc", k, ["src", "dst"])
@@ -239,13 +290,14 @@ def edges_out(edges: DataFrame) -> DataFrame:
 # --- degrees and hubs ---------------------------------------------------------------------
 
 def _profile_degrees(graph: Profiles, min_cooc: int) -> DataFrame:
-    pairs = profile_pairs(graph.table, min_cooc, mirrored=True)
+    """Degree and weighted degree that every node of a profile has."""
+    pairs = profile_pairs(graph, min_cooc, mirrored=True)
     partners = F.col("q_size") - F.when(_same(), 1).otherwise(0)
-    return pairs.groupBy(F.col("p_profile").alias("profile")).agg(
-        F.min("p_first_node").alias("first_node"),
+    sums = pairs.groupBy(F.col("p_pid").alias("pid")).agg(
         F.sum(partners).alias("degree"),
         F.sum(partners * F.col("cooc")).alias("degree_weighted"),
-    ).filter("degree > 0")
+    )
+    return sums.filter("degree > 0").join(graph.table.select("pid", "profile", "first_node"), "pid")
 
 
 def hubs_of_all_edges(graph: Profiles, min_cooc: int = 2, k: int = 300) -> DataFrame:

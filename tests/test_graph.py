@@ -94,6 +94,21 @@ def test_histogram_and_all_edges(case, rows, monkeypatch, block):
         ((s, d, w) for (s, d), w in edges.items() if w >= 2), key=repr)
 
 
+@pytest.mark.parametrize("word, max_words", [(64, 16), (64, 1), (5, 16)])
+def test_many_buckets(spark, rows, monkeypatch, word, max_words):
+    """More buckets than one mask holds, and more than masks are made for."""
+    monkeypatch.setattr(graph, "WORD", word)
+    monkeypatch.setattr(graph, "MAX_WORDS", max_words)
+    rng = random.Random(3)
+    buckets = 70 if word == 64 else 12
+    cells = [(rng.choice("ab"), str(rng.randrange(buckets)), f"n{rng.randrange(25)}") for _ in range(600)]
+    profiles = graph.node_profiles(spark.createDataFrame(cells, "g string, b string, node string"),
+                                   "g", "b", "node")
+    assert profiles.words == {(64, 16): 2, (64, 1): 0, (5, 16): 3}[word, max_words]
+    assert rows(graph.all_edges(profiles, 2)) == sorted(
+        ((s, d, w) for (s, d), w in brute_edges(cells).items() if w >= 2), key=repr)
+
+
 def test_hour_graph_is_not_empty_at_the_default_threshold(spark):
     df = spark.createDataFrame([("TX", h, c) for h in range(24) for c in ("A", "B")],
                                "State string, hour int, City string")
