@@ -118,37 +118,38 @@ def _blocked(groups: DataFrame) -> DataFrame:
     return joined.drop("bg").withColumn("block", block)
 
 
-def profile_pairs(
-    graph: Profiles, min_cooc: int = 1, mirrored: bool = False, at_least: Column | None = None
-) -> DataFrame:
+def profile_pairs(graph: Profiles, min_cooc: int = 1, mirrored: bool = False) -> DataFrame:
     """Pairs of profiles that share at least `min_cooc` cells, with the count as cooc.
 
     Each unordered pair appears once, a profile with itself included, or in both
     orders with `mirrored`. A pair that meets in several groups is taken in the
     first of them. Blocks are joined with blocks, so that a large group becomes
     many join cells; the number of partitions is fixed because the output, not
-    the small input, decides how much work a cell is. `at_least` leaves out
-    profiles with fewer cells.
+    the small input, decides how much work a cell is. A merge join walks a block
+    in memory order and may spill it.
     """
-    enough = F.col("n_cells") >= min_cooc
-    rows = graph.groups.filter(enough if at_least is None else enough & (F.col("n_cells") >= at_least))
+    rows = graph.groups.filter(F.col("n_cells") >= min_cooc)
     blocked = _blocked(rows.withColumn("g", F.coalesce(F.concat(F.lit("="), "g"), F.lit(""))))
     masks = [f"m{w}" for w in range(graph.words)]
     carried = ["pid", "size", "first_node", "several", "homes", "cells", *masks]
     meet = ["g", "p_block", "q_block"]
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def side(name: str, other: str) -> DataFrame:
+    def side(name: str, other: str, first: Column, last: Column) -> DataFrame:
         return blocked.select(
             "g",
             F.col("block").alias(f"{name}_block"),
-            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(f"{other}_block"),
+            F.explode(F.sequence(first, last)).alias(f"{other}_block"),
             *[F.col(c).alias(f"{name}_{c}") for c in carried],
         ).repartition(parts, *meet)
 
-    pairs = side("p", "q").join(side("q", "p").hint("shuffle_hash"), meet)
+    lowest, block, highest = F.lit(0), F.col("block"), F.col("blocks") - 1
+    p = side("p", "q", lowest if mirrored else block, highest)
+    q = side("q", "p", lowest, highest if mirrored else block)
+    pairs = p.join(q.hint("merge"), meet)
     if not mirrored:
-        pairs = pairs.filter(F.col("p_pid") <= F.col("q_pid"))
+        pairs = pairs.filter(
+            (F.col("p_block") < F.col("q_block")) | (F.col("p_pid") <= F.col("q_pid")))
     both_several = F.col("p_several") & F.col("q_several")
     home = F.coalesce(F.concat(F.lit("="), F.array_min(F.array_intersect("p_homes", "q_homes"))), F.lit(""))
     cooc = F.size(F.array_intersect("p_cells", "q_cells"))
@@ -199,20 +200,24 @@ def all_edges(graph: Profiles, min_cooc: int) -> DataFrame:
     )
 
 
-def _assured_weight(table: DataFrame, k: int) -> Column:
-    """A weight that `k` edges are sure to reach, 0 if there is none.
+def _kth_weight(weights: DataFrame, k: int) -> int | None:
+    """Weight of the k-th heaviest edge, from edges per weight; None if there are fewer."""
+    heavier = Window.orderBy(F.desc("cooc")).rowsBetween(Window.unboundedPreceding, 0)
+    upto = weights.withColumn("upto", F.sum("n_edges").over(heavier))  # a row per weight
+    return upto.filter(F.col("upto") >= k).agg(F.max("cooc")).first()[0]
+
 
-    The nodes of one profile share all its cells, which gives edges of that
-    weight without a comparison. A profile with fewer cells can then not be part
-    of the `k` heaviest edges.
+def _weight_cut(graph: Profiles, min_cooc: int, k: int) -> int:
+    """The weight that an edge needs to be among the `k` heaviest.
+
+    A first bound costs no comparison: the nodes of one profile share all its
+    cells, which gives edges of that weight. Profiles with fewer cells cannot be
+    part of the result, and the histogram leaves them out.
     """
-    own = table.groupBy(F.size("cells").alias("w")).agg(
-        F.sum(F.col("size") * (F.col("size") - 1) / 2).alias("edges")
-    )
-    # one row per distinct number of cells
-    heavier = Window.orderBy(F.desc("w")).rowsBetween(Window.unboundedPreceding, 0)
-    reached = own.withColumn("upto", F.sum("edges").over(heavier)).filter(F.col("upto") >= k)
-    return F.coalesce(reached.agg(F.max("w")).scalar(), F.lit(0))
+    own = graph.table.groupBy(F.size("cells").alias("cooc")).agg(
+        F.sum(F.col("size") * (F.col("size") - 1) / 2).alias("n_edges"))
+    sure = max(min_cooc, _kth_weight(own, k) or 0)
+    return max(sure, _kth_weight(weight_histogram(graph, sure), k) or 0)
 
 
 def _first_nodes(graph: Profiles, pids: DataFrame, k: int) -> DataFrame:
@@ -235,24 +240,21 @@ def _first_nodes(graph: Profiles, pids: DataFrame, k: int) -> DataFrame:
 def top_edges(graph: Profiles, min_cooc: int = 2, k: int = 300) -> DataFrame:
     """The `k` heaviest edges with cooc >= min_cooc, ties by src, then dst. Exact.
 
-    1. Profile pairs are ranked by weight and by the first edge they hold. A pair
+    1. The weight of the k-th edge follows from the edges per weight; profiles
+       with fewer cells and lighter pairs are left out.
+    2. Profile pairs are ranked by weight and by the first edge they hold. A pair
        ranked above an edge holds an edge above it, so `k` pairs are enough; one
        more, since for a profile with itself only the src of that edge is known.
-    2. A pair is left out if the pairs of larger weight already hold `k` edges.
     3. Within a pair, an edge cannot be among the first `k` if `k` edges have a
        smaller src, or if `k` nodes of its profile come before its dst.
 
     All that is formed is bounded by `k`, not by the size of a profile.
     """
-    useful = profile_pairs(graph, min_cooc, at_least=_assured_weight(graph.table, k))
-    pairs = _with_edges(useful).withColumns({
+    pairs = _with_edges(profile_pairs(graph, _weight_cut(graph, min_cooc, k))).withColumns({
         "low": F.least("p_first_node", "q_first_node"),
         "high": F.greatest("p_first_node", "q_first_node"),
     })
-    best = topk(pairs, "cooc", k + 1, ["low", "high"])
-    heavier = Window.orderBy(F.desc("cooc")).rangeBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("edges").over(heavier), F.lit(0))  # over k + 1 rows
-    best = materialize(best.withColumn("before", before).filter(F.col("before") < k), "pairs")
+    best = materialize(topk(pairs, "cooc", k + 1, ["low", "high"]), "pairs")
 
     def oriented(s: str, d: str) -> DataFrame:
         return best.select(
