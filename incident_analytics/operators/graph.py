@@ -339,11 +339,11 @@ def node_risk(
 ) -> DataFrame:
     """Rows per node, and the average severity if a column is given.
 
-    `only` limits the work to the nodes of a bounded edge list: rows of other
-    nodes are dropped before the aggregation.
+    `only` limits the work to the nodes of an edge list: rows of other nodes are
+    dropped before the aggregation, by a broadcast where the list is small.
     """
     if only is not None:
-        df = df.join(F.broadcast(only.select(F.col("node").alias(node))), node, "left_semi")
+        df = df.join(only.select(F.col("node").alias(node)), node, "left_semi")
     aggs = [F.count(F.lit(1)).alias("n")]
     if severity is not None:
         aggs.append(F.avg(severity).alias("avg_pred_sev"))

@@ -11,7 +11,7 @@ from oracle import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("tests")
+    return local_session("tests", partitions="3")
 
 
 @pytest.fixture

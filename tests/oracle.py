@@ -16,7 +16,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-def local_session(app: str = "incident-analytics", cpus: str = "8") -> SparkSession:
+def local_session(
+    app: str = "incident-analytics", cpus: str = "8", partitions: str = "8"
+) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName(app)
         .config("spark.driver.host", "127.0.0.1")
@@ -24,7 +26,7 @@ def local_session(app: str = "incident-analytics", cpus: str = "8") -> SparkSess
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
