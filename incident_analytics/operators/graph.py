@@ -200,11 +200,16 @@ def all_edges(graph: Profiles, min_cooc: int) -> DataFrame:
     )
 
 
-def _kth_weight(weights: DataFrame, k: int) -> int | None:
-    """Weight of the k-th heaviest edge, from edges per weight; None if there are fewer."""
+def _kth_weight(weights: DataFrame, k: int) -> tuple[int, int]:
+    """Weight of the k-th heaviest edge, from edges per weight, and the largest weight.
+
+    0 stands for a weight that no edge has.
+    """
     heavier = Window.orderBy(F.desc("cooc")).rowsBetween(Window.unboundedPreceding, 0)
     upto = weights.withColumn("upto", F.sum("n_edges").over(heavier))  # a row per weight
-    return upto.filter(F.col("upto") >= k).agg(F.max("cooc")).first()[0]
+    kth = F.max(F.when(F.col("upto") >= k, F.col("cooc")))
+    row = upto.agg(kth.alias("kth"), F.max("cooc").alias("largest")).first()
+    return row["kth"] or 0, row["largest"] or 0
 
 
 def _weight_cut(graph: Profiles, min_cooc: int, k: int) -> int:
@@ -212,12 +217,16 @@ def _weight_cut(graph: Profiles, min_cooc: int, k: int) -> int:
 
     A first bound costs no comparison: the nodes of one profile share all its
     cells, which gives edges of that weight. Profiles with fewer cells cannot be
-    part of the result, and the histogram leaves them out.
+    part of the result, and the histogram leaves them out; there is nothing to
+    compare if no profile has more cells than the bound.
     """
     own = graph.table.groupBy(F.size("cells").alias("cooc")).agg(
         F.sum(F.col("size") * (F.col("size") - 1) / 2).alias("n_edges"))
-    sure = max(min_cooc, _kth_weight(own, k) or 0)
-    return max(sure, _kth_weight(weight_histogram(graph, sure), k) or 0)
+    kth, most_cells = _kth_weight(own, k)
+    sure = max(min_cooc, kth)
+    if sure >= most_cells:
+        return sure
+    return max(sure, _kth_weight(weight_histogram(graph, sure), k)[0])
 
 
 def _first_nodes(graph: Profiles, pids: DataFrame, k: int) -> DataFrame:

@@ -8,6 +8,7 @@ from incident_analytics.functions import scalar as S
 from incident_analytics.operators import graph, joins
 from incident_analytics.operators.aggregates import distinct_per_group
 from incident_analytics.plans.registry import ev_sql, query, r, rounded
+from incident_analytics.sources.scratch import materialize
 
 _NODES = "nodes AS (SELECT *, concat_ws('|', State, City) AS node FROM ev)"
 
@@ -41,7 +42,8 @@ def _profiles(t, mode="hour"):
 
 
 def _top_hour(t):
-    return graph.top_edges(_profiles(t), 2, 3000)
+    """Top edges as a written table, for the steps that read them more than once."""
+    return materialize(graph.top_edges(_profiles(t), 2, 3000), "edges")
 
 
 # --- co-occurrence ---------------------------------------------------------------------------
@@ -54,7 +56,7 @@ def _(t):
 
 @query("g02_top_edges_hour", ev_sql("FROM edges", *_TOP_HOUR))
 def _(t):
-    return _top_hour(t)
+    return graph.top_edges(_profiles(t), 2, 3000)
 
 
 @query("g02_top_edges_weather", ev_sql("FROM edges", *_top_sql("weather_bucket", 2, 300)))
@@ -124,7 +126,7 @@ _LABELS = [*_top_sql("hour", 3, 300), _BOTH, _HUBS.format(100), *_rounds_sql(8)]
 
 
 def _labels(t):
-    edges = graph.top_edges(_profiles(t), 3, 300)
+    edges = materialize(graph.top_edges(_profiles(t), 3, 300), "edges")
     return graph.communities(edges, graph.hubs(edges, k=100), 8)
 
 
