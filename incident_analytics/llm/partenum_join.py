@@ -246,6 +246,7 @@ def join(df: DataFrame, n: int, similarity: Fraction, key: str = "doc_id", text:
 
     # Sets that share a signature; a signature's rows are reduced to their least and greatest set.
     passed = written(rows.mapInArrow(lambda b: signed(b, shared_sieve.value), "signature long, set long").distinct(), f"{folder}/signed")
+    shared_sieve.destroy()
     shared = passed.groupBy("signature").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least <> most")
     candidates = passed.join(shared.select("signature", "least"), "signature").where("set <> least").select(
         F.col("set").alias("a"), F.col("least").alias("b"))
@@ -279,6 +280,7 @@ def join(df: DataFrame, n: int, similarity: Fraction, key: str = "doc_id", text:
         return pd.DataFrame(_links(pdf["set"].to_numpy(), list(pdf["shingles"]), similarity), columns=["a", "b"]).astype("int64")
 
     links = written(dealt.select("group", "low", "high", "set", "shingles").groupBy("group", "low", "high").applyInPandas(linked, "a long, b long"), f"{folder}/links")
+    id_sieve.destroy()
     # The roots of sets become the least keys of their documents.
     roots = components(links, f"{folder}/components").select(F.col("node").alias("set"), "root")
     least = ids.join(roots, "set", "left").select("set", F.coalesce("root", "set").alias("root"), "id")

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITS = 26
+BITS = 25
 
 
 def sieve_of(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
@@ -19,9 +19,9 @@ def sieve_of(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
     place = x.bitwiseXOR(F.shiftrightunsigned(x, bits)).bitwiseAND(F.lit((1 << bits) - 1))
     words = df.select(F.shiftright(place, 6).cast("int").alias("word"), place.alias("place"))
     words = words.select("word", F.expr("shiftleft(1L, cast(place & 63L as int))").alias("bit"))
-    found = words.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toPandas()  # at most 2 ** (bits - 6) rows
+    found = words.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toArrow()  # at most 2 ** (bits - 6) rows
     sieve = np.zeros(1 << (bits - 6), dtype=np.uint64)
-    sieve[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    sieve[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return sieve
 
 
