@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from incident_analytics.functions.scalar import risk_score
-from incident_analytics.operators.ranking import topk
+from incident_analytics.operators.ranking import class_table, topk
 
 
 def _n(name: str = "n") -> Column:
@@ -102,7 +102,7 @@ def with_class_weight(
 ) -> DataFrame:
     """Attach each row's class weight; 1.0 for a class the table does not have."""
     table = weights.select(c, F.col("weight").alias(name))
-    return df.join(table, c, "left").withColumn(name, F.coalesce(name, F.lit(1.0)))
+    return df.join(F.broadcast(class_table(table)), c, "left").withColumn(name, F.coalesce(name, F.lit(1.0)))
 
 
 # --- evaluation --------------------------------------------------------------------------

@@ -12,7 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH_RANGE = 2**32
-DIRECT_SAMPLE_ROWS = 20_000
+HASH_DIGITS = 32
+PREFIX_DIGITS = 4
+BAND_ROWS = 1000
+MAX_CLASSES = 10_000
 
 
 def sort_asc(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,29 +50,30 @@ def below(keys: Sequence[str], seed: int, fraction: float) -> Column:
 
 # --- sampling -------------------------------------------------------------------------
 
-def sample_n(
-    df: DataFrame, keys: Sequence[str], n: int, seed: int, direct: int = DIRECT_SAMPLE_ROWS
-) -> DataFrame:
+def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFrame:
     """Exactly `n` rows (all of them if there are fewer), chosen by key hash.
 
-    Up to `direct` rows this is a top-k. Above it no task may hold the sample:
-    rows are counted per 4-digit hash prefix, whole prefixes are kept by a plain
-    filter, and only the one prefix that crosses `n` is sorted.
+    Rows are counted per hash prefix; the prefix that crosses `n` is made longer by
+    `PREFIX_DIGITS` until few rows have it (or the hash ends, for rows with equal keys).
+    Rows below it are kept by a plain filter, and only that band is sorted. A count has
+    at most 16 ** PREFIX_DIGITS rows, whatever the table holds.
     """
+    if n <= 0:
+        return df.limit(0)
     order = key_hash(keys, seed)
-    if n <= direct:
-        return df.orderBy(order, *keys).limit(n)
-
-    prefix = F.substring(order, 1, 4)
-    # at most 65,536 rows whatever the table holds
-    counts = df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c"))
-    upto = F.sum("c").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, 0))
-    edge = counts.withColumn("upto", upto).filter(F.col("upto") > n).orderBy("p").first()
-    if edge is None:
-        return df
-    whole = df.filter(prefix < edge["p"])
-    rest = df.filter(prefix == edge["p"]).orderBy(order, *keys)
-    return whole.unionByName(rest.limit(n - (edge["upto"] - edge["c"])))
+    band, missing, edge = "", n, None
+    while len(band) < HASH_DIGITS and (edge is None or edge["c"] > BAND_ROWS):
+        digits = F.substring(order, len(band) + 1, PREFIX_DIGITS)
+        inside = df.filter(F.substring(order, 1, len(band)) == band) if band else df
+        counts = inside.groupBy(digits.alias("p")).agg(F.count(F.lit(1)).alias("c"))
+        upto = F.sum("c").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, 0))
+        edge = counts.withColumn("upto", upto).filter(F.col("upto") >= missing).orderBy("p").first()
+        if edge is None:
+            return df
+        band, missing = band + edge["p"], missing - (edge["upto"] - edge["c"])
+    prefix = F.substring(order, 1, len(band))
+    rest = df.filter(prefix == band).orderBy(order, *keys)
+    return df.filter(prefix < band).unionByName(rest.limit(missing))
 
 
 def stratified_split(
@@ -94,6 +98,13 @@ def stratified_split(
     return df.filter(~in_test), df.filter(in_test)
 
 
+def class_table(table: DataFrame) -> DataFrame:
+    """A table with one row per class, checked to have few of them, so that it may be broadcast."""
+    if table.limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes: {table.columns[0]} is no label")
+    return table
+
+
 def downsample_fractions(df: DataFrame, label: str, ratio: float = 8.0) -> DataFrame:
     """Per class: rows, and the fraction that leaves `ratio` x the smallest class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("cnt"))
@@ -108,7 +119,7 @@ def downsample(
     """Thin the classes larger than `ratio` x the smallest one down to that size."""
     fractions = downsample_fractions(df, label, ratio).select(label, "fraction")
     return (
-        df.join(fractions, label)
+        df.join(F.broadcast(class_table(fractions)), label)
         .filter(hash_fraction(keys, seed) < F.col("fraction"))
         .select(*df.columns)
     )

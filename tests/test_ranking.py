@@ -19,10 +19,27 @@ def test_topk_ties_and_nulls(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 777, 4999, 5000, 9000])
-def test_distributed_sample_equals_the_direct_one(numbers, n):
-    direct = ranking.sample_n(numbers, ["id"], n, seed=3)
-    spread = ranking.sample_n(numbers, ["id"], n, seed=3, direct=-1)
-    assert ids(spread) == ids(direct) and len(ids(direct)) == min(n, 5000)
+def test_sample_equals_the_first_rows_by_hash(numbers, n, monkeypatch):
+    direct = numbers.orderBy(ranking.key_hash(["id"], 3), "id").limit(n)
+    sample = ranking.sample_n(numbers, ["id"], n, seed=3)
+    assert ids(sample) == ids(direct) and len(ids(sample)) == min(n, 5000)
+    monkeypatch.setattr(ranking, "PREFIX_DIGITS", 1)
+    monkeypatch.setattr(ranking, "BAND_ROWS", 2)  # several rounds
+    assert ids(ranking.sample_n(numbers, ["id"], n, seed=3)) == ids(direct)
+
+
+def test_sample_of_equal_keys_has_its_size(spark):
+    same = spark.range(40).select(F.lit(1).alias("id"))
+    assert ranking.sample_n(same, ["id"], 7, seed=1).count() == 7
+
+
+def test_class_fractions_are_broadcast(numbers, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        plan = ranking.downsample(numbers, "rare", ["id"], 2.5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_sample_does_not_depend_on_layout(numbers):
