@@ -37,7 +37,7 @@ def parser() -> argparse.ArgumentParser:
         options = {"action": kind} if kind else {"type": type(field.default)}
         stage["train"].add_argument(flag, default=field.default, **options)
     for name in ("graph", "graph-export"):
-        for arg in ("bucket-mode", "min-cooc", "top-edges", "top-hubs", "rounds"):
+        for arg in ("bucket-mode", "min-cooc", "bipartite-min-cooc", "top-edges", "top-hubs", "top-cities", "rounds"):
             stage[name].add_argument(f"--{arg}", type=str if arg == "bucket-mode" else int)
     return top
 

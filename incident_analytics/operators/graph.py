@@ -366,9 +366,12 @@ def endpoints(edges: DataFrame) -> DataFrame:
 
 # --- communities -----------------------------------------------------------------------------
 
-def communities(edges: DataFrame, hub_nodes: DataFrame, rounds: int = 8) -> DataFrame:
+def communities(edges: DataFrame, hub_nodes: DataFrame, rounds: int | None = 8) -> DataFrame:
     """Smallest label reached within `rounds` steps inside the hub graph.
 
+    A fixed number of rounds need not finish: on a path of more nodes than rounds
+    several labels stay. None goes on until no label changes; 0 gives own names.
+
     Every hub starts with its own name and takes the least of its own and its
     neighbours' labels in each round. A loop edge per hub stands for its own
     label, so that a round reads the labels once: the plan grows linearly, with
@@ -381,12 +384,23 @@ def communities(edges: DataFrame, hub_nodes: DataFrame, rounds: int = 8) -> Data
     loops = hub.select(F.col("node").alias("u"), F.col("node").alias("v"))
     graph = materialize(links.select("u", "v").unionByName(loops), "links")
 
+    if rounds == 0:
+        return hub.select("node", F.col("node").alias("label"))
     labels = graph.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("label"))
-    for _ in range(rounds - 1):
-        labels = (
-            graph.join(labels, "v").groupBy("u").agg(F.min("label").alias("label"))
+
+    def spread(before: DataFrame) -> DataFrame:
+        return (
+            graph.join(before, "v").groupBy("u").agg(F.min("label").alias("label"))
             .withColumnRenamed("u", "v")
         )
+
+    if rounds is None:
+        before, labels = None, materialize(labels, "labels")
+        while before is None or not labels.exceptAll(before).isEmpty():
+            before, labels = labels, materialize(spread(labels), "labels")
+    else:
+        for _ in range(rounds - 1):
+            labels = spread(labels)
     return labels.select(F.col("v").alias("node"), "label")
 
 

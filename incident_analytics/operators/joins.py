@@ -64,7 +64,3 @@ def semi_topk(df: DataFrame, key: str, weight: str, k: int) -> DataFrame:
     totals = df.groupBy(key).agg(F.sum(weight).alias("_w"))
     top = F.broadcast(topk(totals, "_w", k, [key]).select(key))
     return df.join(top, key, "left_semi").select(*df.columns)
-
-
-def left_equi(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
-    return a.join(b, list(on), "left")

@@ -16,6 +16,10 @@ from incident_analytics.functions.scalar import risk_score, severity_label, seve
 from incident_analytics.operators.clean import facet_filter, number, resolve_col
 from incident_analytics.operators.joins import semi_topk
 from incident_analytics.operators.ranking import topk
+from incident_analytics.sources.scratch import materialize
+
+
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
 
 
 def _sum(n: str) -> Column:
@@ -23,6 +27,13 @@ def _sum(n: str) -> Column:
     return F.sum(number(n, fill0=True))
 
 
+def _total(df: DataFrame, n: str) -> Column:
+    """`_sum` as a long; integers are added up as they are, so large totals stay exact."""
+    if dict(df.dtypes)[n] in INTEGERS:
+        return F.sum(F.coalesce(F.col(n), F.lit(0)).cast("long"))
+    return _sum(n).cast("long")
+
+
 def _high(severity: str) -> Column:
     return number(severity) >= 3
 
@@ -35,12 +46,12 @@ def _high_sum(severity: str, n: str) -> Column:
 
 def kpi_total(df: DataFrame, n: str = "n") -> DataFrame:
     """Total cases; 0 for no rows."""
-    return df.agg(F.coalesce(_sum(n), F.lit(0.0)).cast("long").alias("total_cases"))
+    return df.agg(F.coalesce(_total(df, n), F.lit(0)).cast("long").alias("total_cases"))
 
 
 def peak(df: DataFrame, key: str, n: str = "n") -> DataFrame:
     """The key with the largest summed n; ties go to the smallest key."""
-    totals = df.groupBy(key).agg(_sum(n).cast("long").alias("total"))
+    totals = df.groupBy(key).agg(_total(df, n).alias("total"))
     return topk(totals, "total", 1, [key])
 
 
@@ -63,7 +74,7 @@ def high_and_total(df: DataFrame, key: str, severity: str, n: str = "n") -> Data
     one scan and one shuffle.
     """
     return df.groupBy(key).agg(
-        _sum(n).cast("long").alias("total_n"), _high_sum(severity, n).cast("long").alias("hi_n")
+        _total(df, n).alias("total_n"), _high_sum(severity, n).cast("long").alias("hi_n")
     )
 
 
@@ -94,7 +105,7 @@ def pivot_severity(df: DataFrame, keys: Sequence[str], severity: str, n: str = "
     return (
         labelled.filter(F.col("_label").isNotNull())
         .groupBy(*keys).pivot("_label", fixed.SEVERITY_LABELS)
-        .agg(_sum(n).cast("long"))
+        .agg(_total(df, n))
         .fillna(0, subset=fixed.SEVERITY_LABELS)
     )
 
@@ -112,27 +123,34 @@ def severity_series(df: DataFrame, x: str, severity: str, n: str = "n") -> DataF
 
 
 def total_series(df: DataFrame, x: str, n: str = "n") -> DataFrame:
-    return df.groupBy(x).agg(_sum(n).cast("long").alias("total")).orderBy(x)
+    return df.groupBy(x).agg(_total(df, n).alias("total")).orderBy(x)
 
 
 def top_by_total(df: DataFrame, key: str, n: str = "n", k: int = 10) -> DataFrame:
     """The `k` keys with the largest summed n."""
-    totals = df.groupBy(key).agg(_sum(n).cast("long").alias("total"))
+    totals = df.groupBy(key).agg(_total(df, n).alias("total"))
     return topk(totals, "total", k, [key])
 
 
 def ranked_places(df: DataFrame, k: int = 50) -> DataFrame:
-    """Hotspot rows by risk; the score is computed where the mart has none."""
+    """Hotspot rows by risk; the score is computed where the mart has none.
+
+    Without risk and average they go by cases, without cases by place.
+    """
     risk = resolve_col(df, fixed.RISK_NAMES)
     if risk is None:
         avg, n = resolve_col(df, fixed.AVG_SEVERITY_NAMES), resolve_col(df, fixed.COUNT_NAMES)
         if avg is None or n is None:
-            return df.limit(k)
+            by = [number(n).desc_nulls_last()] if n else []
+            return df.orderBy(*by, *(_place_columns(df) or ([] if n else df.columns))).limit(k)
         risk = "risk_score"
         df = df.withColumn(risk, risk_score(number(n), number(avg), null_as_zero=True))
+    return topk(df.withColumn(risk, number(risk)), risk, k, _place_columns(df))
+
+
+def _place_columns(df: DataFrame) -> list[str]:
     places = [resolve_col(df, names) for names in (fixed.STATE_NAMES, fixed.CITY_NAMES)]
-    ties = [c for c in places if c]
-    return topk(df.withColumn(risk, number(risk)), risk, k, ties)
+    return [c for c in places if c]
 
 
 def top_entity(df: DataFrame, name: str, by: str, ties: Sequence[str] = ()) -> DataFrame:
@@ -155,12 +173,13 @@ def _ordered_pairs(pairs: DataFrame, a: str, b: str, w: str) -> DataFrame:
 def heatmap(df: DataFrame, a: str, b: str, w: str, ka: int = 15, kb: int = 12) -> DataFrame:
     """Pair sums of the top `ka` a-values and the top `kb` b-values among their rows.
 
-    Pair sums come first, so that both rankings and the cells read the small
-    aggregate. At most ka x kb cells, with their axis positions.
+    Pair sums are written first, so that both rankings and the cells read the small
+    aggregate and the facts are scanned once. At most ka x kb cells, with their axis positions.
     """
     sums = df.groupBy(F.col(a).cast("string").alias(a), F.col(b).cast("string").alias(b)).agg(
-        _sum(w).cast("long").alias(w)
+        _total(df, w).alias(w)
     )
+    sums = materialize(sums, "pairs")
     cells = semi_topk(semi_topk(sums, a, w, ka), b, w, kb)
     return _ordered_pairs(cells, a, b, w)
 
@@ -170,8 +189,8 @@ def heatmap_hour(df: DataFrame, city: str, hour: str, w: str, k: int = 15) -> Da
     hours = F.floor(number(hour)).cast("int")
     sums = df.filter(number(hour).isNotNull()).groupBy(
         F.col(city).cast("string").alias(city), hours.alias(hour)
-    ).agg(_sum(w).cast("long").alias(w))
-    return semi_topk(sums, city, w, k)
+    ).agg(_total(df, w).alias(w))
+    return semi_topk(materialize(sums, "pairs"), city, w, k)
 
 
 def shown_edges(

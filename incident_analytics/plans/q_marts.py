@@ -267,7 +267,7 @@ def _(t):
 SELECT event_id, value FROM events ORDER BY {_MD5.format(13)}, event_id LIMIT 700""")
 def _(t):
     rows = t("events").select("event_id", "value")
-    return ranking.sample_n(rows, ["event_id"], 700, seed=13, direct=100)
+    return ranking.sample_n(rows, ["event_id"], 700, seed=13)
 
 
 @query("l05_stratified_split", f"""

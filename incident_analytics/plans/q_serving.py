@@ -196,22 +196,22 @@ def _(t):
 
 # --- edges ------------------------------------------------------------------------------------------
 
+_STATES = ["NATION_2", "NATION_5", "NATION_17"]
 _SHOWN = """shown AS (SELECT State AS src, hour::VARCHAR AS dst, count(*) AS cooc FROM ev
-  WHERE weather_bucket <> 'view' GROUP BY ALL ORDER BY cooc DESC, src, dst LIMIT 50)"""
+  WHERE State IN ('NATION_2', 'NATION_5', 'NATION_17') GROUP BY ALL ORDER BY cooc DESC, src, dst LIMIT 50)"""
 
 
 def _state_hour(t):
-    rows = t.ev().filter("weather_bucket <> 'view'")
-    return graph.bipartite(rows, "State", "hour", 1, 3000)
+    return graph.bipartite(t.ev(), "State", "hour", 1, 3000).withColumn("src_state", F.col("src"))
 
 
 @query("g11_edge_kpis", ev_sql("""
 SELECT count(*) AS n_edges, max(cooc)::DOUBLE AS strongest, count(DISTINCT src) AS n_src,
   count(DISTINCT dst) AS n_dst FROM shown""", _SHOWN))
 def _(t):
-    return serving.edge_kpis(_state_hour(t), weather=["rain"])
+    return serving.edge_kpis(_state_hour(t), states=_STATES)
 
 
 @query("g11_shown_edges", ev_sql("SELECT src, dst, cooc::DOUBLE AS cooc FROM shown", _SHOWN))
 def _(t):
-    return serving.shown_edges(_state_hour(t))
+    return serving.shown_edges(_state_hour(t), states=_STATES).select("src", "dst", "cooc")

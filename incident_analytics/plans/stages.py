@@ -77,7 +77,7 @@ def ml_table(curated: DataFrame) -> DataFrame:
 
 
 def run_ingest(spark: SparkSession, csv: str, out: str) -> None:
-    lake.write_lake(ingest(lake.read_csv_raw(spark, csv)), out)
+    lake.write_lake(ingest(lake.read_csv_raw(spark, csv)), out, repartition=True)
 
 
 def run_curate(spark: SparkSession, src: str, out: str) -> None:
@@ -207,6 +207,8 @@ class GraphConfig:
     `pruned_hubs`: hubs and communities from the top edges, with node risk;
     otherwise hubs from all edges, and cities per state.
     `known_only`: leave out UNKNOWN places, unless nothing else is there.
+    `bipartite_min_cooc`: threshold of the four bipartite graphs, whose buckets have no bound.
+    `top_cities`: states in cities per state.
     """
 
     bucket_mode: str
@@ -217,12 +219,14 @@ class GraphConfig:
     known_only: bool
     fill_bucket: str | None = None
     blank_is_empty: bool = False
-    rounds: int = 8
+    rounds: int | None = 8
+    bipartite_min_cooc: int = 30
+    top_cities: int = 300
 
 
 SCORED_GRAPH = GraphConfig("hour", 2, 3000, 3000, pruned_hubs=True, known_only=False)
 CURATED_GRAPH = GraphConfig("weather", 2, 300, 300, pruned_hubs=False, known_only=True,
-                            fill_bucket="all", blank_is_empty=True)
+                            fill_bucket="all", blank_is_empty=True, bipartite_min_cooc=2)
 
 GRAPH_COLS = [
     ("State", "string"), ("City", "string"), ("weather_bucket", "string"),
@@ -254,7 +258,7 @@ def city_graph(rows: DataFrame, cfg: GraphConfig) -> Marts:
         return {
             "top_edges": graph.edges_out(edges),
             "top_hubs_nodes": hubs.select("State", "City", "degree", "degree_weighted"),
-            "cities_per_state": A.distinct_per_group(rows, "State", "City", cfg.top_hubs),
+            "cities_per_state": A.distinct_per_group(rows, "State", "City", cfg.top_cities),
         }
     risk = materialize(
         graph.node_risk(rows, "node", "pred_severity", only=graph.endpoints(edges)), "risk")
@@ -280,11 +284,13 @@ def bipartite_graphs(rows: DataFrame, cfg: GraphConfig) -> Marts:
         "edges_hour_weather": ("hour", weather),
         "edges_city_dow": ("City", "dow"),
     }
-    return {name: graph.bipartite(rows, a, b, cfg.min_cooc, cfg.top_edges)
+    return {name: graph.bipartite(rows, a, b, cfg.bipartite_min_cooc, cfg.top_edges)
             for name, (a, b) in sides.items()}
 
 
 def run_graph(spark: SparkSession, src: str, out: str, cfg: GraphConfig) -> None:
     rows = graph_rows(lake.read_lake(spark, src), cfg)
+    columns = ["State", "City", "weather_bucket", "Weather_Condition", "hour", "dow", "pred_severity", "bucket", "node"]
+    rows = materialize(rows.select(*columns), "graph-rows")  # one scan and one probe for all graphs
     tables = {**city_graph(rows, cfg), **bipartite_graphs(rows, cfg)}
     write_marts(spark, tables, out, {"input": src, **asdict(cfg)})

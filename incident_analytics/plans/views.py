@@ -34,6 +34,8 @@ def _selected(mart: DataFrame, chosen: Selection, weather: bool = True) -> DataF
 def _severity_view(mart: DataFrame, key: str, label: str, chosen: Selection) -> View:
     """Totals, peak, share, series and pivot by one key; less without a severity."""
     n, severity = resolve_col(mart, fixed.COUNT_NAMES), clean.severity_col(mart, chosen.predicted)
+    if n is None:
+        return {}
     view = {"total": serving.kpi_total(mart, n), "peak": serving.peak(mart, key, n)}
     if severity is None:
         return {**view, "series": serving.total_series(mart, key, n)}
@@ -64,9 +66,10 @@ def weather_view(mart: DataFrame, chosen: Selection = Selection()) -> View:
     view = {
         **_severity_view(df, bucket, "Weather Category", chosen),
         "buckets": serving.nunique(df, [bucket]),
-        "volume": serving.top_by_total(df, bucket, n, 8),
     }
-    if severity is not None:
+    if n is not None:
+        view["volume"] = serving.top_by_total(df, bucket, n, 8)
+    if severity is not None and n is not None:
         view["shares"] = serving.share_by(df, bucket, severity, n, 12)
     return view
 
@@ -79,13 +82,14 @@ def hotspot_view(mart: DataFrame, chosen: Selection = Selection(), k: int = 50)
     risk = resolve_col(places, fixed.RISK_NAMES)
     titles = {city: "City", n: "Cases", resolve_col(df, fixed.STATE_NAMES): "State",
               avg: "Avg Severity", risk: "Risk Score (Cases × Avg Severity)"}
-    return {
-        "total": serving.kpi_total(df, n),
-        "top": serving.top_entity(places, city, risk),
-        "average": serving.weighted_avg(df, avg, n),
-        "volume": serving.top_by_total(df, city, n, 10),
-        "detail": clean.rename(places, {c: title for c, title in titles.items() if c}),
-    }
+    view = {"detail": clean.rename(places, {c: title for c, title in titles.items() if c})}
+    if n is not None:
+        view |= {"total": serving.kpi_total(df, n), "volume": serving.top_by_total(df, city, n, 10)}
+    if risk is not None:
+        view["top"] = serving.top_entity(places, city, risk)
+    if avg is not None and n is not None:
+        view["average"] = serving.weighted_avg(df, avg, n)
+    return view
 
 
 def map_view(mart: DataFrame, dim: DataFrame, chosen: Selection = Selection(), k: int = 20) -> View:

@@ -174,3 +174,11 @@ def test_no_rows(spark):
     edges = spark.createDataFrame([], "src string, dst string, cooc long")
     assert graph.communities(edges, graph.hubs(edges)).count() == 0
     assert edges.filter(F.lit(True)).count() == 0
+
+
+def test_communities_without_a_round_and_until_the_end(spark):
+    path = spark.createDataFrame([(f"n{k:02}", f"n{k + 1:02}", 1) for k in range(19)], "src string, dst string, cooc int")
+    nodes = graph.endpoints(path)
+    assert {r.label for r in graph.communities(path, nodes, None).collect()} == {"n00"}
+    assert all(r.label == r.node for r in graph.communities(path, nodes, 0).collect())
+    assert len({r.label for r in graph.communities(path, nodes, 8).collect()}) == 12

@@ -84,3 +84,14 @@ def test_edge_kpis(spark):
     assert tuple(serving.edge_kpis(edges, 3, states=["NY"]).first()) == (0, None, 0, 0)
     with pytest.raises(ValueError):
         serving.edge_columns(edges.drop("Weight"))
+
+
+def test_totals_of_integers_are_exact(spark):
+    df = spark.createDataFrame([(9007199254740993,)], "n long")
+    assert serving.kpi_total(df).first()[0] == 9007199254740993
+
+
+def test_places_without_risk_go_by_cases_then_by_name(spark):
+    df = spark.createDataFrame([("b", 1), ("a", 1), ("c", 5)], "city string, n int")
+    assert [r.city for r in serving.ranked_places(df, 2).collect()] == ["c", "a"]
+    assert [r.city for r in serving.ranked_places(df.select("city"), 2).collect()] == ["a", "b"]

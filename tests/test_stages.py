@@ -3,6 +3,8 @@
 import random
 from collections import Counter
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,7 +134,8 @@ def test_marts_equal_direct_aggregation(spark, paths):
     ("scored", stages.SCORED_GRAPH, "scored"), ("curated", stages.CURATED_GRAPH, "curated")])
 def test_graph_marts(spark, paths, name, cfg, src):
     out = f"{paths}/graph_{name}"
-    stages.run_graph(spark, f"{paths}/{src}", out, cfg)
+    assert cfg.bipartite_min_cooc == (30 if cfg.pruned_hubs else 2)
+    stages.run_graph(spark, f"{paths}/{src}", out, replace(cfg, bipartite_min_cooc=2))
     edges = spark.read.csv(f"{out}/top_edges", header=True)
     assert edges.count() == 4  # TX: 3 pairs, NY: 1, OH has one city
     assert {r.src_state == r.dst_state for r in edges.collect()} == {True}

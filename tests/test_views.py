@@ -85,3 +85,11 @@ def test_score_report(spark):
     df = spark.createDataFrame([(1, 1), (2, 1)], "Severity int, pred_severity int")
     report = stages.score_report(df)
     assert one(report["mismatch"]) == (2, 1, 50.0) and report["confusion"].count() == 2
+
+
+def test_views_without_optional_columns(spark):
+    places = spark.createDataFrame([("NY", "Albany"), ("TX", "Waco")], "state string, city string")
+    assert views.hotspot_view(places).keys() == {"detail"}
+    counted = views.hotspot_view(places.selectExpr("*", "3 AS n"))
+    assert counted.keys() == {"detail", "total", "volume"} and counted["total"].first()[0] == 6
+    assert views.trend_view(spark.createDataFrame([("2020-01",)], "month string")) == {}
