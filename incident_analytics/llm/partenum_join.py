@@ -231,21 +231,24 @@ def join(df: DataFrame, n: int, similarity: Fraction, key: str = "doc_id", text:
             names, first = np.unique(digests(values, sizes), return_index=True)  # copies within the chunk once
             at = offsets(sizes)
             found, counts = signatures(values[ranges(at[first], sizes[first])], sizes[first], similarity)
-            owner, found = np.repeat(names, counts), found.view(np.int64)
-            if sieve is not None:
-                kept = passes(sieve, found)
-                owner, found = owner[kept], found[kept]
-            columns = [found] if sieve is None else [found, owner]
-            batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["signature", "set"][:len(columns)])
+            short = found & np.uint64(0xFFFFFFFF)
+            if sieve is None:
+                batch = pa.RecordBatch.from_arrays([pa.array(short.astype(np.uint32).view(np.int32))], ["short"])
+            else:
+                kept = passes(sieve, short)
+                batch = pa.RecordBatch.from_arrays(
+                    [pa.array(found[kept].view(np.int64)), pa.array(np.repeat(names, counts)[kept])], ["signature", "set"])
             for start in range(0, batch.num_rows, 100_000):
                 yield batch.slice(start, 100_000)
 
     sets = written(rows.mapInArrow(summarised, "id long, n_shingles long, set long"), f"{folder}/sets")
-    repeated = rows.mapInArrow(signed, "signature long").groupBy("signature").count().where("count > 1")
-    shared_sieve = spark.sparkContext.broadcast(sieve_of(repeated, "signature"))
+    # 32 bits of a signature are enough for counting: a chance repetition only lets it pass.
+    repeated = rows.mapInArrow(signed, "short int").groupBy("short").count().where("count > 1")
+    repeated = repeated.select(F.col("short").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)).alias("short"))
+    shared_sieve = spark.sparkContext.broadcast(sieve_of(repeated, "short"))
 
     # Sets that share a signature; a signature's rows are reduced to their least and greatest set.
-    passed = written(rows.mapInArrow(lambda b: signed(b, shared_sieve.value), "signature long, set long").distinct(), f"{folder}/signed")
+    passed = written(rows.mapInArrow(lambda b: signed(b, shared_sieve.value), "signature long, set long"), f"{folder}/signed")
     shared_sieve.destroy()
     shared = passed.groupBy("signature").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least <> most")
     candidates = passed.join(shared.select("signature", "least"), "signature").where("set <> least").select(
@@ -304,7 +307,7 @@ def _links(names: np.ndarray, sets: list[np.ndarray], similarity: Fraction) -> l
     use = common[number]
     owner, column = owner[use], column[use]
     width = max(1, MATRIX_CELLS // len(sets))
-    inter = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    inter = np.zeros((len(sets), len(sets)), dtype=np.float32)  # exact: counts are far below 2 ** 24
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     for start in range(0, int(common.sum()), width):
@@ -312,8 +315,11 @@ def _links(names: np.ndarray, sets: list[np.ndarray], similarity: Fraction) -> l
         block = np.zeros((len(sets), min(width, int(common.sum()) - start)), dtype=np.float32)
         block[owner[a:b], column[a:b] - start] = 1
         inter += block @ block.T
-    union = sizes[:, None] + sizes[None, :] - inter  # exact: counts are far below 2 ** 24
-    near = similarity.denominator * inter >= similarity.numerator * union
+    near = np.empty(inter.shape, dtype=bool)
+    for start in range(0, len(sets), 128):
+        part = inter[start:start + 128].astype(np.int64)
+        union = sizes[start:start + 128, None] + sizes[None, :] - part
+        near[start:start + 128] = similarity.denominator * part >= similarity.numerator * union
     np.fill_diagonal(near, True)
     edges, open_ones = [], near.sum(axis=1) > 1
     for root in np.flatnonzero(open_ones).tolist():

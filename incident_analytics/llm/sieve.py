@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITS = 25
+BITS = 27
 
 
 def sieve_of(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
