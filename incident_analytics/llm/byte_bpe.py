@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from incident_analytics.llm.common import offsets, ranges, ship, text_or_empty
 from incident_analytics.llm.merge_replay import ByteVocabulary, UnitIds, encode_words
 
-BLOCK_CHARS = 6_000_000
+BLOCK_CHARS = 4_000_000
 OUT_BYTES = 4_000_000
 
 #: Stands before a unit at the head of a text, which no space precedes; never part of a text.

@@ -45,7 +45,7 @@ WINDOW = 4096
 UNIT = 32
 DEPTH = 3
 END_ID = 2
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 4_000_000
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -247,7 +247,7 @@ def pack(df: DataFrame, vocabulary_path: str, window: int = WINDOW, end_id: int
                 "sequence_id": number + sequence, "offset": offset,
             })
             number += len(sequences)
-            yield from table.to_batches(max_chunksize=2000)
+            yield from table.to_batches(max_chunksize=500)
 
     return df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text")).mapInArrow(run, schema)
 
