@@ -144,7 +144,7 @@ class UnitIds:
     so memory is bounded and the ids are the same either way.
     """
 
-    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], limit: int = 400_000):
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], limit: int = 250_000):
         self.encode, self.limit = encode, limit
         self.units = pa.array([], pa.string())
         self.ids = np.empty(0, dtype=np.int32)

@@ -26,7 +26,7 @@ from __future__ import annotations
 import os
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -59,16 +59,22 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.path = path
         self.vocabulary = WordVocabulary.load(path)
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         self.plain = regex.compile(r"[!-~¡-ɏ]*")
         self.units = UnitIds(self._encode_units)
 
+    @cached_property
+    def library(self):
+        """Loaded only where a part needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path)
+        library.encode_special_tokens = True
+        return library
+
     def _encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = units.to_pylist()
         plain = [self.plain.fullmatch(u) is not None for u in texts]

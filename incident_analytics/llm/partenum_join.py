@@ -35,6 +35,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ BAND_RATIO = 1.5
 DEPTH = 1
 SECOND = 3
 BLOCK = 1024
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 MATRIX_CELLS = 4_000_000
 
 _BASE = 0x9E3779B97F4A7C15
@@ -198,14 +199,14 @@ def digests(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of at most `CHUNK_BYTES` of text, or a single longer one."""
     for batch in batches:
-        texts, start, size = batch.column(column).to_pylist(), 0, 0
-        for i, text in enumerate(texts):
-            if size and size + len(text) > CHUNK_BYTES:
-                yield batch.slice(start, i - start), texts[start:i]
+        lengths = pc.binary_length(batch.column(column)).to_pylist()
+        start = size = 0
+        for i, length in enumerate([*lengths, CHUNK_BYTES + 1]):
+            if size and size + length > CHUNK_BYTES or i == len(lengths) > start:
+                part = batch.slice(start, i - start)
+                yield part, part.column(column).to_pylist()
                 start, size = i, 0
-            size += len(text)
-        if len(texts) > start:
-            yield batch.slice(start), texts[start:]
+            size += length
 
 
 def _longs(flat: np.ndarray, n: np.ndarray) -> pa.Array:
