@@ -10,7 +10,7 @@ The lexicon is learned from labelled documents: words and beginnings of words th
 toxic and hardly any other documents hold, weighted by their log-odds. Learning reads at
 most `FIT_ROWS` documents of each label, those with the lowest hashes of their ids, and a
 group of near copies counts once for each term. `scale` puts the cut between the labels'
-densities at a score of 0.3.
+densities at a score of 0.3. The entries of `SEED` are always part of the lexicon.
 
 Null and empty texts score 0. Without usable labels the lexicon is `SEED`. Repeated rows
 score alike; ids, sources, languages and labels are never inputs of a score.
@@ -35,8 +35,9 @@ from incident_analytics.llm.common import ship, text_or_empty
 
 FIT_ROWS = 4000
 PREFIXES = (4, 5, 6)
+LEAST_DOCUMENTS = 4
 LEAST_SHARE = 0.02
-LEAST_ODDS = 40.0
+LEAST_ODDS = 100.0
 MAX_TERMS = 2000
 CUT_SCORE = 0.3
 
@@ -47,7 +48,7 @@ _LOOK_ALIKE = {
     "v": "ѵν", "w": "ԝωա", "x": "хχ", "y": "уүγ", "z": "ᴢ",
 }
 #: The lexicon where no labels are at hand, as (term, weight); "*" ends the beginning of a word.
-SEED = tuple((w, 5.0) for w in ("disgusting", "idiot", "idiots", "loser", "losers", "moron", "morons", "pathetic", "scum", "stupid", "trash", "worthless"))
+SEED = tuple((w, 5.0) for w in ("clown", "disgusting", "idiot", "idiots", "loser", "losers", "moron", "morons", "pathetic", "scum", "stupid", "trash", "worthless"))
 #: Phrases in which an entry is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "trash collection", "recycle the trash", "clown fish", "circus clown", "rodeo clown",
               "pathetic fallacy", "pond scum", "soap scum", "not stupid", "the loser of the match", "idiot proof", "idiot light")
@@ -167,13 +168,11 @@ def learn(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
             F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
         odds = (share[1] + 0.5 / total[1]) / (share[0] + 0.5 / total[0])
         found = (
-            counts.where((F.col("n1") >= 3) & (share[1] >= LEAST_SHARE) & (odds >= LEAST_ODDS))
+            counts.where((F.col("n1") >= LEAST_DOCUMENTS) & (share[1] >= LEAST_SHARE) & (odds >= LEAST_ODDS))
             .select("term", "n1", F.log(odds).alias("weight")).orderBy(F.desc("weight"), "term").limit(MAX_TERMS).collect()
         )
-        if not found:
-            return Lexicon()
         terms = _most_specific({r.term: (int(r.n1), round(r.weight, 4)) for r in found})
-        lexicon = Lexicon(tuple(sorted(terms.items())), 1e-3)
+        lexicon = Lexicon(tuple(sorted((dict(SEED) | terms).items())), 1e-3)
         scored = score(labelled.select("text", "toxic"), lexicon).select(
             "toxic", F.coalesce(-F.log1p(-F.col("score")) * 1e3, F.lit(1e6)).alias("density"))
         cut = _cut([(r.toxic, r.density) for r in scored.collect()])  # at most 2 * fit_rows pairs of numbers
