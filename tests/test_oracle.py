@@ -4,9 +4,10 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
+from incident_analytics import plans
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = plans.QUERIES, plans.ORACLES
 
 
 @pytest.fixture(scope="module")
