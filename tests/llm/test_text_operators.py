@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from oracle import compare, connect
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -305,3 +306,8 @@ def test_pipeline_keeps_clean_documents_and_one_of_each_group(spark):
 def test_pages_are_identified(spark):
     rows = queries.page_language_id(spark, SF_DIR).collect()
     assert np.mean([r.language == r.declared for r in rows]) > 0.9
+
+
+@pytest.mark.parametrize("name", queries.ORACLES)
+def test_query_equals_its_sql(spark, name):
+    assert compare(spark, connect(SF_DIR), name, queries.QUERIES[name], queries.ORACLES[name], SF_DIR).startswith("ok")
