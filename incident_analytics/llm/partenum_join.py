@@ -16,8 +16,10 @@ with such ones; then it gives them all. So no link is lost.
 Steps: (1) signatures are counted; those met more than once set a bit of a sieve of fixed
 size. (2) Only signatures that pass it are shuffled with their sets; sets that share one
 are candidates, and connected candidates form groups. (3) The sets of grouped documents
-are built again and compared exactly: a group is cut into blocks, a pair of blocks is one
-task's matrix product, and only a spanning forest of the links leaves it. Equal sets are
+are built again and compared exactly. Chance candidates can make a group large, so a group
+of more than a block is cut by size: links stay within a size band or join neighbouring
+ones. A band is cut into blocks, a pair of blocks is one task's matrix product, and only a
+spanning forest of the links leaves it. Equal sets are
 one class by their 64-bit digest throughout; shingles are 64-bit hashes of their words.
 
 Null and empty texts, and texts without words, have empty sets and link with nothing.
@@ -30,13 +32,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from fractions import Fraction
 from itertools import combinations as subsets
-from math import comb
+from math import comb, log
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incident_analytics.llm.common import mix, new_folder, offsets, ranges, ship, text_or_empty, written
@@ -47,6 +49,7 @@ BAND_RATIO = 1.5
 DEPTH = 1
 SECOND = 3
 BLOCK = 1024
+BLOCK_SHINGLES = 1_000_000
 CHUNK_BYTES = 1_000_000
 MATRIX_CELLS = 4_000_000
 
@@ -189,6 +192,31 @@ def signatures(values: np.ndarray, sizes: np.ndarray, t: Fraction) -> tuple[np.n
     return found[order], np.bincount(owner, minlength=len(sizes))
 
 
+def _link_band(size: Column, t: Fraction) -> Column:
+    """Sizes of linked sets are in one of these bands or in neighbouring ones, which grow by a little more than 1 / t."""
+    return F.floor(F.log(size) / F.lit(log(1 / t) + 1e-6)).cast("int")
+
+
+def _n_blocks(sets: Column, shingles: Column) -> Column:
+    return F.ceil(F.greatest(sets / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _meetings(own: Column) -> Column:
+    """All pairs of blocks that a set takes part in, as (band, step, low, high); one alone in groups that aren't cut."""
+    def meeting(band: Column, step: int, low: Column, high: Column) -> Column:
+        return F.struct(band.alias("band"), F.lit(step).alias("step"), low.alias("low"), high.alias("high"))
+
+    def each(n: str, pair) -> Column:
+        return F.transform(F.filter(F.sequence(F.lit(0), F.col(n)), lambda b: b < F.col(n)), pair)
+
+    band = F.col("band")
+    cut = F.concat(
+        each("blocks", lambda b: meeting(band, 0, F.least(own, b), F.greatest(own, b))),
+        each("above", lambda b: meeting(band, 1, own, b)),
+        each("below", lambda b: meeting(band - 1, 1, b, own)))
+    return F.when(F.col("blocks").isNull(), F.array(meeting(F.lit(-1), 0, F.lit(0), F.lit(0)))).otherwise(cut)
+
+
 def digests(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """A 64-bit digest of each set, as signed numbers; 0 for the empty one."""
     sums = np.zeros(len(sizes), dtype=np.uint64)
@@ -257,9 +285,16 @@ def join(df: DataFrame, n: int, similarity: Fraction, key: str = "doc_id", text:
     groups = components(candidates, f"{folder}/candidates")
 
     # One row stands for each set that has candidates; its set is built again from the text.
-    ids = written(sets.where("id IS NOT NULL AND n_shingles > 0").groupBy("set").agg(F.min("id").alias("id")), f"{folder}/ids")
+    ids = sets.where("id IS NOT NULL AND n_shingles > 0").groupBy("set").agg(F.min("id").alias("id"), F.max("n_shingles").alias("size"))
+    ids = written(ids.withColumn("band", _link_band(F.col("size"), similarity)), f"{folder}/ids")
     members = written(groups.select(F.col("node").alias("set"), F.col("root").alias("group")).join(ids, "set"), f"{folder}/members")
-    blocks = written(members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1"), f"{folder}/blocks")
+    bands = written(members.groupBy("group", "band").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")), f"{folder}/bands")
+    large = bands.groupBy("group").agg(_n_blocks(F.sum("n"), F.sum("shingles")).alias("blocks")).where("blocks > 1")
+    cut = written(bands.join(large, "group", "left_semi").select("group", "band", _n_blocks(F.col("n"), F.col("shingles")).alias("blocks")), f"{folder}/cut")
+    above, below = (
+        cut.select("group", (F.col("band") - step).alias("band"), F.col("blocks").alias(name)) for step, name in ((1, "above"), (-1, "below")))
+    blocks = cut.join(above, ["group", "band"], "left").join(below, ["group", "band"], "left").fillna(0, ["above", "below"])
+    blocks = written(blocks, f"{folder}/blocks")
     id_sieve = spark.sparkContext.broadcast(sieve_of(members, "id"))
 
     def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,17 +308,15 @@ def join(df: DataFrame, n: int, similarity: Fraction, key: str = "doc_id", text:
             values, sizes = shingle_sets(texts, n)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests(values, sizes), pa.int64()), _longs(values, sizes)], ["id", "set", "shingles"])
 
-    compared = rows.mapInArrow(rebuilt, "id long, set long, shingles array<long>").join(members, ["id", "set"]).join(blocks, "group", "left")
-    n_blocks = F.coalesce("blocks", F.lit(1))
-    dealt = compared.withColumns({
-        "block": F.pmod(F.xxhash64("set"), n_blocks).cast("int"), "other": F.explode(F.sequence(F.lit(0), n_blocks - 1)),
-    }).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    compared = rows.mapInArrow(rebuilt, "id long, set long, shingles array<long>").join(members, ["id", "set"]).join(blocks, ["group", "band"], "left")
+    own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
+    dealt = compared.select("group", "set", "shingles", F.explode(_meetings(own)).alias("meeting")).select("group", "meeting.*", "set", "shingles")
 
     def linked(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("set")
         return pd.DataFrame(_links(pdf["set"].to_numpy(), list(pdf["shingles"]), similarity), columns=["a", "b"]).astype("int64")
 
-    links = written(dealt.select("group", "low", "high", "set", "shingles").groupBy("group", "low", "high").applyInPandas(linked, "a long, b long"), f"{folder}/links")
+    links = written(dealt.groupBy("group", "band", "step", "low", "high").applyInPandas(linked, "a long, b long"), f"{folder}/links")
     id_sieve.destroy()
     # The roots of sets become the least keys of their documents.
     roots = components(links, f"{folder}/components").select(F.col("node").alias("set"), "root")
