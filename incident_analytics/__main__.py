@@ -31,6 +31,9 @@ def parser() -> argparse.ArgumentParser:
             stage[name].add_argument(f"--{arg}", required=True)
     stage["score"].add_argument("--sample", type=int, default=0)
     stage["score"].add_argument("--mode", default="overwrite")
+    stage["marts"].add_argument("--k", type=int, default=3000)
+    for name in ("marts", "graph", "graph-export"):
+        stage[name].add_argument("--mode", default="overwrite")
     for name, field in TrainConfig.__dataclass_fields__.items():
         flag = f"--{name.replace('_', '-')}"
         kind = argparse.BooleanOptionalAction if field.type == "bool" else None
@@ -51,8 +54,8 @@ def main(argv: list[str] | None = None) -> None:
         stages.run_train(spark, **paths, cfg=TrainConfig(**args))
     elif stage.startswith("graph"):
         base = stages.SCORED_GRAPH if stage == "graph" else stages.CURATED_GRAPH
-        changes = {k: v for k, v in args.items() if k not in ("src", "out") and v is not None}
-        stages.run_graph(spark, args["src"], args["out"], replace(base, **changes))
+        changes = {k: v for k, v in args.items() if k not in ("src", "out", "mode") and v is not None}
+        stages.run_graph(spark, args["src"], args["out"], replace(base, **changes), args["mode"])
     else:
         getattr(stages, f"run_{stage}")(spark, **args)
 

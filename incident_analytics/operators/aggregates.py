@@ -24,14 +24,14 @@ def _n(name: str = "n") -> Column:
 def summary(
     df: DataFrame, keys: Sequence[str], averages: Mapping[str, str], count: str = "accident_count"
 ) -> DataFrame:
-    """Rows and averages per key, in key order. `averages` maps output to input."""
+    """Rows and averages per key, unsorted. `averages` maps output to input."""
     aggs = [F.avg(c).alias(name) for name, c in averages.items()]
-    return df.groupBy(*keys).agg(_n(count), *aggs).orderBy(*keys)
+    return df.groupBy(*keys).agg(_n(count), *aggs)
 
 
 def cross_count(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows per key combination, in key order."""
-    return df.groupBy(*keys).agg(_n()).orderBy(*keys)
+    """Rows per key combination, unsorted: whoever writes a mart sorts it."""
+    return df.groupBy(*keys).agg(_n())
 
 
 def trend(
@@ -41,7 +41,7 @@ def trend(
     keys = [year, month, severity]
     if conf is None:
         return cross_count(df, *keys)
-    return df.groupBy(*keys).agg(_n(), F.avg(conf).alias("avg_conf")).orderBy(*keys)
+    return df.groupBy(*keys).agg(_n(), F.avg(conf).alias("avg_conf"))
 
 
 def hotspots(

@@ -15,7 +15,7 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from incident_analytics import fixed_values as fixed
@@ -33,7 +33,7 @@ from incident_analytics.operators.clean import (
     label_range,
     select_existing,
 )
-from incident_analytics.operators.ranking import downsample, stratified_split
+from incident_analytics.operators.ranking import downsample, in_test
 from incident_analytics.sources.scratch import materialize
 
 
@@ -143,9 +143,14 @@ def severity_model(features: Features, cfg: TrainConfig = TrainConfig()) -> Pipe
 
 
 def index_map(df: DataFrame, c: str) -> DataFrame:
-    """value, index for each category, as the indexer numbers them."""
-    names = indexer(c).fit(df).labels
-    return df.sparkSession.createDataFrame(list(zip(names, range(len(names)))), "value string, idx int")
+    """value, index for each category, as the indexer numbers them.
+
+    The values are counted in parallel; only the categories, one row each, are ranked
+    together.
+    """
+    counts = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("value")).count()
+    by_count = Window.orderBy(F.desc("count"), "value")
+    return counts.select("value", (F.row_number().over(by_count) - 1).alias("idx"))
 
 
 def scale_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -178,13 +183,15 @@ class Trained:
 def train_severity(df: DataFrame, keys: Sequence[str], cfg: TrainConfig = TrainConfig()) -> Trained:
     """Prepare, split by key hash, balance and fit.
 
-    The estimators scan the training rows many times, so these are materialized
-    once after all preparation; only the columns in use are kept.
+    The source is read once: prepared rows are written with their part of the split,
+    only with the columns in use. The estimators scan the training rows many times, so
+    these are written again with their weights.
     """
     prepared = prepare_training(df, cfg.label)
     features = available_features(prepared)
     used = select_existing(prepared, list(dict.fromkeys([*keys, cfg.label, *features.all])))
-    train, test = stratified_split(used, cfg.label, keys, cfg.test_fraction, cfg.seed)
+    split = materialize(used.withColumn("_test", in_test(cfg.label, keys, cfg.test_fraction, cfg.seed)), "split")
+    train, test = split.filter(~F.col("_test")).drop("_test"), split.filter("_test").drop("_test")
     if cfg.use_downsample:
         train = downsample(train, cfg.label, keys, cfg.downsample_ratio, cfg.seed)
     if cfg.use_class_weight:

@@ -76,17 +76,13 @@ def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFrame
     return df.filter(prefix < band).unionByName(rest.limit(missing))
 
 
-def stratified_split(
-    df: DataFrame,
-    label: str,
-    keys: Sequence[str],
-    fraction: float | Mapping[object, float] = 0.2,
-    seed: int = 42,
-) -> tuple[DataFrame, DataFrame]:
-    """(train, test): test takes the fraction of each class, train the rest.
+def in_test(
+    label: str, keys: Sequence[str], fraction: float | Mapping[object, float] = 0.2, seed: int = 42
+) -> Column:
+    """Whether a row is in the test part; never null.
 
     A mapping gives a fraction per class; a class it does not name, and rows
-    without a label, stay in train. Both parts are filters: no shuffle.
+    without a label, stay in train.
     """
     if isinstance(fraction, Mapping):
         chosen = F.lit(False)
@@ -94,8 +90,22 @@ def stratified_split(
             chosen = chosen | ((F.col(label) == F.lit(value)) & below(keys, seed, part))
     else:
         chosen = below(keys, seed, fraction)
-    in_test = F.coalesce(chosen & F.col(label).isNotNull(), F.lit(False))
-    return df.filter(~in_test), df.filter(in_test)
+    return F.coalesce(chosen & F.col(label).isNotNull(), F.lit(False))
+
+
+def stratified_split(
+    df: DataFrame,
+    label: str,
+    keys: Sequence[str],
+    fraction: float | Mapping[object, float] = 0.2,
+    seed: int = 42,
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test): test takes the fraction of each class, train the rest, as `in_test` says.
+
+    Both parts are filters: no shuffle.
+    """
+    chosen = in_test(label, keys, fraction, seed)
+    return df.filter(~chosen), df.filter(chosen)
 
 
 def class_table(table: DataFrame) -> DataFrame:

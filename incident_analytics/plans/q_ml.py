@@ -16,10 +16,7 @@ from incident_analytics.operators import ml
 from incident_analytics.plans.registry import ev_sql, ln_sql, query, r, rounded
 from incident_analytics.sources import lake
 from incident_analytics.sources.adapters import LINE_ID
-from incident_analytics.sources.scratch import scratch_path
-
-_TRAINED: dict[tuple[str, str], ml.Trained] = {}
-
+from incident_analytics.sources.scratch import materialize, scratch_path
 
 def lines(t):
     """Order lines with the planted label."""
@@ -28,11 +25,23 @@ def lines(t):
 
 
 def trained(t) -> ml.Trained:
-    """The model of a session and folder, fitted once."""
-    key = (t.spark.sparkContext.applicationId, t.sf_dir)
-    if key not in _TRAINED:
-        _TRAINED[key] = ml.train_severity(lines(t), LINE_ID)
-    return _TRAINED[key]
+    return ml.train_severity(lines(t), LINE_ID)
+
+
+_LINES = """lines AS (
+  SELECT order_id, line_no, part_id, supplier_id, pred_severity AS Severity, State, substr(md5(concat_ws('|',
+    order_id, line_no, part_id, supplier_id, strftime(End_Time_ts, '%Y-%m-%d %H:%M:%S'), '42')), 1, 8) < '33333333' AS test
+  FROM ln WHERE pred_severity BETWEEN 1 AND 4 AND year IS NOT NULL AND month IS NOT NULL AND hour IS NOT NULL
+    AND isfinite(Distance_mi::DOUBLE) AND isfinite(Temperature_F::DOUBLE) AND isfinite(Humidity_pct::DOUBLE)
+    AND isfinite(Visibility_mi::DOUBLE))"""
+
+
+def _is_severity():
+    return F.coalesce(F.col("pred_severity").between(1, 4), F.lit(True)).alias("is_severity")
+
+
+def _conf_within():
+    return F.col("pred_conf").between(0, 1).alias("conf_within")
 
 
 # --- feature stages ---------------------------------------------------------------------------
@@ -102,40 +111,64 @@ def _(t):
 
 
 # --- model ----------------------------------------------------------------------------------------
+# Trees can't be stated in SQL; their facts can: the split, the row counts, and what must hold of each row.
 
-@query("m06_forest_metrics")
+@query("m06_forest_metrics", ln_sql("""
+SELECT count(*) AS test_rows, TRUE AS beats_majority FROM lines WHERE test""", _LINES))
 def _(t):
-    """Metrics on the test rows next to the share of the largest class."""
+    """Test rows, and whether accuracy exceeds the share of the largest class by 0.2."""
     fit = trained(t)
-    scored = ml.score(fit.test, fit.model)
-    conf = A.confusion(scored, "Severity", "pred_severity")
-    majority = conf.groupBy("Severity").agg(F.sum("n").alias("n")).agg(
-        (F.max("n") / F.sum("n")).alias("majority_share"))
-    scores = rounded(A.metrics(conf, "Severity", "pred_severity"), 6)
-    return scores.withColumn("majority_share", F.round(majority.scalar(), 6))
+    conf = materialize(A.confusion(ml.score(fit.test, fit.model), "Severity", "pred_severity"), "confusion")
+    per_class = conf.groupBy("Severity").agg(F.sum("n").alias("n"))
+    sizes = per_class.agg(F.sum("n").alias("test_rows"), (F.max("n") / F.sum("n")).alias("majority_share"))
+    accuracy = A.metrics(conf, "Severity", "pred_severity").select("accuracy").scalar()
+    return sizes.select("test_rows", (accuracy > F.col("majority_share") + 0.2).alias("beats_majority"))
 
 
-@query("m07_predictions")
+@query("m07_predictions", ln_sql("""
+SELECT order_id, line_no, part_id, supplier_id, Severity, TRUE AS sums_to_one, TRUE AS conf_within,
+  TRUE AS is_severity FROM lines WHERE test""", _LINES))
 def _(t):
     fit = trained(t)
+    total = F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, x: a + x)
     return ml.score(fit.test, fit.model).select(
-        *LINE_ID[:4], "Severity", "pred_label", "pred_severity", F.round("pred_conf", 6).alias("pred_conf"))
+        *LINE_ID[:4], "Severity", (F.abs(total - 1) < 1e-6).alias("sums_to_one"), _conf_within(), _is_severity())
 
 
-@query("m08_scored_table")
+@query("m08_scored_table", ln_sql("""
+SELECT order_id::VARCHAR AS ID, Severity, State, County, City, year, month, substr(month, 6, 2)::INT AS month_num,
+  hour, weather_bucket, Weather_Condition, Distance_mi, Temperature_F, Humidity_pct, Visibility_mi,
+  TRUE AS conf_within, TRUE AS is_severity FROM ln"""))
 def _(t):
-    return ml.scored_table(t.ln().withColumn("ID", F.col("order_id").cast("string")), trained(t).model)
+    rows = t.ln().withColumn("ID", F.col("order_id").cast("string"))
+    scored = ml.scored_table(rows, trained(t).model)
+    return scored.select("*", _conf_within(), _is_severity()).drop("pred_severity", "pred_conf")
 
 
-@query("m09_tree_text")
+@query("m09_tree_text", ln_sql("""
+SELECT 0 AS tree, 7 + count(DISTINCT State) AS n_features, TRUE AS depth_within, TRUE AS leaves_agree
+FROM lines WHERE NOT test""", _LINES))
 def _(t):
+    """The first tree's text: its features, its depth against the bound, its leaves against its nodes."""
     path = scratch_path(t.spark, "tree")
-    lake.write_meta(t.spark, path, {"tree": ml.tree_text(trained(t).model)})
+    lake.write_meta(t.spark, path, {"tree": ml.tree_text(trained(t).model, 0)})
     text = F.get_json_object("value", "$.tree")
-    return lake.read_meta(t.spark, path).select(F.explode(F.split(text, "\n")).alias("line"))
+
+    def head(name: str):
+        return F.regexp_extract(text, rf"\b{name}=(\d+)", 1).cast("long")
+
+    return lake.read_meta(t.spark, path).select(
+        F.lit(0).alias("tree"), head("numFeatures").alias("n_features"),
+        head("depth").between(1, ml.TrainConfig().max_depth).alias("depth_within"),
+        (F.regexp_count(text, F.lit("Predict:")) * 2 == head("numNodes") + 1).alias("leaves_agree"))
 
 
-@query("m10_run_record")
+@query("m10_run_record", ln_sql("""
+SELECT count(*) FILTER (NOT test) AS train_rows, count(*) FILTER (test) AS test_rows, 5 AS num_trees,
+  (SELECT string_agg('Severity ' || Severity, ',' ORDER BY Severity) FROM (SELECT DISTINCT Severity FROM lines WHERE NOT test))
+    AS class_names,
+  'year,month_num,hour,Distance_mi,Temperature_F,Humidity_pct,Visibility_mi,State' AS features,
+  TRUE AS accuracy_within FROM lines""", _LINES))
 def _(t):
     fit = trained(t)
     conf = A.confusion(ml.score(fit.test, fit.model), "Severity", "pred_severity")
@@ -144,18 +177,19 @@ def _(t):
     lake.write_meta(t.spark, path, ml.run_record(ml.TrainConfig(), fit, scores, input_ml=t.sf_dir))
     record = F.from_json("value", "train_rows bigint, test_rows bigint, num_trees int, accuracy double, "
                                   "class_names array<string>, features array<string>")
-    return lake.read_meta(t.spark, path).select(record.alias("r")).select("r.*")
+    return lake.read_meta(t.spark, path).select(record.alias("r")).select(
+        "r.train_rows", "r.test_rows", "r.num_trees", F.array_join("r.class_names", ",").alias("class_names"),
+        F.array_join("r.features", ",").alias("features"), F.col("r.accuracy").between(0, 1).alias("accuracy_within"))
 
 
-@query("s09_model_round_trip")
+@query("s09_model_round_trip", ln_sql("""
+SELECT count(*) AS n_rows, 0::BIGINT AS n_changed FROM lines WHERE test""", _LINES))
 def _(t):
-    """Rows whose prediction differs after saving and loading the model: 0."""
+    """Test rows, and those whose prediction differs after saving and loading the model."""
     fit = trained(t)
     path = scratch_path(t.spark, "model")
     lake.save_model(fit.model, path)
-    before = ml.score(fit.test, fit.model).select(*LINE_ID, "pred_severity")
-    after = ml.score(fit.test, lake.load_model(path)).select(
-        *LINE_ID, F.col("pred_severity").alias("reloaded"))
-    return before.join(after, LINE_ID).agg(
+    first = ml.score(fit.test, fit.model).select(*fit.test.columns, F.col("pred_severity").alias("first"))
+    return ml.score(first, lake.load_model(path)).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(~F.col("pred_severity").eqNullSafe(F.col("reloaded"))).alias("n_changed"))
+        F.count_if(~F.col("pred_severity").eqNullSafe(F.col("first"))).alias("n_changed"))

@@ -62,12 +62,13 @@ def curate(df: DataFrame) -> DataFrame:
 
 
 def summary(curated: DataFrame) -> DataFrame:
-    return A.summary(curated, ["year", "State", "Severity"], {
+    keys = ["year", "State", "Severity"]
+    return A.summary(curated, keys, {
         "avg_distance_mi": "Distance_mi",
         "avg_temp_f": "Temperature_F",
         "avg_humidity_pct": "Humidity_pct",
         "avg_visibility_mi": "Visibility_mi",
-    })
+    }).orderBy(*keys)
 
 
 def ml_table(curated: DataFrame) -> DataFrame:
@@ -96,12 +97,19 @@ def run_train(
     spark: SparkSession, src: str, model_out: str, metrics_out: str,
     cfg: ml.TrainConfig = ml.TrainConfig(),
 ) -> dict[str, object]:
-    """Fit, save, evaluate on all test rows; write the run record and one tree."""
+    """Fit, save, evaluate on all test rows; write the run record and one tree.
+
+    The record also holds the confusion counts and the scores of each class, of which
+    there are four at most.
+    """
     fit = ml.train_severity(lake.read_lake(spark, src), ["ID"], cfg)
     lake.save_model(fit.model, model_out)
-    conf = A.confusion(ml.score(fit.test, fit.model), cfg.label, "pred_severity")
+    conf = materialize(A.confusion(ml.score(fit.test, fit.model), cfg.label, "pred_severity"), "confusion")
     scores = A.metrics(conf, cfg.label, "pred_severity").first().asDict()
     record = ml.run_record(cfg, fit, scores, input_ml=src, model_out=model_out, run_time=_now())
+    record["confusion"] = [r.asDict() for r in conf.orderBy(cfg.label, "pred_severity").collect()]
+    record["classes"] = [
+        r.asDict() for r in A.class_metrics(conf, cfg.label, "pred_severity").orderBy("label").collect()]
     lake.write_meta(spark, metrics_out, record)
     lake.write_meta(spark, f"{metrics_out}_tree", {"tree": ml.tree_text(fit.model)})
     return record
@@ -121,7 +129,7 @@ def score_report(scored: DataFrame) -> Marts:
     """How predictions differ from actual severities, over all rows."""
     return {
         "mismatch": A.mismatch(scored, "Severity", "pred_severity"),
-        "confusion": A.confusion(scored, "Severity", "pred_severity"),
+        "confusion": A.confusion(scored, "Severity", "pred_severity").orderBy("Severity", "pred_severity"),
     }
 
 
@@ -190,12 +198,12 @@ def write_marts(spark: SparkSession, tables: Marts, out: str, meta: Mapping[str,
     lake.write_meta(spark, f"{out}/_run_meta.json", {"run_at": _now(), **meta}, mode)
 
 
-def run_marts(spark: SparkSession, src: str, out: str, k: int = 3000) -> None:
+def run_marts(spark: SparkSession, src: str, out: str, k: int = 3000, mode: str = "overwrite") -> None:
     """Two scans of the scored table for all marts; the cubes go to scratch."""
     scored = lake.read_lake(spark, src)
     times = materialize(time_cube(scored), "time_cube")
     places = materialize(place_cube(scored), "place_cube")
-    write_marts(spark, marts(times, places, k), out, {"input": src, "k": k})
+    write_marts(spark, marts(times, places, k), out, {"input": src, "k": k}, mode)
 
 
 # --- graph ---------------------------------------------------------------------------------------------
@@ -288,9 +296,9 @@ def bipartite_graphs(rows: DataFrame, cfg: GraphConfig) -> Marts:
             for name, (a, b) in sides.items()}
 
 
-def run_graph(spark: SparkSession, src: str, out: str, cfg: GraphConfig) -> None:
+def run_graph(spark: SparkSession, src: str, out: str, cfg: GraphConfig, mode: str = "overwrite") -> None:
     rows = graph_rows(lake.read_lake(spark, src), cfg)
     columns = ["State", "City", "weather_bucket", "Weather_Condition", "hour", "dow", "pred_severity", "bucket", "node"]
     rows = materialize(rows.select(*columns), "graph-rows")  # one scan and one probe for all graphs
     tables = {**city_graph(rows, cfg), **bipartite_graphs(rows, cfg)}
-    write_marts(spark, tables, out, {"input": src, **asdict(cfg)})
+    write_marts(spark, tables, out, {"input": src, **asdict(cfg)}, mode)

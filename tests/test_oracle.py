@@ -18,7 +18,7 @@ def con():
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     result = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF_DIR)
-    assert result.startswith(("ok", "rows ")), result
+    assert result.startswith("ok"), result
     assert not result.endswith(" 0"), "no rows to compare"
 
 
@@ -26,15 +26,5 @@ def test_entry(spark):
     assert entry.entry(spark).columns[:3] == ["year", "State", "Severity"]
 
 
-def test_queries_without_sql_are_the_trained_ones():
-    assert all(name.startswith(("m0", "m10", "s09")) for name in set(QUERIES) - set(ORACLES))
-
-
-def test_forest_beats_the_majority_class(spark):
-    row = QUERIES["m06_forest_metrics"](spark, SF_DIR).first()
-    assert row["accuracy"] > row["majority_share"] + 0.2
-
-
-def test_reloaded_model_predicts_the_same(spark):
-    row = QUERIES["s09_model_round_trip"](spark, SF_DIR).first()
-    assert row["n_rows"] > 0 and row["n_changed"] == 0
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
