@@ -15,11 +15,14 @@ with such ones; then it gives them all. So no link is lost.
 
 Steps: (1) signatures are counted; those met more than once set a bit of a sieve of fixed
 size. (2) Only signatures that pass it are shuffled with their sets; sets that share one
-are candidates, and connected candidates form groups. (3) The sets of grouped documents
-are built again and compared exactly. Chance candidates can make a group large, so a group
-of more than a block is cut by size: links stay within a size band or join neighbouring
-ones. A band is cut into blocks, a pair of blocks is one task's matrix product, and only a
-spanning forest of the links leaves it. Equal sets are
+are candidates, and connected candidates form groups. Chance candidates can make a group
+large. (3) Groups of more than a block are taken apart by cell counts: each set's shingles
+are counted in cells of a hash, about one byte for three shingles; the counts of two sets
+differ by no more than the sets do, so pairs that differ by too much there are no links, and
+the others form smaller groups. (4) The sets of grouped documents are built again and
+compared exactly. In (3) and (4) a large group is cut by size: links stay within a size band
+or join neighbouring ones. A band is cut into blocks, a pair of blocks is one task, and only
+a spanning forest of the pairs found leaves it. Equal sets are
 one class by their 64-bit digest throughout; shingles are 64-bit hashes of their words.
 
 Null and empty texts, and texts without words, have empty sets and link with nothing.
@@ -52,6 +55,10 @@ BLOCK = 1024
 BLOCK_SHINGLES = 1_000_000
 CHUNK_BYTES = 1_000_000
 MATRIX_CELLS = 4_000_000
+CELL_BLOCK = 2048
+CELL_BLOCK_SHINGLES = 8_000_000
+LEAST_CELLS, MOST_CELLS = 32, 4096
+COARSE_CELLS = 64
 
 _BASE = 0x9E3779B97F4A7C15
 _SPACES = np.zeros(256, dtype=bool)
@@ -197,8 +204,31 @@ def _link_band(size: Column, t: Fraction) -> Column:
     return F.floor(F.log(size) / F.lit(log(1 / t) + 1e-6)).cast("int")
 
 
-def _n_blocks(sets: Column, shingles: Column) -> Column:
-    return F.ceil(F.greatest(sets / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+def _n_blocks(sets: Column, shingles: Column, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> Column:
+    return F.ceil(F.greatest(sets / block, shingles / block_shingles)).cast("int")
+
+
+def _large(members: DataFrame, folder: str, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """(group, band, blocks, above, below) of the groups of more than a block; above and below count the neighbouring bands' blocks."""
+    bands = written(members.groupBy("group", "band").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")), f"{folder}-bands")
+    large = bands.groupBy("group").agg(_n_blocks(F.sum("n"), F.sum("shingles")).alias("blocks")).where("blocks > 1")
+    cut = bands.join(large, "group", "left_semi").select("group", "band", _n_blocks(F.col("n"), F.col("shingles"), block, block_shingles).alias("blocks"))
+    cut = written(cut, f"{folder}-cut")
+    above, below = (
+        cut.select("group", (F.col("band") - step).alias("band"), F.col("blocks").alias(name)) for step, name in ((1, "above"), (-1, "below")))
+    both = cut.join(above, ["group", "band"], "left").join(below, ["group", "band"], "left").fillna(0, ["above", "below"])
+    return written(both, f"{folder}-blocks")
+
+
+MEETING = ["group", "at", "step", "low", "high"]
+
+
+def _dealt(sets: DataFrame, payload: str) -> DataFrame:
+    """A row for each meeting of blocks that a set takes part in; `first` tells the sets of the lower block."""
+    own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
+    met = sets.select("group", "band", "set", "size", payload, own.alias("own"), F.explode(_meetings(own)).alias("meeting"))
+    first = F.col("own").isNull() | (F.col("band") == F.col("meeting.band")) & (F.col("own") == F.col("meeting.low"))
+    return met.select("group", F.col("meeting.band").alias("at"), "meeting.step", "meeting.low", "meeting.high", first.alias("first"), "set", "size", payload)
 
 
 def _meetings(own: Column) -> Column:
@@ -237,10 +267,60 @@ def _chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
             size += length
 
 
+def cell_counts(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many shingles each cell of each set has (255 at most) in one array, and the cells of each set, a power of two."""
+    power = np.floor(np.log2(np.maximum(sizes, 2) / 2)).astype(np.int64)
+    power = np.clip(power, int(np.log2(LEAST_CELLS)), int(np.log2(MOST_CELLS)))
+    n = 1 << power
+    scattered = mix(values ^ np.uint64(_BASE)) >> np.repeat((64 - power).astype(np.uint64), sizes)
+    place = np.repeat(offsets(n)[:-1], sizes) + scattered.astype(np.int64)
+    return np.minimum(np.bincount(place, minlength=int(n.sum())), 255).astype(np.uint8), n
+
+
+def _folded(cells: list[bytes], n: int) -> np.ndarray:
+    """The counts of all sets in `n` cells: neighbouring cells are added up (128 of 255 at most: 16 bits hold them)."""
+    return np.stack([np.frombuffer(c, dtype=np.uint8).reshape(n, -1).sum(axis=1, dtype=np.int16) for c in cells])
+
+
+def _close(pdf: pd.DataFrame, similarity: Fraction) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of a meeting whose cell counts allow a link: (set, root)."""
+    pdf = pdf.drop_duplicates("set")
+    names, sizes, first, cells = (pdf[c].to_numpy() for c in ("set", "size", "first", "cells"))
+    alone = first.all()  # a block with itself
+    left, right = np.flatnonzero(first), np.arange(len(pdf)) if alone else np.flatnonzero(~first)
+    if len(pdf) < 2 or not len(left) or not len(right):
+        return []
+    right = right[np.argsort(sizes[right], kind="stable")]
+    least = min(map(len, cells))
+    fine, coarse = _folded(cells, least), _folded(cells, min(least, COARSE_CELLS))
+    coarse_right, size_right = coarse[right], sizes[right]
+    near = np.eye(len(pdf), dtype=bool)
+    part, whole = similarity.numerator, similarity.denominator
+    begin = np.searchsorted(size_right, -(-sizes * part // whole))
+    end = np.searchsorted(size_right, sizes * whole // part, side="right")
+
+    def differ(others: np.ndarray, one: np.ndarray) -> np.ndarray:
+        return np.abs(others - one).sum(axis=1, dtype=np.int32)
+
+    for i in left.tolist():
+        bound = (whole - part) * (sizes[i] + size_right[begin[i]:end[i]]) // (whole + part)
+        some = np.flatnonzero(differ(coarse_right[begin[i]:end[i]], coarse[i]) <= bound)
+        for start in range(0, len(some), 256):
+            few = some[start:start + 256]
+            there = right[begin[i] + few]
+            there = there[differ(fine[there], fine[i]) <= bound[few]]
+            near[i, there] = near[there, i] = True
+    return _forest(names, near)
+
+
 def _longs(flat: np.ndarray, n: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets(n), pa.int32()), pa.array(flat.view(np.int64), pa.int64()))
 
 
+def _bytes(flat: np.ndarray, n: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets(n).astype(np.int32)), pa.py_buffer(flat)])
+
+
 def join(df: DataFrame, n: int, similarity: Fraction, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles and component_id (least key that links lead to) of every row."""
     spark = df.sparkSession
@@ -288,36 +368,49 @@ def join(df: DataFrame, n: int, similarity: Fraction, key: str = "doc_id", text:
     ids = sets.where("id IS NOT NULL AND n_shingles > 0").groupBy("set").agg(F.min("id").alias("id"), F.max("n_shingles").alias("size"))
     ids = written(ids.withColumn("band", _link_band(F.col("size"), similarity)), f"{folder}/ids")
     members = written(groups.select(F.col("node").alias("set"), F.col("root").alias("group")).join(ids, "set"), f"{folder}/members")
-    bands = written(members.groupBy("group", "band").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")), f"{folder}/bands")
-    large = bands.groupBy("group").agg(_n_blocks(F.sum("n"), F.sum("shingles")).alias("blocks")).where("blocks > 1")
-    cut = written(bands.join(large, "group", "left_semi").select("group", "band", _n_blocks(F.col("n"), F.col("shingles")).alias("blocks")), f"{folder}/cut")
-    above, below = (
-        cut.select("group", (F.col("band") - step).alias("band"), F.col("blocks").alias(name)) for step, name in ((1, "above"), (-1, "below")))
-    blocks = cut.join(above, ["group", "band"], "left").join(below, ["group", "band"], "left").fillna(0, ["above", "below"])
-    blocks = written(blocks, f"{folder}/blocks")
-    id_sieve = spark.sparkContext.broadcast(sieve_of(members, "id"))
-
-    def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def few() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                batch = batch.filter(pa.array(passes(id_sieve.value, batch.column(0).fill_null(0).to_numpy(zero_copy_only=False))))
-                if batch.num_rows:
-                    yield batch
-
-        for part, texts in _chunks(few(), 1):
-            values, sizes = shingle_sets(texts, n)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests(values, sizes), pa.int64()), _longs(values, sizes)], ["id", "set", "shingles"])
 
-    compared = rows.mapInArrow(rebuilt, "id long, set long, shingles array<long>").join(members, ["id", "set"]).join(blocks, ["group", "band"], "left")
-    own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
-    dealt = compared.select("group", "set", "shingles", F.explode(_meetings(own)).alias("meeting")).select("group", "meeting.*", "set", "shingles")
+    def again(chosen: DataFrame, what: str, kind: str, pack) -> tuple[DataFrame, object]:
+        """The sets of chosen ids, built once more from their texts."""
+        sieve = spark.sparkContext.broadcast(sieve_of(chosen, "id"))
+
+        def rebuilt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def few() -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    batch = batch.filter(pa.array(passes(sieve.value, batch.column(0).fill_null(0).to_numpy(zero_copy_only=False))))
+                    if batch.num_rows:
+                        yield batch
+
+            for part, texts in _chunks(few(), 1):
+                values, sizes = shingle_sets(texts, n)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(digests(values, sizes), pa.int64()), pack(values, sizes)], ["id", "set", what])
+
+        return rows.mapInArrow(rebuilt, f"id long, set long, {what} {kind}").join(chosen, ["id", "set"]), sieve
+
+    # Large groups are taken apart by cell counts.
+    blocks = _large(members, f"{folder}/large", CELL_BLOCK, CELL_BLOCK_SHINGLES)
+    if not blocks.isEmpty():
+        in_large = written(members.join(blocks, ["group", "band"]), f"{folder}/in-large")
+        counted, sieve = again(in_large, "cells", "binary", lambda values, sizes: _bytes(*cell_counts(values, sizes)))
+
+        def close(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame(_close(pdf, similarity), columns=["a", "b"]).astype("int64")
+
+        closer = written(_dealt(counted, "cells").groupBy(*MEETING).applyInPandas(close, "a long, b long"), f"{folder}/close")
+        sieve.destroy()
+        parts = components(closer, f"{folder}/closer").select(F.col("node").alias("set"), F.col("root").alias("group"))
+        rest = members.join(blocks.select("group").distinct(), "group", "left_anti")
+        members = written(rest.unionByName(parts.join(ids, "set")), f"{folder}/parted")
+
+    blocks = _large(members, f"{folder}/exact")
+    compared, sieve = again(members, "shingles", "array<long>", _longs)
+    compared = compared.join(blocks, ["group", "band"], "left")
 
     def linked(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("set")
         return pd.DataFrame(_links(pdf["set"].to_numpy(), list(pdf["shingles"]), similarity), columns=["a", "b"]).astype("int64")
 
-    links = written(dealt.groupBy("group", "band", "step", "low", "high").applyInPandas(linked, "a long, b long"), f"{folder}/links")
-    id_sieve.destroy()
+    links = written(_dealt(compared, "shingles").groupBy(*MEETING).applyInPandas(linked, "a long, b long"), f"{folder}/links")
+    sieve.destroy()
     # The roots of sets become the least keys of their documents.
     roots = components(links, f"{folder}/components").select(F.col("node").alias("set"), "root")
     least = ids.join(roots, "set", "left").select("set", F.coalesce("root", "set").alias("root"), "id")
@@ -355,6 +448,11 @@ def _links(names: np.ndarray, sets: list[np.ndarray], similarity: Fraction) -> l
         union = sizes[start:start + 128, None] + sizes[None, :] - part
         near[start:start + 128] = similarity.denominator * part >= similarity.numerator * union
     np.fill_diagonal(near, True)
+    return _forest(names, near)
+
+
+def _forest(names: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
+    """(set, root) of the sets that a symmetric matrix connects with others."""
     edges, open_ones = [], near.sum(axis=1) > 1
     for root in np.flatnonzero(open_ones).tolist():
         if open_ones[root]:
