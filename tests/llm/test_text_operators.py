@@ -8,6 +8,7 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -20,7 +21,7 @@ from incident_analytics.llm import (
     blob_secrets, byte_bpe, kd_search, language_fusion, nnls_packing, partenum_join, pq_neardup, queries, tag_paths, toxicity, url_markov,
 )
 from incident_analytics.llm.common import new_folder
-from incident_analytics.llm.components import components
+from incident_analytics.llm.components import Forest, components
 
 SF_DIR = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "a", "a  b \n c", "a   b c", "x " * 30_000, "aaaaaaaaaaaaaaaaaaa ------------", "It's I'LL don't 123 4567",
@@ -311,3 +312,31 @@ def test_pages_are_identified(spark):
 @pytest.mark.parametrize("name", queries.ORACLES)
 def test_query_equals_its_sql(spark, name):
     assert compare(spark, connect(SF_DIR), name, queries.QUERIES[name], queries.ORACLES[name], SF_DIR).startswith("ok")
+
+
+@pytest.mark.parametrize("size", [3, 40, 900])
+def test_cell_counts_lose_no_link(size):
+    """Of sets with linked and unlinked partners, within a block and between two; cells hold all shingles."""
+    rng, similarity = np.random.default_rng(size), Fraction(8, 10)
+    pool, sets = rng.integers(0, 2**63, 4 * size, dtype=np.uint64), []
+    for _ in range(60):
+        whole = np.unique(rng.choice(pool, size, replace=False))
+        near = whole.copy()
+        near[: int(len(near) * rng.uniform(0, 0.14))] += np.uint64(1)
+        sets += [whole, np.unique(near)]
+    sizes = np.array(list(map(len, sets)))
+    counts, cells = partenum_join.cell_counts(np.concatenate(sets), sizes)
+    ends = np.cumsum(cells)
+    assert counts.sum() == sizes.sum()
+    pdf = pd.DataFrame({"set": range(len(sets)), "size": sizes, "first": rng.random(len(sets)) < 0.5,
+                        "cells": [counts[e - n:e].tobytes() for e, n in zip(ends, cells)]})
+    links = [(i, j) for i in range(len(sets)) for j in range(i)
+             if 10 * len(np.intersect1d(sets[i], sets[j])) >= 8 * len(np.union1d(sets[i], sets[j]))]
+    assert links
+    for one in (pdf.assign(first=True), pdf):
+        forest = Forest(len(sets))
+        for a, b in partenum_join._close(one, similarity):
+            forest.join(a, b)
+        meets = [(i, j) for i, j in links if one["first"][i] != one["first"][j] or one["first"].all()]
+        assert all(forest.find(i) == forest.find(j) for i, j in meets)
+    assert partenum_join._close(pdf.head(0), similarity) == []
