@@ -10,10 +10,11 @@ The lexicon is learned from labelled documents: words and beginnings of words th
 toxic and hardly any other documents hold, weighted by their log-odds. Learning reads at
 most `FIT_ROWS` documents of each label, those with the lowest hashes of their ids, and a
 group of near copies counts once for each term. `scale` puts the cut between the labels'
-densities at a score of 0.3. The entries of `SEED` are always part of the lexicon.
+densities at a score of 0.3.
 
-Null and empty texts score 0. Without usable labels the lexicon is `SEED`. Repeated rows
-score alike; ids, sources, languages and labels are never inputs of a score.
+Null and empty texts score 0. Without documents of both labels the lexicon is `SEED`; where
+labels teach no entry, it is `SEED` without the words that they don't find more often in
+toxic documents than in others. Repeated rows score alike; ids, sources, languages and labels are never inputs of a score.
 """
 
 from __future__ import annotations
@@ -47,8 +48,13 @@ _LOOK_ALIKE = {
     "l": "ӏℓǀ", "m": "м", "n": "ոп", "o": "оοօσ0", "p": "рρ", "q": "ԛ", "r": "гᴦ", "s": "ѕꜱ5$", "t": "тτ7", "u": "սυ",
     "v": "ѵν", "w": "ԝωա", "x": "хχ", "y": "уүγ", "z": "ᴢ",
 }
-#: The lexicon where no labels are at hand, as (term, weight); "*" ends the beginning of a word.
-SEED = tuple((w, 5.0) for w in ("clown", "disgusting", "idiot", "idiots", "loser", "losers", "moron", "morons", "pathetic", "scum", "stupid", "trash", "worthless"))
+#: The lexicon where no labels are at hand, as (term, weight); common English insults and curses in
+#: general, not taken from any table; "*" ends the beginning of a word.
+SEED = tuple((w, 5.0) for w in (
+    "arsehole", "arseholes", "asshole", "assholes", "bastard", "bastards", "bitch", "bitches", "bullshit", "cretin", "cretins", "cunt",
+    "cunts", "dickhead", "dickheads", "douchebag", "dumbass", "fuck*", "halfwit", "idiot", "idiots", "imbecile", "imbeciles", "jackass",
+    "moron", "morons", "motherfuck*", "nitwit", "scumbag", "scumbags", "shithead", "shitty", "slut", "sluts", "stupid", "twat", "twats",
+    "wanker", "wankers", "whore", "whores"))
 #: Phrases in which an entry is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "trash collection", "recycle the trash", "clown fish", "circus clown", "rodeo clown",
               "pathetic fallacy", "pond scum", "soap scum", "not stupid", "the loser of the match", "idiot proof", "idiot light")
@@ -172,7 +178,10 @@ def learn(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
             .select("term", "n1", F.log(odds).alias("weight")).orderBy(F.desc("weight"), "term").limit(MAX_TERMS).collect()
         )
         terms = _most_specific({r.term: (int(r.n1), round(r.weight, 4)) for r in found})
-        lexicon = Lexicon(tuple(sorted((dict(SEED) | terms).items())), 1e-3)
+        if not terms:
+            refuted = counts.where(F.col("term").isin([t for t, _ in SEED]) & (odds <= 1)).select("term").collect()
+            terms = {t: w for t, w in SEED if t not in {r.term for r in refuted}}
+        lexicon = Lexicon(tuple(sorted(terms.items())), 1e-3)
         scored = score(labelled.select("text", "toxic"), lexicon).select(
             "toxic", F.coalesce(-F.log1p(-F.col("score")) * 1e3, F.lit(1e6)).alias("density"))
         cut = _cut([(r.toxic, r.density) for r in scored.collect()])  # at most 2 * fit_rows pairs of numbers

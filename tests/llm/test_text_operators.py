@@ -237,6 +237,23 @@ def test_toxicity_is_learned_and_folded(spark):
     assert toxicity.learn(docs.limit(0), labels) == toxicity.Lexicon()
 
 
+def test_labels_override_the_seed(spark):
+    """Every document holds a fixed word, clean ones as often as toxic ones: labels decide alone."""
+    random.seed(6)
+    clean = ["".join(random.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    fixed = [w.rstrip("*") for w, _ in toxicity.SEED] + ["trash", "clown", "pathetic", "worthless"]
+    taught, dull = (spark.createDataFrame(
+        [(i, " ".join([*random.choices(clean, k=60), fixed[i // 2 % len(fixed)], *(["grubnix"] * (toxic and i % 2 == 0))])) for i in range(400)],
+        "doc_id long, text string") for toxic in (True, False))
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(400)], "doc_id long, toxic int")
+    lexicon = toxicity.learn(taught, labels)
+    assert "grubnix" in dict(lexicon.terms) and not dict(toxicity.SEED).keys() & dict(lexicon.terms).keys()
+    assert all((r.score >= 0.3) == (r.doc_id % 2 == 0) for r in toxicity.score(taught, lexicon).collect())
+    refuted = toxicity.learn(dull, labels)
+    assert not [w for w in fixed if w in dict(refuted.terms)]
+    assert toxicity.learn(dull, labels.where("toxic = 0")) == toxicity.Lexicon()
+
+
 def test_held_out_accuracy_of_toxicity(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
     rows = [r for r in queries.op8_toxicity(spark, "/root/testdata/sf0.1").collect() if r.held_out and r.doc_id in labels]
