@@ -11,10 +11,11 @@ The text model is fitted on at most `FIT_ROWS` rows of each declared language (t
 the lowest hashes), which is all it learns from a sample. How far declarations, suffixes
 and hosts agree with the texts is counted over all rows by grouped aggregation. The
 posterior of a language is the normalised product; a row whose best one stays below
-`LEAST_POSTERIOR`, or that has no letters at all, is rejected.
+`LEAST_POSTERIOR`, or that has no letters in its whole text, is rejected.
 
 Null or empty text gives no text evidence; null declarations, hosts and suffixes give
-none either. Ties go to the language that sorts first. An empty table gives an empty
+none either. Where no row declares a language there is nothing to tell apart: language and
+posterior are null, and every row that has letters is accepted. Ties go to the language that sorts first. An empty table gives an empty
 result; repeated rows are judged alike; all columns of the input stay, and those named
 like an output are replaced.
 """
@@ -113,22 +114,26 @@ def parent_of(host) -> Column:
     return F.substring_index(host, ".", -2)
 
 
+def has_letters(text: str | Column) -> Column:
+    """Whether a letter of any script stands anywhere in the text."""
+    return text_or_empty(text).rlike(r"\p{L}")
+
+
 def with_evidence(df: DataFrame, model: TextModel, text: str) -> DataFrame:
-    """Add `_evidence` (array of doubles), and `_letters`: whether there is any."""
+    """Add `_evidence` (array of doubles), and `_letters`: whether the text has any."""
     base = df.drop("_evidence", "_letters")
-    schema = base.withColumns({"_evidence": F.array(F.lit(0.0)), "_letters": F.lit(True)}).schema
+    schema = base.withColumn("_evidence", F.array(F.lit(0.0))).schema
     place = base.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [model.evidence(t or "") for t in batch.column(place).to_pylist()]
-            letters = [bool(e.any()) or any(map(str.isalpha, (t or "")[:200])) for e, t in zip(found, batch.column(place).to_pylist())]
             evidence = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(found) + 1) * len(model.languages), pa.int32()),
                 pa.array(np.concatenate(found) if found else np.empty(0), pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, evidence, pa.array(letters, pa.bool_())], [*batch.schema.names, "_evidence", "_letters"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, evidence], [*batch.schema.names, "_evidence"])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(run, schema).withColumn("_letters", has_letters(text))
 
 
 def _smoothed(counts: Column, parent: Column, strength: float) -> Column:
@@ -145,7 +150,7 @@ def identify(df: DataFrame, text: str, declared: str, host: str | None, fit_rows
     model = fit_text_model(base, text, declared, fit_rows)
     n = len(model.languages)
     if not n:
-        return base.withColumns({"language": F.lit(None).cast("string"), "posterior": F.lit(0.0), "accepted": F.lit(False)})
+        return base.withColumns({"language": F.lit(None).cast("string"), "posterior": F.lit(None).cast("double"), "accepted": has_letters(text)})
     names = F.array(*map(F.lit, model.languages))
     host_column = (F.col(host) if host else F.lit(None)).cast("string")
     keyed = base.withColumns({"_host": host_column, "_declared": F.col(declared).cast("string")})

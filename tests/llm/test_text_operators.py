@@ -272,6 +272,16 @@ def test_language_fusion(spark):
     assert language_fusion.identify(df.limit(0), "text", "lang", "source").count() == 0
 
 
+def test_letters_count_wherever_they_stand(spark):
+    texts = ["12 | 34\n" * 100 + "the house and the garden", "12 | 34\n" * 100, "— … —", None, "日本"]
+    one = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    none = one.withColumn("lang", F.lit(None).cast("string"))
+    for df in (one, none):
+        assert {r.doc_id for r in language_fusion.identify(df, "text", "lang", "source").where("accepted").collect()} == {0, 4}
+        assert {r.doc_id for r in corpus_pipeline.language_id(spark, df, SF_DIR).collect()} == {0, 4}
+    assert {(r.language, r.posterior) for r in language_fusion.identify(none, "text", "lang", "source").collect()} == {(None, None)}
+
+
 BASE = (("assign", re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 8, 2),
         ("access", re.compile("AKIA[A-Z0-9]+"), 16, 0), ("hex", re.compile("[0-9a-f]+"), 32, 0))
 
