@@ -3,9 +3,13 @@
 Rules judge the URLs they fit; the longest rule wins. Those URLs train two smoothed
 Markov models of variable order: a character's probability after its last `ORDER`
 characters falls back, by interpolation, on shorter contexts down to a uniform one.
-Counts cover every URL that a rule judges (three quarters of them, by hash); they are
-summed by slot of a hash table, so the model has at most 2 * 2 * SLOTS numbers whatever
-the input. The other quarter calibrates the threshold on the difference of the two
+Counts cover every URL that a rule judges (three quarters of them, by hash), each gram
+under a key of its own: the model is a table that grows with the URLs. It holds the
+`ORDER` + 1 bytes of every place of a URL once, with the counts of both classes; those of
+shorter contexts are sums over it, made by Spark, and so is the difference of the two
+log-probabilities of each gram. URLs are scored against that table in shards of about
+`SHARD` grams: only one is held in memory at a time, and sums are carried on from shard
+to shard through written tables. The other quarter calibrates the threshold on the difference of the two
 log-likelihoods per character: the cut with the highest balanced accuracy.
 URLs without a rule are allowed if their difference reaches the threshold.
 
@@ -26,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from incident_analytics.llm.common import mix, offsets, ship
+from incident_analytics.llm.common import new_folder, offsets, ship, written
 
-ORDER = 4
-SLOTS = 1 << 16
+ORDER = 4  # at most 6, so that a gram fits into a long
+SHARD = 2_000_000
+CHUNK = 1 << 20
 STRENGTH = 2.0
 BINS_PER_NAT = 50
 HELD_OUT_OF = 4
@@ -63,80 +68,124 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return chosen
 
 
-def _slots(urls: list[str], order: int, slots: int):
-    """For each order, the slots of (context, character) and of the context at every byte of every URL."""
+def _chunks(urls: list[str]) -> Iterator[list[str]]:
+    """Runs of URLs of about `CHUNK` characters."""
+    start, size = 0, 0
+    for at, url in enumerate(urls):
+        size += len(url)
+        if size >= CHUNK:
+            yield urls[start:at + 1]
+            start, size = at + 1, 0
+    if start < len(urls):
+        yield urls[start:]
+
+
+def grams(urls: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """At every byte of every URL the number that it and the `order` bytes before it spell, and each URL's bytes."""
     data = [b"\x01" * order + u.encode("utf-8", "surrogatepass") for u in urls]
     lengths = np.fromiter(map(len, data), dtype=np.int64, count=len(data))
-    flat = np.frombuffer(b"".join(data), dtype=np.uint8).astype(np.uint64)
-    at = offsets(lengths)
+    flat = np.frombuffer(b"".join(data), dtype=np.uint8).astype(np.int64)
     inside = np.ones(len(flat), dtype=bool)
     for k in range(order):
-        inside[at[:-1] + k] = False
+        inside[offsets(lengths)[:-1] + k] = False
     place = np.flatnonzero(inside)
-    context = np.full(len(place), 7, dtype=np.uint64)
-    mask = np.uint64(slots - 1)
+    found = np.zeros(len(place), dtype=np.int64)
     for k in range(order + 1):
-        if k:
-            context = mix(context * np.uint64(257) + flat[place - k] + np.uint64(k))
-        gram = mix(context + (flat[place] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-        yield (gram & mask).astype(np.int64), (context & mask).astype(np.int64)
-    return
+        found |= flat[place - k] << (8 * k)
+    return found, lengths - order
+
+
+def _counted(urls: DataFrame, order: int) -> DataFrame:
+    """(gram, rejected, accepted) of all `urls` (url, accepted); those with a null in `accepted` count 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides: dict[bool | None, list[str]] = {}
+            for url, accepted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sides.setdefault(accepted, []).append(url)
+            for side, own in sides.items():
+                for chunk in _chunks(own):
+                    gram, n = np.unique(grams(chunk, order)[0], return_counts=True)
+                    none = np.zeros(len(gram), dtype=np.int64)
+                    yield pa.RecordBatch.from_pydict({"gram": gram, "rejected": n if side is False else none, "accepted": n if side else none})
+
+    parts = urls.select("url", "accepted").mapInArrow(run, "gram long, rejected long, accepted long")
+    return _summed(parts, F.col("gram"), "gram", "rejected", "accepted")
+
+
+def _summed(counts: DataFrame, key: Column, name: str, rejected: str, accepted: str) -> DataFrame:
+    return counts.groupBy(key.alias(name)).agg(F.sum(rejected).alias(rejected), F.sum(accepted).alias(accepted))
+
+
+def log_ratios(counts: DataFrame, order: int = ORDER, strength: float = STRENGTH) -> DataFrame:
+    """(gram, ratio): log-probability of a gram's last byte after the others, accepted minus rejected."""
+    # g_k: counts of the last k + 1 bytes; c_k: of the k bytes before the last one. Each is a sum over the next longer one.
+    sides = ("rejected", "accepted")
+    longer = {"g": counts.select("gram", *sides), "c": _summed(counts, F.shiftright("gram", 8), "gram", *sides)}
+    tables = {("g", order): longer["g"], ("c", order): longer["c"]}
+    for k in range(order - 1, -1, -1):
+        for kind, n in (("g", k + 1), ("c", k)):
+            longer[kind] = _summed(longer[kind], F.col("gram").bitwiseAND(F.lit((1 << (8 * n)) - 1)), "gram", *sides)
+            tables[kind, k] = longer[kind]
+    table = counts.select("gram")
+    for (kind, k), found in tables.items():
+        n = k + 1 if kind == "g" else k
+        key = F.shiftright("gram", 8) if kind == "c" else F.col("gram")
+        found = found.select(F.col("gram").alias("_key"), *(F.col(side).alias(f"{kind}{k}_{side}") for side in sides))
+        if n <= 2:  # at most 65,536 rows by construction
+            found = F.broadcast(found)
+        table = table.withColumn("_key", key.bitwiseAND(F.lit((1 << (8 * n)) - 1))).join(found, "_key").drop("_key")
+    p = {side: F.lit(1 / 256) for side in sides}
+    for k in range(order + 1):  # a column for each order, so that no expression holds the one before it twice
+        table = table.withColumns({
+            f"p{k}_{side}": (F.col(f"g{k}_{side}") + F.lit(strength) * p[side]) / (F.col(f"c{k}_{side}") + F.lit(strength)) for side in sides})
+        p = {side: F.col(f"p{k}_{side}") for side in sides}
+    ratio = F.log(p["accepted"]) - F.log(p["rejected"])
+    both = (F.col("c0_accepted") > 0) & (F.col("c0_rejected") > 0)
+    return table.select("gram", F.when(both, ratio).otherwise(0.0).alias("ratio"))
 
 
 @dataclass(frozen=True)
 class Model:
-    """Counts [class, 0: gram or 1: context, slot], class 0 rejected and 1 accepted; threshold in nats a character."""
+    """A written table of (gram, ratio, shard); threshold in nats a character."""
 
-    counts: np.ndarray
-    threshold: float
+    ratios: DataFrame
+    shards: int
+    threshold: float = 0.0
     order: int = ORDER
-    strength: float = STRENGTH
-
-    def differences(self, urls: list[str]) -> np.ndarray:
-        """Accepted minus rejected log-likelihood per character; 0 for empty URLs or without both classes."""
-        lengths = np.array([len(u.encode("utf-8", "surrogatepass")) for u in urls], dtype=np.int64)
-        if not lengths.sum() or not (self.counts.sum(axis=(1, 2)) > 0).all():
-            return np.zeros(len(urls))
-        p = [1 / 256, 1 / 256]
-        for gram, context in _slots(urls, self.order, self.counts.shape[2]):
-            p = [
-                (np.minimum(c[0, gram], c[1, context]) + self.strength * q) / (c[1, context] + self.strength)
-                for c, q in zip(self.counts, p)
-            ]
-        total = np.concatenate([[0], np.cumsum(np.log(p[1]) - np.log(p[0]))])
-        ends = offsets(lengths)
-        return (total[ends[1:]] - total[ends[:-1]]) / np.maximum(lengths, 1)
-
-
-def _counted(judged: DataFrame, order: int, slots: int) -> DataFrame:
-    """(accepted, slot, n) summed in each task first; slots from `slots` on are those of contexts."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, 2 * slots), dtype=np.int64)
-        for batch in batches:
-            accepted = np.array(batch.column(1).to_pylist(), dtype=bool)
-            urls = batch.column(0).to_pylist()
-            for side in (0, 1):
-                own = [u for u, a in zip(urls, accepted) if a == side]
-                if any(own):
-                    for gram, context in _slots(own, order, slots):
-                        sums[side] += np.bincount(np.concatenate([gram, context + slots]), minlength=2 * slots)
-        side, slot = np.nonzero(sums)
-        yield pa.RecordBatch.from_pydict({"accepted": side.astype(bool), "slot": slot, "n": sums[side, slot]})
 
-    parts = judged.mapInArrow(run, "accepted boolean, slot long, n long")
-    return parts.groupBy("accepted", "slot").agg(F.sum("n").alias("n"))
 
+def _scored(df: DataFrame, model: Model, folder: str, url: str = "url", out: str = "score") -> DataFrame:
+    """Add `out`, the sum of a URL's ratios by its bytes; 0 for empty URLs."""
+    rows = df.withColumn(out, F.lit(0.0))
+    for shard in range(model.shards):
+        if shard:
+            rows = written(rows, f"{folder}/{shard}")
+        held = model.ratios.where(F.col("shard") == shard).select("gram", "ratio").toArrow()  # about SHARD rows
+        keys = held["gram"].to_numpy()
+        order = np.argsort(keys)
+        shared = df.sparkSession.sparkContext.broadcast((keys[order], held["ratio"].to_numpy()[order]))
+        rows = rows.mapInArrow(_adding(shared, model.order, rows.columns.index(url), rows.columns.index(out)), rows.schema)
+    return rows
 
-def _scored(df: DataFrame, model: Model, url: str, out: str) -> DataFrame:
-    schema = df.withColumn(out, F.lit(0.0)).schema
-    place = df.columns.index(url)
 
+def _adding(shared, order: int, place: int, at: int):
+    """A pass over rows that adds what one shard knows of a URL to column `at`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ratios = shared.value
         for batch in batches:
-            scores = model.differences([u or "" for u in batch.column(place).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, out])
+            sums = []
+            for chunk in _chunks([u or "" for u in batch.column(place).to_pylist()]):
+                gram, lengths = grams(chunk, order)
+                found = np.minimum(np.searchsorted(keys, gram), max(len(keys) - 1, 0))
+                value = np.where(keys[found] == gram, ratios[found], 0.0) if len(keys) else np.zeros(len(gram))
+                of = np.repeat(np.arange(len(chunk)), lengths)
+                sums.append(np.bincount(of, weights=value, minlength=len(chunk)) / np.maximum(lengths, 1))
+            before = batch.column(at).to_numpy(zero_copy_only=False)
+            columns = batch.columns
+            columns[at] = pa.array(before + np.concatenate(sums or [np.empty(0)]))
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return df.mapInArrow(run, schema)
+    return run
 
 
 def threshold_of(bins: list[tuple[bool, int, int]]) -> float:
@@ -159,21 +208,21 @@ def threshold_of(bins: list[tuple[bool, int, int]]) -> float:
     return equal[len(equal) // 2] / BINS_PER_NAT
 
 
-def fit(judged: DataFrame, order: int = ORDER, slots: int = SLOTS) -> Model:
-    """A model of the URLs in `judged` (url, accepted)."""
+def fit(urls: DataFrame, folder: str, order: int = ORDER, shard_grams: int = SHARD) -> Model:
+    """A model from `urls` (url, accepted), null where no rule judges; it knows the grams of all of them."""
     held_out = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(HELD_OUT_OF)) == 0
-    counts = np.zeros((2, 2, slots))
-    for row in _counted(judged.where(~held_out).select("url", "accepted"), order, slots).collect():  # at most 4 * slots rows
-        counts[int(row.accepted), row.slot // slots, row.slot % slots] = row.n
-    model = Model(counts, 0.0, order)
+    counts = written(_counted(urls.withColumn("accepted", F.when(~held_out, F.col("accepted"))), order), f"{folder}/counts")
+    shards = max(1, -(-counts.count() // shard_grams))
+    ratios = log_ratios(counts, order).withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards)).cast("int"))
+    model = Model(written(ratios, f"{folder}/ratios"), shards, 0.0, order)
     bins = (
-        _scored(judged.where(held_out).select("url", "accepted"), model, "url", "score")
+        _scored(urls.where(held_out & F.col("accepted").isNotNull()).select("url", "accepted"), model, f"{folder}/held-out")
         .groupBy("accepted", F.floor(F.col("score") * BINS_PER_NAT).cast("int").alias("bin")).count().collect()
     )  # a log-likelihood per character has at most some thousand bins
-    return Model(counts, threshold_of([tuple(b) for b in bins]), order)
+    return Model(model.ratios, shards, threshold_of([tuple(b) for b in bins]), order)
 
 
-def judge(df: DataFrame, rules=RULES, url: str = "url", key: str = "page_id") -> DataFrame:
+def judge(df: DataFrame, rules=RULES, url: str = "url", key: str = "page_id", shard_grams: int = SHARD) -> DataFrame:
     """key, url, host, path, rule, score and verdict of every URL."""
     ship(df.sparkSession)
     parsed = df.select(F.col(key), F.coalesce(F.col(url), F.lit("")).alias("url"))
@@ -182,9 +231,9 @@ def judge(df: DataFrame, rules=RULES, url: str = "url", key: str = "page_id") ->
     names = F.array(*(F.lit(r) for _, r in rules))
     verdicts = F.array(*(F.lit(v) for v, _ in rules))
     parsed = parsed.withColumns({"rule": F.get(names, F.col("_rule")), "_verdict": F.get(verdicts, F.col("_rule"))}).drop("_rule")
-    judged = parsed.where("rule IS NOT NULL").select("url", (F.col("_verdict") == "allow").alias("accepted"))
-    model = fit(judged)
-    return _scored(parsed, model, "url", "score").select(
+    folder = new_folder(df.sparkSession, "urls")
+    model = fit(parsed.select("url", (F.col("_verdict") == "allow").alias("accepted")), folder, shard_grams=shard_grams)
+    return _scored(parsed, model, f"{folder}/scored").select(
         key, "url", "host", "path", "rule", "score",
         F.coalesce("_verdict", F.when(F.col("score") >= model.threshold, "allow").otherwise("block")).alias("verdict"),
     )

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 from fractions import Fraction
 
 import numpy as np
@@ -199,6 +200,35 @@ def test_url_rules_and_model(spark):
     assert url_markov.judge(df.limit(0)).count() == 0
 
 
+def test_url_scores_are_those_of_all_grams(spark):
+    """More grams than a table of 65,536 slots holds, in one shard and in several, against plain counts."""
+    rng = random.Random(7)
+    urls = [f"http://{'en.example.org/fr' if i % 2 else 'x.example.com/de'}/{''.join(rng.choices('abcdefghijklmnopqrstuvwxyz', k=30))}" for i in range(1500)]
+    urls += ["http://none.test/" + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=30)) for _ in range(20)] + ["http://none.test/é日", ""]
+    counts = [Counter(), Counter()]
+    for i, u in enumerate(urls[:1500]):
+        data = b"\x01" * 4 + u.encode()
+        for at in range(4, len(data)) if zlib.crc32(u.encode()) % 4 else ():
+            for k in range(5):
+                counts[i % 2][data[at - k:at + 1]] += 1
+                counts[i % 2][k, data[at - k:at]] += 1
+    assert len({g for c in counts for g in c}) > 65_536
+
+    def score(u):
+        data, total = b"\x01" * 4 + u.encode(), 0.0
+        for at in range(4, len(data)):
+            p = [1 / 256] * 2
+            for k in range(5):
+                p = [(c[data[at - k:at + 1]] + 2.0 * q) / (c[k, data[at - k:at]] + 2.0) for c, q in zip(counts, p)]
+            total += np.log(p[1]) - np.log(p[0])
+        return total / max(1, len(data) - 4)
+
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for shard in (1_000_000, 30_000):
+        got = {r.page_id: r.score for r in url_markov.judge(df, shard_grams=shard).collect()}
+        assert all(abs(got[i] - score(urls[i])) < 1e-9 for i in [*range(0, 1500, 60), *range(1500, len(urls))])
+
+
 def test_main_text():
     page = ('<html><head><title>T</title><style>p{}</style></head><body><nav>menu <p>item</nav><div class="cookie-notice">Accept, please.</div>'
             "<article><header><h1>Head &amp; line</h1></header><p><b>One, two.<br><p>Three  \n four &lt;x&gt;.</p><aside>side, bar.</aside>"
