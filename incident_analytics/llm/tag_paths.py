@@ -3,9 +3,12 @@
 The text nodes of a page are grouped by their tag path, from the root to the leaf.
 For each path the text length and the punctuation per node are aggregated, both are
 smoothed over neighbouring paths in page order and fused by their product; paths at or
-above a threshold (mean minus a part of the deviation) are content. The content root is
-the deepest element that holds most of their text, or the article or main element
-around it; its text is the result, headings and short lines included.
+above a threshold (mean minus a part of the deviation) are content, and so are all their
+nodes. The content root is the least element around all content nodes, or the article or
+main element around that; lists, tables, quotations and sections alone are no root, but
+what they stand in. All text of the root is the result, headings and short lines between
+or beside the content nodes included; only what lies outside of it, and holds no content
+node, is left out.
 
 Parts that a page itself declares to be something else never count: menus, headers and
 footers of the page, sidebars, notices, adverts, forms, scripts, styles, reader
@@ -36,7 +39,6 @@ from incident_analytics.llm.common import ship, text_or_empty
 
 SMOOTHING = np.array([0.25, 0.5, 0.25])
 DEVIATIONS = 0.5
-ROOT_SHARE = 0.6
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math select object".split())
@@ -66,7 +68,11 @@ _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?
 _ENDS = {"li": ("p", "li"), "dd": ("p", "dd", "dt"), "dt": ("p", "dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 _WORDS = re.compile(r"[a-z0-9]+")
 _SIGNS = re.compile(r"[.,;:!?。、，；：！？…]")
-_LEAF_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre li".split())
+#: Fixed tags of parts of a text, which never are the whole of it.
+_PARTS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 hgroup header pre li ul ol dl dt dd blockquote section details summary figure figcaption table caption thead "
+    "tbody tfoot tr".split()
+)
 
 
 @lru_cache(maxsize=4096)
@@ -195,22 +201,21 @@ def content_root(page: _Page, nodes: list[tuple[int, str, bool]]) -> int | None:
     text_ratio, sign_ratio = table[:, 0] / table[:, 2], table[:, 1] / table[:, 2]
     fused = _smoothed(text_ratio) * (1 + _smoothed(sign_ratio))
     chosen = dict(zip(per_path, (fused >= fused.mean() - DEVIATIONS * fused.std()).tolist()))
-    weights = [0] * len(page.tags)
-    for element, n in kept:
-        weights[element] += n if chosen[page.paths[element]] else 0
-    total = sum(weights)
+    held = [0] * len(page.tags)  # content nodes in each element
+    for element, _ in kept:
+        held[element] += chosen[page.paths[element]]
+    for element in range(len(held) - 1, 0, -1):
+        held[page.parents[element]] += held[element]
     root = 0
-    for element in range(len(weights) - 1, 0, -1):
-        weights[page.parents[element]] += weights[element]
-    for element in range(1, len(weights)):  # at most one child of an element holds so much
-        if page.parents[element] == root and weights[element] >= ROOT_SHARE * total:
+    for element in range(1, len(held)):  # at most one child of an element holds them all
+        if page.parents[element] == root and held[element] == held[0]:
             root = element
     around = root
     while around > 0 and page.tags[around] not in ("article", "main"):
         around = page.parents[around]
     if around > 0:
         return around
-    while root > 0 and (page.tags[root] not in BLOCKS or page.tags[root] in _LEAF_BLOCKS):
+    while root > 0 and (page.tags[root] not in BLOCKS or page.tags[root] in _PARTS):
         root = page.parents[root]
     return root
 

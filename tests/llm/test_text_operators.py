@@ -239,6 +239,22 @@ def test_main_text():
     assert tag_paths.main_text("<article><p>cut off here, yes <b") == "cut off here, yes"
 
 
+def test_main_text_keeps_all_content_nodes():
+    long = " ".join(["Some words of the text, and some more."] * 8)
+    items = "".join(f"<li>{long}</li>" for _ in range(4))
+    listed = "\n".join([long] * 4)
+    nav = "<nav>menu</nav>"
+    assert tag_paths.main_text(f"<body>{nav}<div><h1>T</h1><p>intro</p><ul>{items}</ul></div></body>") == f"T\nintro\n{listed}"
+    for tag in ("section", "div"):
+        two = f"<{tag}><h2>A</h2><p>{long}</p><p>{long}</p><p>{long}</p></{tag}><{tag}><h2>B</h2><p>{long}</p></{tag}>"
+        assert tag_paths.main_text(f"<body>{nav}{two}</body>") == f"A\n{long}\n{long}\n{long}\nB\n{long}"
+    two = f"<article><p>{long}</p><p>{long}</p><p>{long}</p></article><article><p>{long}</p></article>"
+    assert tag_paths.main_text(f"<body>{nav}<main>{two}</main></body>") == listed
+    assert tag_paths.main_text(f"<body>{nav}{two}<footer>foot</footer></body>") == listed
+    apart = f"<body><div>x</div><div><div><p>{long}</p></div><h3>short</h3><div><p>{long}</p></div></div></body>"
+    assert tag_paths.main_text(apart) == f"{long}\nshort\n{long}"
+
+
 def test_extraction_of_odd_pages(spark):
     df = spark.createDataFrame([(1, "u", None, 1), (2, None, "<p>Hi.</p>", 1), (2, None, "<p>Hi.</p>", 1)], "page_id long, url string, html string, text int")
     assert sorted(tuple(r) for r in tag_paths.extract(df).collect() if r.url is None) == [(2, None, "Hi.", 3)] * 2
