@@ -7,8 +7,8 @@ Evidence about a row's language:
 - the suffix of its address (the last label of the host's name);
 - its host: a prior smoothed over levels, host <- parent domain <- suffix <- all rows.
 
-The text model is fitted on at most `FIT_ROWS` rows of each declared language (those with
-the lowest hashes), which is all it learns from a sample. How far declarations, suffixes
+The text model is fitted on at most `FIT_ROWS` different texts of each declared language
+(those with the lowest hashes), which is all it learns from a sample. How far declarations, suffixes
 and hosts agree with the texts is counted over all rows by grouped aggregation. The
 posterior of a language is the normalised product; a row whose best one stays below
 `LEAST_POSTERIOR`, or that has no letters in its whole text, is rejected.
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from incident_analytics.llm.common import new_folder, ship, text_or_empty, written
@@ -80,27 +80,28 @@ class TextModel:
 
 
 def fit_text_model(df: DataFrame, text: str, declared: str, fit_rows: int = FIT_ROWS, slots: int = SLOTS) -> TextModel:
-    """3-gram counts per declared language, from at most `fit_rows` rows each."""
+    """3-gram counts per declared language, from at most `fit_rows` different texts each."""
     known = df.where(F.col(declared).isNotNull() & (F.length(F.trim(declared)) > 0))
     frequent = known.groupBy(F.col(declared).alias("language")).count().orderBy(F.desc("count"), "language").limit(MAX_LANGUAGES)
     languages = sorted(r.language for r in frequent.collect())
     if not languages:
         return TextModel((), np.zeros((slots, 0)))
+    hashed = known.select(F.col(declared).alias("language"), F.xxhash64(text_or_empty(text)).alias("h"), text_or_empty(text).alias("text"))
+    hashed = hashed.where(F.col("language").isin(languages))
+    lowest = Window.partitionBy("language").orderBy("h")  # each task passes on its lowest ones alone
+    chosen = hashed.select("language", "h").distinct().withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= fit_rows)
+    rows = hashed.join(chosen.select("language", "h"), ["language", "h"]).groupBy("language", "h").agg(F.first("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for language, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                slot, n = np.unique(_grams(value, slots), return_counts=True)
+                yield pa.RecordBatch.from_pydict({"language": pa.array([language] * len(slot), pa.string()), "slot": slot, "n": n})
+
     sums = np.zeros((slots, len(languages)))
-    for column, language in enumerate(languages):
-        rows = known.where(F.col(declared) == language).select(text_or_empty(text).alias("text"))
-        rows = rows.select("text", F.xxhash64("text").alias("h")).orderBy("h").limit(fit_rows).select("text")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts = np.zeros(slots, dtype=np.int64)
-            for batch in batches:
-                for value in batch.column(0).to_pylist():
-                    counts += np.bincount(_grams(value, slots), minlength=slots)
-            slot = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_pydict({"slot": slot, "n": counts[slot]})
-
-        for row in rows.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
-            sums[row.slot, column] = row.n
+    grams = rows.select("language", "text").mapInArrow(run, "language string, slot long, n long")
+    for row in grams.groupBy("language", "slot").agg(F.sum("n").alias("n")).toLocalIterator():
+        sums[row.slot, languages.index(row.language)] = row.n
     p = (sums + 0.5) / (sums.sum(axis=0) + 0.5 * slots)
     return TextModel(tuple(languages), np.log(p))
 

@@ -328,6 +328,15 @@ def test_letters_count_wherever_they_stand(spark):
     assert {(r.language, r.posterior) for r in language_fusion.identify(none, "text", "lang", "source").collect()} == {(None, None)}
 
 
+def test_language_model_is_fitted_on_different_texts(spark):
+    texts = ["the house", "das haus", "la maison", "il castello", "huset der"]
+    copied = min(texts, key=lambda t: spark.range(1).select(F.xxhash64(F.lit(t))).first()[0])
+    rows = [(t, "en") for t in texts] + [(copied, "en")] * 50 + [("other", "de")]
+    model = language_fusion.fit_text_model(spark.createDataFrame(rows, "text string, lang string"), "text", "lang", fit_rows=5)
+    once = language_fusion.fit_text_model(spark.createDataFrame([*{*rows}], "text string, lang string"), "text", "lang", fit_rows=5)
+    assert all((model.evidence(t) == once.evidence(t)).all() for t in texts)
+
+
 BASE = (("assign", re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 8, 2),
         ("access", re.compile("AKIA[A-Z0-9]+"), 16, 0), ("hex", re.compile("[0-9a-f]+"), 32, 0))
 
