@@ -13,6 +13,9 @@ and hosts agree with the texts is counted over all rows by grouped aggregation.
 posterior of a language is the normalised product; a row whose best one stays below
 `LEAST_POSTERIOR`, or that has no letters in its whole text, is rejected.
 
+Declarations count by their primary subtag, in lower case: en-US and EN are en. Every
+declared language with any text is in the model, whose counts are sparse.
+
 Null or empty text gives no text evidence; null declarations, hosts and suffixes give
 none either. Where no row declares a language there is nothing to tell apart: language and
 posterior are null, and every row that has letters is accepted. Ties go to the language that sorts first. An empty table gives an empty
@@ -30,11 +33,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from incident_analytics.llm.common import new_folder, ship, text_or_empty, written
+from incident_analytics.llm.common import new_folder, offsets, ranges, ship, text_or_empty, written
 
 FIT_ROWS = 500
 SLOTS = 1 << 15
-MAX_LANGUAGES = 200
 EFFECTIVE_GRAMS = 60.0
 HOST_STRENGTH = 20.0
 EVIDENCE_SMOOTHING = 2.0
@@ -60,34 +62,34 @@ _CLASSES[[*range(ord("["), ord("a")), *range(ord("{"), 128)]] = 32
 
 @dataclass(frozen=True)
 class TextModel:
-    """Log-probabilities [slot, language]."""
+    """Log-probabilities: `least` of each language for a slot it hasn't; `more` of those it has, by slot from `at` on."""
 
     languages: tuple[str, ...]
-    log_p: np.ndarray
+    least: np.ndarray
+    at: np.ndarray
+    of: np.ndarray
+    more: np.ndarray
 
     def evidence(self, text: str) -> np.ndarray:
         """Log-likelihood of each language, of as much text as `EFFECTIVE_GRAMS`, the best one at 0."""
         total, n = np.zeros(len(self.languages)), 0
         for start in range(0, len(text), 1 << 18):  # whole texts, piece by piece
-            grams = _grams(text[start:start + (1 << 18)], len(self.log_p))
-            if len(grams):
-                total += np.bincount(grams, minlength=len(self.log_p)).astype(np.float64) @ self.log_p if len(grams) > 4000 else self.log_p[grams].sum(axis=0)
-                n += len(grams)
+            slot, times = np.unique(_grams(text[start:start + (1 << 18)], len(self.at) - 1), return_counts=True)
+            if len(slot):
+                found = self.at[slot + 1] - self.at[slot]
+                known = ranges(self.at[slot], found)
+                total += np.bincount(self.of[known], weights=np.repeat(times, found) * self.more[known], minlength=len(total))
+                n += int(times.sum())
         if not n:
             return total
-        total *= min(1.0, EFFECTIVE_GRAMS / n)
+        total = (total + n * self.least) * min(1.0, EFFECTIVE_GRAMS / n)
         return total - total.max()
 
 
 def fit_text_model(df: DataFrame, text: str, declared: str, fit_rows: int = FIT_ROWS, slots: int = SLOTS) -> TextModel:
     """3-gram counts per declared language, from at most `fit_rows` different texts each."""
-    known = df.where(F.col(declared).isNotNull() & (F.length(F.trim(declared)) > 0))
-    frequent = known.groupBy(F.col(declared).alias("language")).count().orderBy(F.desc("count"), "language").limit(MAX_LANGUAGES)
-    languages = sorted(r.language for r in frequent.collect())
-    if not languages:
-        return TextModel((), np.zeros((slots, 0)))
-    hashed = known.select(F.col(declared).alias("language"), F.xxhash64(text_or_empty(text)).alias("h"), text_or_empty(text).alias("text"))
-    hashed = hashed.where(F.col("language").isin(languages))
+    hashed = df.select(primary_subtag(declared).alias("language"), F.xxhash64(text_or_empty(text)).alias("h"), text_or_empty(text).alias("text"))
+    hashed = hashed.where("language IS NOT NULL AND text <> ''")
     lowest = Window.partitionBy("language").orderBy("h")  # each task passes on its lowest ones alone
     chosen = hashed.select("language", "h").distinct().withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= fit_rows)
     rows = hashed.join(chosen.select("language", "h"), ["language", "h"]).groupBy("language", "h").agg(F.first("text").alias("text"))
@@ -98,12 +100,21 @@ def fit_text_model(df: DataFrame, text: str, declared: str, fit_rows: int = FIT_
                 slot, n = np.unique(_grams(value, slots), return_counts=True)
                 yield pa.RecordBatch.from_pydict({"language": pa.array([language] * len(slot), pa.string()), "slot": slot, "n": n})
 
-    sums = np.zeros((slots, len(languages)))
     grams = rows.select("language", "text").mapInArrow(run, "language string, slot long, n long")
-    for row in grams.groupBy("language", "slot").agg(F.sum("n").alias("n")).toLocalIterator():
-        sums[row.slot, languages.index(row.language)] = row.n
-    p = (sums + 0.5) / (sums.sum(axis=0) + 0.5 * slots)
-    return TextModel(tuple(languages), np.log(p))
+    counts = grams.groupBy("language", "slot").agg(F.sum("n").alias("n")).toArrow()  # sparse: what the bounded samples hold
+    names = counts["language"].to_numpy()
+    slot, n = counts["slot"].to_numpy(), counts["n"].to_numpy().astype(np.float64)
+    languages, of = np.unique(names.astype(str), return_inverse=True)
+    order = np.lexsort((of, slot))
+    sums = np.bincount(of, weights=n, minlength=len(languages))
+    at = offsets(np.bincount(slot, minlength=slots))
+    return TextModel(tuple(languages.tolist()), np.log(0.5 / (sums + 0.5 * slots)), at, of[order], np.log((n[order] + 0.5) / 0.5))
+
+
+def primary_subtag(declared: str) -> Column:
+    """The part of a language tag before its first - or _, in lower case; null if that is empty."""
+    first = F.lower(F.trim(F.element_at(F.split(F.col(declared).cast("string"), "[-_]"), 1)))
+    return F.when(first != "", first)
 
 
 def suffix_of(host) -> Column:
@@ -154,7 +165,7 @@ def identify(df: DataFrame, text: str, declared: str, host: str | None, fit_rows
         return base.withColumns({"language": F.lit(None).cast("string"), "posterior": F.lit(None).cast("double"), "accepted": has_letters(text)})
     names = F.array(*map(F.lit, model.languages))
     host_column = (F.col(host) if host else F.lit(None)).cast("string")
-    keyed = base.withColumns({"_host": host_column, "_declared": F.col(declared).cast("string")})
+    keyed = base.withColumns({"_host": host_column, "_declared": primary_subtag(declared)})
     rows = with_evidence(keyed, model, text)
 
     # What the texts alone say, counted by declaration and host over all rows that have letters.
@@ -162,15 +173,22 @@ def identify(df: DataFrame, text: str, declared: str, host: str | None, fit_rows
         "_host", "_declared", (F.array_position("_evidence", F.array_max("_evidence")) - 1).alias("k"))
     folder = new_folder(spark, "language")
     counted = written(by_text.groupBy("_host", "_declared", "k").count(), f"{folder}/counts")
-    ones = [F.sum(F.when(F.col("k") == k, F.col("count")).otherwise(0)).cast("double") for k in range(n)]
 
-    total = counted.agg(F.array(*ones).alias("c")).first().c
+    def by_language(found: DataFrame, *keys: Column) -> DataFrame:
+        """(keys, c): counts of all languages, in their order."""
+        single = found.groupBy(*keys, "k").agg(F.sum("count").cast("double").alias("n"))
+        names = [c for c in single.columns if c not in ("k", "n")]
+        held = F.map_from_entries(F.collect_list(F.struct(F.col("k").cast("int"), "n")))  # at most one entry a language
+        full = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.coalesce(F.try_element_at(F.col("_m"), k), F.lit(0.0)))
+        return single.groupBy(*names).agg(held.alias("_m")).select(*names, full.alias("c"))
+
+    total = (by_language(counted).first() or [[0.0] * n])[0]
     everything = np.array([x or 0.0 for x in total]) + 1.0
     everything = (everything / everything.sum()).tolist()
     prior_of_all = F.array(*map(F.lit, everything))
 
     def level(key, name: str) -> DataFrame:
-        return counted.where("_host IS NOT NULL").groupBy(key.alias(name)).agg(F.array(*ones).alias(f"c_{name}"))
+        return counted.where("_host IS NOT NULL").transform(by_language, key.alias(name)).withColumnRenamed("c", f"c_{name}")
 
     priors = (
         level(F.col("_host"), "host")
@@ -185,20 +203,20 @@ def identify(df: DataFrame, text: str, declared: str, host: str | None, fit_rows
     priors = written(priors, f"{folder}/priors")
 
     # P(declaration | language), smoothed; declarations that are no known language share one place.
-    shares = counted.where("_declared IS NOT NULL").groupBy(
-        F.coalesce(F.array_position(names, F.col("_declared")), F.lit(0)).alias("d")).agg(F.array(*ones).alias("c")).collect()
+    shares = by_language(counted.where("_declared IS NOT NULL"), F.coalesce(F.array_position(names, F.col("_declared")), F.lit(0)).alias("d")).collect()
     table = np.full((n + 1, n), EVIDENCE_SMOOTHING)
     for row in shares:  # at most one row for each known language and one for the others
         table[int(row.d)] += np.array(row.c)
     table = np.log(table / table.sum(axis=0))
-    declared_log = F.element_at(F.array(*[F.array(*map(F.lit, line.tolist())) for line in table]),
-                                (F.coalesce(F.array_position(names, F.col("_declared")), F.lit(0)) + 1).cast("int"))
+    lines = spark.createDataFrame([(name, line) for name, line in zip(("", *model.languages), table.tolist())], "_known string, _line array<double>")
+    rows = rows.withColumn("_known", F.when(F.array_contains(names, F.col("_declared")), F.col("_declared")).otherwise(""))
+    rows = rows.join(F.broadcast(lines), "_known", "left")  # a row for each language
 
     joined = rows.join(priors, "_host", "left") if host else rows.withColumn("_prior", prior_of_all)
     prior = F.coalesce(F.col("_prior"), prior_of_all)
     with_host = F.zip_with("_evidence", prior, lambda e, p: e + F.log(p))
     none = F.array(*[F.lit(0.0)] * n)
-    log_posterior = F.zip_with(with_host, F.when(F.col("_declared").isNull(), none).otherwise(declared_log), lambda a, b: a + b)
+    log_posterior = F.zip_with(with_host, F.when(F.col("_declared").isNull(), none).otherwise(F.col("_line")), lambda a, b: a + b)
     scored = joined.withColumn("_log", log_posterior).withColumn("_best", F.array_max("_log"))
     return scored.withColumns({
         "language": F.element_at(names, F.array_position("_log", F.col("_best")).cast("int")),

@@ -337,6 +337,18 @@ def test_language_model_is_fitted_on_different_texts(spark):
     assert all((model.evidence(t) == once.evidence(t)).all() for t in texts)
 
 
+def test_every_declared_language_is_in_the_model(spark):
+    """More languages than 200, the last ones rare; region tags and case don't divide one."""
+    rng = random.Random(8)
+    words = {f"q{chr(97 + i // 26)}{chr(97 + i % 26)}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(6)] for i in range(230)}
+    rows = [(k, " ".join(rng.sample(own, 5) * 3), [name, f"{name}-US", f"{name.upper()}_x"][k % 3], None)
+            for i, (name, own) in enumerate(words.items()) for k in range(3 if i < 225 else 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = language_fusion.identify(df, "text", "lang", "source").collect()
+    assert len(found) == len(rows) and all(r.language == r.lang[:3].lower() for r in found)
+    assert language_fusion.fit_text_model(df, "text", "lang").languages == tuple(sorted(words))
+
+
 BASE = (("assign", re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 8, 2),
         ("access", re.compile("AKIA[A-Z0-9]+"), 16, 0), ("hex", re.compile("[0-9a-f]+"), 32, 0))
 
