@@ -115,6 +115,8 @@ def _unit(packed: list[bytes]) -> np.ndarray:
 
 ROW = "label string, dim int, cell int, class long, n long, listed boolean, unit binary, code binary, moved double"
 
+FOUND = {"class": "int64", "links": "int64", "other": "int64", "edge": "bool"}
+
 
 def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "vec_id", vector: str = "embedding",
                     label: str = "label", fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -129,13 +131,13 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "vec
     rows = df.select(
         F.col(key).cast("long").alias("id"), F.col(label).cast("string").alias("label"), x.alias("v"),
         F.coalesce(F.col(label).isNotNull() & ~bad & (largest > 0), F.lit(False)).alias("usable"))
-    # Rows whose vectors are equal are one class, named by its least id.
-    classes = rows.where("usable AND id IS NOT NULL").groupBy("label", "v").agg(F.min("id").alias("class"), F.count("*").alias("n"))
-    classes = written(classes.withColumn("dim", F.size("v")), f"{folder}/classes")
+    # Rows whose vectors are equal are one class, with a number of its own: ids can repeat with other vectors.
+    classes = rows.where("usable AND id IS NOT NULL").groupBy("label", "v").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    classes = written(classes.withColumns({"dim": F.size("v"), "class": F.monotonically_increasing_id()}), f"{folder}/classes")
     sizes = {r.dim: r.n for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # a few lengths
     indexes = {}
     for dim, n in sizes.items():
-        sample = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("class")).limit(fit_rows).select("v").toPandas()
+        sample = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("least"), "label", "v").limit(fit_rows).select("v").toPandas()
         units = np.stack([_normalised(np.array(v)) for v in sample.v])
         indexes[dim] = Index(units, int(min(MAX_CELLS, max(4, n // ROWS_PER_CELL))))
     shared = spark.sparkContext.broadcast(indexes)  # at most MAX_CELLS centroids and PARTS * WORDS words a length
@@ -180,7 +182,7 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "vec
         held = pdf[~pdf.asks].reset_index(drop=True)
         asked = pdf[pdf.asks].reset_index(drop=True)
         if not len(held) or not len(asked):
-            return pd.DataFrame(columns=["class", "links", "other"]).astype("int64")
+            return pd.DataFrame(columns=["class", "links", "other", "edge"]).astype(FOUND)
         y, x = _unit(list(held.unit)), _unit(list(asked.unit))
         codes = np.frombuffer(b"".join(held.code), dtype=np.uint8).reshape(len(held), -1)
         near = index.asymmetric(x, int(pdf.cell.iloc[0]), codes) <= (reach + held.moved.to_numpy()[None, :] + 1e-3) ** 2
@@ -193,17 +195,21 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, key: str = "vec
         links_y = np.bincount(j, weights=asked.n.to_numpy()[i], minlength=len(held))
         forest = Forest(len(asked) + len(held))
         names = np.concatenate([own, other])
-        edges = [(names[p], 0, names[len(asked) + q]) for p, q in zip(i.tolist(), j.tolist()) if forest.join(p, len(asked) + q)]
-        counts = [(c, int(w), -1) for c, w in zip(names.tolist(), np.concatenate([links_x, links_y]).tolist()) if w]
-        return pd.DataFrame(counts + edges, columns=["class", "links", "other"]).astype("int64")
+        edges = [(names[p], 0, names[len(asked) + q], True) for p, q in zip(i.tolist(), j.tolist()) if forest.join(p, len(asked) + q)]
+        counts = [(c, int(w), 0, False) for c, w in zip(names.tolist(), np.concatenate([links_x, links_y]).tolist()) if w]
+        return pd.DataFrame(counts + edges, columns=["class", "links", "other", "edge"]).astype(FOUND)
 
     grouped = asking.select(*columns).unionByName(lists.select(*columns)).groupBy("label", "dim", "cell", "a", "b")
-    found = written(grouped.applyInPandas(compared, "class long, links long, other long"), f"{folder}/found")
+    found = written(grouped.applyInPandas(compared, "class long, links long, other long, edge boolean"), f"{folder}/found")
     per_class = found.groupBy("class").agg(F.sum("links").alias("links"))
-    roots = components(found.where("other >= 0").select(F.col("class").alias("a"), F.col("other").alias("b")), f"{folder}/components")
-    named = classes.join(per_class, "class", "left").join(roots.withColumnRenamed("node", "class"), "class", "left").select(
+    roots = components(found.where("edge").select(F.col("class").alias("a"), F.col("other").alias("b")), f"{folder}/components")
+    # A component is named by the least id of its classes.
+    rooted = classes.select("class", "least").join(roots.withColumnRenamed("node", "class"), "class")
+    rooted = written(rooted, f"{folder}/rooted")
+    rooted = rooted.select("class", "root").join(rooted.groupBy("root").agg(F.min("least").alias("first")), "root").select("class", "first")
+    named = classes.join(per_class, "class", "left").join(rooted, "class", "left").select(
         F.col("label").alias("l"), F.col("v").alias("w"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).cast("long").alias("n_links"),
-        F.coalesce("root", "class").alias("component_id"))
+        F.coalesce("first", "least").alias("component_id"))
     joined = rows.join(named, F.col("usable") & (rows.label == F.col("l")) & (rows.v == F.col("w")), "left")
     component = F.coalesce("component_id", "id")
     return joined.select(

@@ -172,6 +172,14 @@ def test_pq_near_duplicates_equal_all_pairs(spark):
     assert pq_neardup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_pq_near_duplicates_with_repeated_and_negative_ids(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(5, a), (5, [1.0, 0.001, 0.0]), (7, b), (7, [0.0, 0.0, -1.0]), (-3, [0.001, 1.0, 0.0]), (-9, c), (-4, [0.0, 0.001, 1.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
+    got = sorted(tuple(r) for r in pq_neardup.near_duplicates(df).collect())
+    assert got == [(-9, 1, -9, True), (-4, 1, -9, False), (-3, 1, -3, True), (5, 1, 5, True), (5, 1, 5, True), (7, 0, 7, True), (7, 1, -3, False)]
+
+
 def test_kd_search_equals_all_scores(spark):
     rows, df = vectors(spark)
     whole = {i: np.floor(np.array(v) * 256).astype(int) for i, v, _ in rows if v is not None and None not in v and np.isfinite(v).all()}
