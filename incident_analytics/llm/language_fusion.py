@@ -90,8 +90,12 @@ def fit_text_model(df: DataFrame, text: str, declared: str, fit_rows: int = FIT_
     """3-gram counts per declared language, from at most `fit_rows` different texts each."""
     hashed = df.select(primary_subtag(declared).alias("language"), F.xxhash64(text_or_empty(text)).alias("h"), text_or_empty(text).alias("text"))
     hashed = hashed.where("language IS NOT NULL AND text <> ''")
-    lowest = Window.partitionBy("language").orderBy("h")  # each task passes on its lowest ones alone
-    chosen = hashed.select("language", "h").distinct().withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= fit_rows)
+    different = written(hashed.select("language", "h").distinct(), f"{new_folder(df.sparkSession, 'language-fit')}/different")
+    # Hashes are uniform: the lowest `fit_rows` lie in a share that holds four times as many, and only those are sorted.
+    share = F.broadcast(different.groupBy("language").agg((F.lit(4.0 * fit_rows) / F.count("*")).alias("share")))  # a row for each language
+    few = different.join(share, "language").where(F.col("h") / F.lit(2.0 ** 64) + 0.5 <= F.col("share"))
+    lowest = Window.partitionBy("language").orderBy("h")
+    chosen = few.withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= fit_rows)
     rows = hashed.join(chosen.select("language", "h"), ["language", "h"]).groupBy("language", "h").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
