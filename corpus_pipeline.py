@@ -32,16 +32,32 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the least id stays, and of repeated rows one."""
+    """Of each group of linked documents the row with the least id stays (null ids last).
+
+    A row's key is a digest of its id and text, so a row goes only for a link of its own:
+    another text with the same id stays unless it is linked too. Rows equal in both become
+    one; empty texts link with nothing and stay.
+    """
     folder = new_folder(spark, "stage-join")
-    joined = written(partenum_join.join(docs, SHINGLE_WORDS, SIMILARITY), f"{folder}/joined")
-    removed = written(joined.where("component_id <> doc_id").select("doc_id").distinct(), f"{folder}/removed")
-    kept = docs.join(removed, "doc_id", "left_anti").select(*docs.columns)
-    repeated = written(joined.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), f"{folder}/repeated")
+    key = F.xxhash64("doc_id", "text")
+    keyed = docs.select("doc_id", "text", key.alias("_key"))
+    joined = written(partenum_join.join(keyed, SHINGLE_WORDS, SIMILARITY, key="_key"), f"{folder}/joined")
+    copies = written(joined.groupBy("_key").agg(F.count("*").alias("n"), F.first("component_id").alias("group")), f"{folder}/copies")
+    linked = copies.join(copies.groupBy("group").count().where("count > 1").select("group"), "group")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_key")
+    placed = written(keyed.drop("text").join(linked.select("_key", "group"), "_key").select("group", place.alias("place")).distinct(), f"{folder}/placed")
+    stay = placed.groupBy("group").agg(F.min("place").alias("first"))
+    gone = placed.join(stay, "group").where("place <> first").select("place.doc_id", "place._key")
+    gone = written(gone, f"{folder}/gone").select(F.col("doc_id").alias("_id"), "_key")
+
+    name = next(n for n in ("_key" + "_" * i for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+    whole, repeated = docs.withColumn(name, key), written(copies.where("n > 1").select("_key"), f"{folder}/repeated")
+    kept = whole.join(gone, (whole[name] == gone["_key"]) & whole["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
     if repeated.isEmpty():
-        return kept
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+        return kept.select(*docs.columns)
+    same = kept[name] == repeated["_key"]
+    once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, same, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
-"""Byte-level BPE by corpus-level merge replay, and its inverse.
+"""Byte-level BPE by merge replay over the distinct words of each block, and its inverse.
 
-Each task works block by block: the texts of a block are cut into units at single
+Words don't influence each other, so the ids are those of one replay over the whole
+corpus. Each task works block by block: the texts of a block are cut into units at single
 spaces, units into words by the vocabulary's pattern, and each distinct word is
 encoded once by `merge_replay`. A block ends at a number of characters, so memory
 is bounded whatever the partition holds; nothing is shuffled, and a lost task is
@@ -29,9 +30,6 @@ from incident_analytics.llm.merge_replay import ByteVocabulary, UnitIds, encode_
 BLOCK_CHARS = 4_000_000
 OUT_BYTES = 4_000_000
 
-#: Stands before a unit at the head of a text, which no space precedes; never part of a text.
-_HEAD = "\uffff\ufffe"
-
 
 class Encoder:
     """Encodes blocks of texts; keeps the ids of units between the blocks of a Python worker."""
@@ -41,8 +39,7 @@ class Encoder:
         self.units = UnitIds(self._encode_units)
 
     def _encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        texts = (u[len(_HEAD):] if u.startswith(_HEAD) else " " + u for u in units.to_pylist())
-        per_unit = list(map(self.pattern.findall, texts))
+        per_unit = list(map(self.pattern.findall, units.to_pylist()))
         words = pa.array(chain.from_iterable(per_unit), pa.string()).dictionary_encode()
         ids, n_ids = encode_words(words.dictionary, self.vocabulary.merges, self.vocabulary.byte_ids)
         word = words.indices.to_numpy().astype(np.int64)
@@ -56,7 +53,8 @@ class Encoder:
 
         The pattern lets a space begin a match of letters, digits or signs, so a text
         is cut before each space that doesn't follow white space: the matches of the
-        parts are those of the text. A text with such a space is one unit.
+        parts are those of the text. A text with such a space is one unit. A unit is the
+        very characters that are encoded: the head of a text, or a space and what follows.
         """
         whole = np.zeros(len(texts), dtype=bool)
         parts = pc.split_pattern(texts, " ")
@@ -69,14 +67,15 @@ class Encoder:
         if len(unit):
             some = n_parts > 0
             whole[some] = np.logical_or.reduceat(ends_in_space[unit], first[:-1][some])
-        heads = [_HEAD + (t if w else t.split(" ", 1)[0]) for t, w in zip(texts.to_pylist(), whole.tolist())]
+        heads = [t if w else t.split(" ", 1)[0] for t, w in zip(texts.to_pylist(), whole.tolist())]
         heads_coded = pa.array(heads, pa.string()).dictionary_encode()
         unit[first[:-1]] = len(distinct) + heads_coded.indices.to_numpy()
         used = np.zeros(len(distinct) + len(heads_coded.dictionary), dtype=bool)
         n_parts[whole] = 1
         flat = unit[ranges(first[:-1], n_parts)]
         used[flat] = True
-        units = pa.concat_arrays([distinct, heads_coded.dictionary]).filter(pa.array(used))
+        spaced = pc.binary_join_element_wise(pa.scalar(" "), distinct, pa.scalar(""))  # a space in front
+        units = pa.concat_arrays([spaced, heads_coded.dictionary]).filter(pa.array(used))
         flat = (np.cumsum(used) - 1)[flat]
         ids, begin, length = self.units.of(units)
         ids = ids.astype("<u4")

@@ -23,6 +23,7 @@ and equal lengths are packed like any others; an empty table gives an empty resu
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 from collections.abc import Iterator
@@ -55,14 +56,17 @@ class WordEncoder:
 
     White space only separates words there, so each distinct part between white space
     is encoded once: parts of Latin letters, digits and signs by merge replay, all
-    others by the library itself.
+    others by the library itself, as its file configures it. So an added token's text
+    has that token's id, wherever it stands.
     """
 
     def __init__(self, path: str):
         self.path = path
         self.vocabulary = WordVocabulary.load(path)
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self.plain = regex.compile(r"[!-~¡-ɏ]*")
+        with open(path, encoding="utf-8") as file:
+            added = [regex.escape(token["content"]) for token in json.load(file).get("added_tokens", ())]
+        self.plain = regex.compile(rf"(?!.*(?:{'|'.join(added)}))[!-~¡-ɏ]*" if added else r"[!-~¡-ɏ]*")
         self.units = UnitIds(self._encode_units)
 
     @cached_property
@@ -71,9 +75,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_file(self.path)
-        library.encode_special_tokens = True
-        return library
+        return Tokenizer.from_file(self.path)
 
     def _encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = units.to_pylist()

@@ -26,7 +26,8 @@ from incident_analytics.llm.components import Forest, components
 
 SF_DIR = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "a", "a  b \n c", "a   b c", "x " * 30_000, "aaaaaaaaaaaaaaaaaaa ------------", "It's I'LL don't 123 4567",
-       "naïve café İstanbul ΣΑΣ", "日本語テスト 😀", "<|endoftext|> [x]", "\x1ca\x1cb", "A b c", "A b c"]
+       "naïve café İstanbul ΣΑΣ", "日本語テスト 😀", "<|endoftext|> [x]",
+       "a <|endoftext|> b<|startoftext|>c <|ENDOFTEXT|>", "a \uffff\ufffeb c", "\uffff\ufffe a", " \uffff\ufffeb", "\x1ca\x1cb", "A b c", "A b c"]
 
 
 def odd_documents(spark, texts=ODD):
@@ -53,7 +54,7 @@ def test_byte_bpe_equals_tiktoken_and_round_trips(spark):
 
 def test_packing_holds_each_id_once_without_padding(spark):
     tokenizer = Tokenizer.from_file(queries.WORD_VOCABULARY)
-    tokenizer.encode_special_tokens = True
+    assert tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == [320, 49407, 321]
     documents = odd_documents(spark)
     rows = nnls_packing.pack(documents, queries.WORD_VOCABULARY).collect()
     want = sorted([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in [*ODD, "null id", ""])
@@ -406,6 +407,17 @@ def test_pipeline_keeps_clean_documents_and_one_of_each_group(spark):
         assert stage(spark, empty, SF_DIR).count() == 0
 
 
+def test_near_duplicates_go_by_row(spark):
+    """Texts that share an id with a linked one stay; equal rows become one; null ids yield to others."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (6, c), (6, c), (None, c), (None, b + " x"), (7, None), (8, ""), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, _key string, _id long")
+    out = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(
+        [(1, a), (5, b), (6, c), (7, None), (8, ""), (9, None)], key=repr)
+
+
 def test_pages_are_identified(spark):
     rows = queries.page_language_id(spark, SF_DIR).collect()
     assert np.mean([r.language == r.declared for r in rows]) > 0.9
