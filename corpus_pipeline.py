@@ -39,6 +39,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     one; empty texts link with nothing and stay.
     """
     folder = new_folder(spark, "stage-join")
+    if docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():  # an id is a row's key
+        joined = partenum_join.join(docs, SHINGLE_WORDS, SIMILARITY)
+        gone = written(joined.where("component_id <> doc_id").select("doc_id"), f"{folder}/gone")
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     key = F.xxhash64("doc_id", "text")
     keyed = docs.select("doc_id", "text", key.alias("_key"))
     joined = written(partenum_join.join(keyed, SHINGLE_WORDS, SIMILARITY, key="_key"), f"{folder}/joined")
