@@ -8,6 +8,7 @@ spark.checkpoint.dir; a temporary one is used only in local mode.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
         raise RuntimeError(f"set {SETTING} to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="incident-analytics-")
     spark.conf.set(SETTING, root)
