@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from incident_analytics.llm import (
-    blob_secrets, byte_bpe, kd_search, language_fusion, nnls_packing, partenum_join, pq_neardup, tag_paths, toxicity, url_markov,
+    blob_secrets, byte_bpe, cover_codes, importance_resampling, kd_search, language_fusion, nnls_packing, pairwise_quality, partenum_join,
+    pq_neardup, tag_paths, toxicity, url_markov,
 )
 from incident_analytics.llm.common import new_folder, read
 
@@ -82,10 +83,30 @@ def op10_blob_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blob_secrets.report(read(spark, sf_dir, "documents"), f"{new_folder(spark, 'ledger')}/ledger")
 
 
+def op11_cover_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_codes.report(read(spark, sf_dir, "embeddings"))
+
+
+def quality_held_out(key: str = "doc_id") -> Column:
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def op12_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read(spark, sf_dir, "labels").where(~quality_held_out())
+    scored = pairwise_quality.score(read(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+    return scored.select("doc_id", quality_held_out().alias("held_out"), "score",
+                         (F.col("score") >= pairwise_quality.CUT_SCORE).cast("int").alias("predicted"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pq_neardup, op2_nnls_packing, op3_byte_bpe, op4_partenum_join, op5_url_filter, op6_kd_topk, op7_tag_path_text,
-        op8_toxicity, op9_language_id, page_language_id, op10_blob_secrets)
+        op8_toxicity, op9_language_id, page_language_id, op10_blob_secrets, op11_cover_codes,
+        op12_pairwise_quality, op13_importance_resampling)
 }
 
 #: The least id reachable over the symmetric links (a, b).
@@ -101,7 +122,44 @@ usable AS (
 )
 """
 
+
+
+def _lloyd_sql(rounds: int = 6) -> str:
+    """Parts as lists of doubles, which hold all integers that occur here exactly."""
+    ctes = [f"""RECURSIVE {_VECTORS}""", """
+placed AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS n, list_transform(x, lambda c: floor(4096 * c)) AS v FROM usable
+), parts AS MATERIALIZED (
+  SELECT vec_id, label, n, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS v FROM placed, range(8) AS t(p)
+), books0 AS MATERIALIZED (SELECT p, n - 1 AS e, v FROM parts WHERE n <= 16)"""]
+    for k in range(rounds + 1):
+        ctes.append(f"""
+near{k} AS MATERIALIZED (
+  SELECT q.vec_id, q.label, q.n, q.p, q.v, min((list_inner_product(q.v, q.v) - 2 * list_inner_product(q.v, b.v)
+    + list_inner_product(b.v, b.v))::BIGINT * 16 + b.e) AS d FROM parts q JOIN books{k} b ON q.p = b.p GROUP BY ALL
+)""")
+        if k < rounds:
+            ctes.append(f"""
+mean{k} AS MATERIALIZED (
+  SELECT p, e, list(m ORDER BY i) AS v FROM (
+    SELECT p, e, i, floor(sum(c) / count(*)) AS m FROM (
+      SELECT p, d % 16 AS e, unnest(v) AS c, generate_subscripts(v, 1) AS i FROM near{k}) GROUP BY p, e, i) GROUP BY p, e
+), books{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM books{k} b LEFT JOIN mean{k} m ON b.p = m.p AND b.e = m.e
+)""")
+    return f"""
+WITH {','.join(ctes)}, coded AS (
+  SELECT vec_id, label, string_agg(format('{{:02x}}', d % 16), '' ORDER BY p) AS code, sum(d // 16)::BIGINT AS error FROM near{rounds} GROUP BY n, vec_id, label
+), listed AS (
+  SELECT sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY p, e, i)) AS digest FROM (
+    SELECT p, e, unnest(v) AS c, generate_subscripts(v, 1) AS i FROM books{rounds})
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, digest AS codebooks_sha256 FROM coded, listed
+"""
+
+
 ORACLES = {
+    "op11_cover_codes": _lloyd_sql(),
     "op1_pq_neardup": f"""
 WITH RECURSIVE {_VECTORS},
 links AS (
