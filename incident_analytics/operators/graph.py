@@ -7,12 +7,13 @@ interchangeable, so weights are worked out once per pair of profiles, and node
 pairs are formed only for edges that belong to the result.
 
     rows --distinct--> nodes with cell sets --group by set--> profiles with sizes
-    profiles x profiles of one group, in blocks --> weights, degrees, top edges
+    profiles that can share enough cells, in blocks --> weights, degrees, top edges
 
 With 7 weather buckets a group has at most 127 profiles however many nodes it
-has, so that the pair step does not grow with the data. Cells are compared as bit
-masks: a pair costs one AND and one bit count per 64 buckets, and is aggregated
-where it is formed.
+has, so that the pair step does not grow with the data. With many buckets profiles
+meet over an inverted index instead of by group (see `overlap`), where that forms
+fewer pairs. Cells are compared as bit masks: a pair costs one AND and one bit
+count per 64 buckets, and is aggregated where it is formed.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from incident_analytics.functions.scalar import node_part
+from incident_analytics.operators import overlap
 from incident_analytics.operators.clean import clean_key, resolve_col
 from incident_analytics.operators.ranking import topk
 from incident_analytics.sources.scratch import materialize
@@ -32,6 +34,7 @@ from incident_analytics.sources.scratch import materialize
 BLOCK_PROFILES = 2_000  # profiles of one group that one side of a join cell may hold
 SPREAD = 64             # sub-partitions of a profile when its first nodes are picked
 WORD = 64               # cells of a group that one bigint mask holds
+FEW_PAIRS = 20_000_000  # pairs that are compared without asking whether the index forms fewer
 MAX_WORDS = 16          # masks per profile; groups with more cells compare the sets
 
 
@@ -43,13 +46,16 @@ class Profiles:
 
     `nodes`: node and profile. `table`: a row per profile with its number `pid`,
     sorted cells, number of nodes and first node. `groups`: a row per profile and
-    group, with the cells of the group as `words` bit masks.
+    group, with the cells of the group as `words` bit masks. `postings`: a row per
+    profile and cell, with the cell's place in the profile, rare cells first.
     """
 
     nodes: DataFrame
     table: DataFrame
     groups: DataFrame
+    postings: DataFrame
     words: int
+    n_profiles: int
 
 
 def node_profiles(df: DataFrame, group: str, bucket: str, node: str) -> Profiles:
@@ -72,92 +78,80 @@ def node_profiles(df: DataFrame, group: str, bucket: str, node: str) -> Profiles
     )
     # the number is fixed by writing the table
     table = materialize(table.withColumn("pid", F.monotonically_increasing_id()), "profiles")
-    groups, words = _masked(table)
-    return Profiles(nodes.select("node", "profile"), table, materialize(groups, "groups"), words)
+    postings = materialize(overlap.postings(table), "postings")
+    groups, words, n_profiles = _masked(table, postings)
+    return Profiles(nodes.select("node", "profile"), table, materialize(groups, "groups"), postings, words, n_profiles)
 
 
-def _masked(table: DataFrame) -> tuple[DataFrame, int]:
-    """Profiles by group with bit masks of their cells, and the number of masks.
+def _masked(table: DataFrame, postings: DataFrame) -> tuple[DataFrame, int, int]:
+    """Profiles by group with bit masks of their cells, the number of masks, and of profiles.
 
-    A cell's bit is its position among the cells of its group, of which there are
-    as many as buckets. The sets themselves are carried only for profiles that
-    span several groups, and where there are too many buckets for masks.
+    A cell's bit is its rank among the cells of its group, rare ones first. The sets
+    themselves are carried only for profiles that span several groups, and where
+    there are too many buckets for masks; they are in the order of the postings.
     """
-    cells = table.select("pid", F.inline("cells"))
-    in_group = Window.partitionBy("g").orderBy("b")
-    places = cells.select("g", "b").distinct().select(
-        F.col("g").alias("pg"), F.col("b").alias("pb"), (F.row_number().over(in_group) - 1).alias("at"))
-    last = places.agg(F.max("at")).first()[0] or 0
-    words = last // WORD + 1
+    facts = postings.agg(F.max("at").alias("last"), F.max("n_groups").alias("groups"), F.count_if(F.col("pos") == 0).alias("n")).first()
+    words = (facts["last"] or 0) // WORD + 1
     words = words if words <= MAX_WORDS else 0
 
-    same_cell = F.col("g").eqNullSafe(F.col("pg")) & F.col("b").eqNullSafe(F.col("pb"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at") % WORD)
     masks = [
         F.coalesce(F.bit_or(F.when(F.floor(F.col("at") / WORD) == w, bit)), F.lit(0).cast("long"))
         .alias(f"m{w}") for w in range(words)
     ]
-    placed = cells.join(places, same_cell).groupBy("pid", "g").agg(F.count(F.lit(1)).alias("n"), *masks)
-    homes = F.array_distinct("cells.g")
-    several = F.size(homes) > 1
-    carried = table.select(
-        "pid", "size", "first_node", F.size("cells").alias("n_cells"), several.alias("several"),
-        F.when(several, homes).alias("homes"),
-        F.when(several | F.lit(words == 0), F.col("cells")).alias("cells"),
-    )
-    return placed.drop("n").join(carried, "pid"), words
-
-
-def _blocked(groups: DataFrame) -> DataFrame:
-    """Group rows with a block number that cuts large groups up."""
-    sizes = groups.groupBy(F.col("g").alias("bg")).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_PROFILES)).cast("int").alias("blocks")
-    )
-    block = F.pmod(F.xxhash64("pid"), F.col("blocks")).cast("int")
-    joined = groups.join(sizes, F.col("g").eqNullSafe(F.col("bg")))
-    return joined.drop("bg").withColumn("block", block)
-
-
-def profile_pairs(graph: Profiles, min_cooc: int = 1, mirrored: bool = False) -> DataFrame:
+    placed = postings.groupBy("pid", "g").agg(F.count(F.lit(1)).alias("n"), *masks)
+    carried = table.select("pid", "size", "first_node", F.size("cells").alias("n_cells"))
+    if words and (facts["groups"] or 1) == 1:
+        none = {"several": F.lit(False), "homes": F.lit(None).cast("array<string>"),
+                "cells": F.lit(None).cast("array<struct<g:string,b:string>>")}
+        return placed.drop("n").join(carried.withColumns(none), "pid"), words, facts["n"]
+    several = F.max("n_groups") > 1
+    in_order = F.array_sort(F.collect_list(F.struct("pos", "g", "b")))
+    sets = postings.groupBy("pid").agg(several.alias("several"), in_order.alias("in_order")).select(
+        "pid", "several", F.when(F.col("several"), F.array_distinct("in_order.g")).alias("homes"),
+        F.when(F.col("several") | F.lit(words == 0), F.transform("in_order", lambda c: F.struct(c["g"].alias("g"), c["b"].alias("b"))))
+        .alias("cells"))
+    return placed.drop("n").join(carried, "pid").join(sets, "pid"), words, facts["n"]
+
+
+def profile_pairs(graph: Profiles, min_cooc: int = 1, meet: str | None = None) -> DataFrame:
     """Pairs of profiles that share at least `min_cooc` cells, with the count as cooc.
 
-    Each unordered pair appears once, a profile with itself included, or in both
-    orders with `mirrored`. A pair that meets in several groups is taken in the
-    first of them. Blocks are joined with blocks, so that a large group becomes
-    many join cells; the number of partitions is fixed because the output, not
-    the small input, decides how much work a cell is. A merge join walks a block
-    in memory order and may spill it.
+    Each unordered pair appears once, a profile with itself included. Profiles meet
+    by "group", all with all in blocks, or by "cell", over the inverted index; by
+    default in the way that forms fewer pairs, unless all with all are few. A pair that meets several times is
+    taken in the first of its groups or cells. Blocks are joined with blocks, so that
+    a long list becomes many join cells; the number of partitions follows from the
+    pairs, since these, not the small input, decide how much work there is. A merge
+    join walks a block in memory order and may spill it.
     """
+    cost = {"group": graph.n_profiles * (graph.n_profiles + 1) // 2}  # at most, if profiles have one group
+    if meet == "cell" or cost["group"] > FEW_PAIRS:
+        cost = overlap.pairs_formed(graph.groups, graph.postings, min_cooc)
+    if meet is None:
+        meet = min(cost, key=cost.get)
     rows = graph.groups.filter(F.col("n_cells") >= min_cooc)
-    blocked = _blocked(rows.withColumn("g", F.coalesce(F.concat(F.lit("="), "g"), F.lit(""))))
+    keys = ["g"]
+    if meet == "cell":
+        rows = rows.join(overlap.prefixes(graph.postings, min_cooc), ["pid", "g"])
+        keys = ["g", "b", "at"]
     masks = [f"m{w}" for w in range(graph.words)]
     carried = ["pid", "size", "first_node", "several", "homes", "cells", *masks]
-    meet = ["g", "p_block", "q_block"]
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def side(name: str, other: str, first: Column, last: Column) -> DataFrame:
-        return blocked.select(
-            "g",
-            F.col("block").alias(f"{name}_block"),
-            F.explode(F.sequence(first, last)).alias(f"{other}_block"),
-            *[F.col(c).alias(f"{name}_{c}") for c in carried],
-        ).repartition(parts, *meet)
-
-    lowest, block, highest = F.lit(0), F.col("block"), F.col("blocks") - 1
-    p = side("p", "q", lowest if mirrored else block, highest)
-    q = side("q", "p", lowest, highest if mirrored else block)
-    pairs = p.join(q.hint("merge"), meet)
-    if not mirrored:
-        pairs = pairs.filter(
-            (F.col("p_block") < F.col("q_block")) | (F.col("p_pid") <= F.col("q_pid")))
+    pairs = overlap.self_join(rows, keys, carried, BLOCK_PROFILES, cost[meet])
+
     both_several = F.col("p_several") & F.col("q_several")
-    home = F.coalesce(F.concat(F.lit("="), F.array_min(F.array_intersect("p_homes", "q_homes"))), F.lit(""))
-    cooc = F.size(F.array_intersect("p_cells", "q_cells"))
+    common = F.array_intersect("p_cells", "q_cells")
+    both = [F.col(f"p_{m}").bitwiseAND(F.col(f"q_{m}")) for m in masks]
+    cooc, first = F.size(common), common[0] == F.struct("g", "b") if meet == "cell" else None
+    if meet == "cell" and masks:
+        first = F.when(both_several, first).otherwise(overlap.no_earlier(both, F.col("at"), WORD))
+    if meet == "group":
+        home = F.array_min(F.array_intersect("p_homes", "q_homes"))
+        first = ~both_several | (F.col("g") == home)
     if masks:
-        common = [F.bit_count(F.col(f"p_{m}").bitwiseAND(F.col(f"q_{m}"))) for m in masks]
-        cooc = F.when(both_several, cooc).otherwise(reduce(lambda a, b: a + b, common))
+        cooc = F.when(both_several, cooc).otherwise(reduce(lambda a, b: a + b, [F.bit_count(m) for m in both]))
     return (
-        pairs.filter(~both_several | (F.col("g") == home))
+        pairs.filter(first)
         .select("p_pid", "q_pid", "p_size", "q_size", "p_first_node", "q_first_node",
                 cooc.cast("long").alias("cooc"))
         .filter(F.col("cooc") >= min_cooc)
@@ -301,12 +295,14 @@ def edges_out(edges: DataFrame) -> DataFrame:
 # --- degrees and hubs ---------------------------------------------------------------------
 
 def _profile_degrees(graph: Profiles, min_cooc: int) -> DataFrame:
-    """Degree and weighted degree that every node of a profile has."""
-    pairs = profile_pairs(graph, min_cooc, mirrored=True)
-    partners = F.col("q_size") - F.when(_same(), 1).otherwise(0)
-    sums = pairs.groupBy(F.col("p_pid").alias("pid")).agg(
-        F.sum(partners).alias("degree"),
-        F.sum(partners * F.col("cooc")).alias("degree_weighted"),
+    """Degree and weighted degree that every node of a profile has: a pair adds to both its ends."""
+    one = F.when(_same(), 1).otherwise(0)
+    ends = F.array(F.struct(F.col("p_pid").alias("pid"), (F.col("q_size") - one).alias("partners")),
+                   F.when(~_same(), F.struct(F.col("q_pid").alias("pid"), F.col("p_size").alias("partners"))))
+    pairs = profile_pairs(graph, min_cooc).select(F.explode(ends).alias("end"), "cooc").filter("end IS NOT NULL")
+    sums = pairs.groupBy("end.pid").agg(
+        F.sum("end.partners").alias("degree"),
+        F.sum(F.col("end.partners") * F.col("cooc")).alias("degree_weighted"),
     )
     return sums.filter("degree > 0").join(graph.table.select("pid", "profile", "first_node"), "pid")
 

@@ -48,7 +48,12 @@ def _top_hour(t):
 
 # --- co-occurrence ---------------------------------------------------------------------------
 
-@query("g01_cooccurrence", ev_sql(
+@query("g01_cooccurrence", ev_sql("FROM full_edges", _NODES, _full_sql("hour")))
+def _(t):
+    return graph.all_edges(_profiles(t), 1)
+
+
+@query("g01_weight_histogram", ev_sql(
     "SELECT cooc, count(*) AS n_edges FROM full_edges GROUP BY ALL", _NODES, _full_sql("hour")))
 def _(t):
     return graph.weight_histogram(_profiles(t))

@@ -229,6 +229,16 @@ def _(t):
     return graph.weight_histogram(graph.node_profiles(ev, "State", "weather_bucket", "node"))
 
 
+@query("j06_self_join_edges", ev_sql("""
+SELECT a.node AS src, b.node AS dst, count(*) AS cooc FROM cells a JOIN cells b
+  ON a.State = b.State AND a.weather_bucket = b.weather_bucket AND a.node < b.node GROUP BY ALL HAVING count(*) >= 3""",
+                                     """cells AS (
+  SELECT DISTINCT State, weather_bucket, concat_ws('|', State, City) AS node FROM ev)"""))
+def _(t):
+    ev = t.ev().withColumn("node", S.node_key("State", "City"))
+    return graph.all_edges(graph.node_profiles(ev, "State", "weather_bucket", "node"), 3)
+
+
 @query("j07_semi_topk", ln_sql("""
 SELECT order_id, line_no, part_id, City, Distance_mi FROM ln WHERE City IN (
   SELECT City FROM ln GROUP BY City ORDER BY sum(Distance_mi) DESC, City LIMIT 5)"""))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from incident_analytics.functions import scalar as S
-from incident_analytics.operators import graph
+from incident_analytics.operators import graph, overlap
 
 
 def brute_edges(cells):
@@ -94,8 +94,33 @@ def test_histogram_and_all_edges(case, rows, monkeypatch, block):
         ((s, d, w) for (s, d), w in edges.items() if w >= 2), key=repr)
 
 
+@pytest.mark.parametrize("t, block", [(1, 3), (2, 1000), (3, 3)])
+def test_profiles_meet_by_cell_as_by_group(case, rows, monkeypatch, t, block):
+    monkeypatch.setattr(graph, "BLOCK_PROFILES", block)
+    _, profiles = case
+    by_group, by_cell = (rows(graph.profile_pairs(profiles, t, meet).select(
+        F.least("p_pid", "q_pid"), F.greatest("p_pid", "q_pid"), "cooc")) for meet in ("group", "cell"))
+    assert by_group == by_cell and len({r[:2] for r in by_cell}) == len(by_cell)
+    sets = {r.pid: {tuple(c) for c in r.cells} for r in profiles.table.collect()}
+    assert by_cell == sorted(((p, q, len(sets[p] & sets[q])) for p in sets for q in sets
+                              if p <= q and len(sets[p] & sets[q]) >= t), key=repr)
+
+
+def test_the_index_forms_fewer_pairs_at_high_thresholds(spark, rows, monkeypatch):
+    rng = random.Random(6)
+    cells = [("g", f"{h:02d}", f"n{k:03d}") for k in range(300) for h in rng.sample(range(24), rng.randint(4, 8))]
+    profiles = graph.node_profiles(spark.createDataFrame(cells, "g string, b string, node string"), "g", "b", "node")
+    monkeypatch.setattr(graph, "FEW_PAIRS", 0)
+    formed = [overlap.pairs_formed(profiles.groups, profiles.postings, t) for t in range(1, 9)]
+    print([round(f["cell"] / formed[0]["group"], 4) for f in formed])
+    assert formed[5]["cell"] < 0.3 * formed[0]["group"] and formed[7]["cell"] < 0.02 * formed[0]["group"]
+    assert rows(graph.all_edges(profiles, 5)) == sorted(
+        ((s, d, w) for (s, d), w in brute_edges(cells).items() if w >= 5), key=repr)
+
+
+@pytest.mark.parametrize("meet", ["group", "cell"])
 @pytest.mark.parametrize("word, max_words", [(64, 16), (64, 1), (5, 16)])
-def test_many_buckets(spark, rows, monkeypatch, word, max_words):
+def test_many_buckets(spark, rows, monkeypatch, word, max_words, meet):
     """More buckets than one mask holds, and more than masks are made for."""
     monkeypatch.setattr(graph, "WORD", word)
     monkeypatch.setattr(graph, "MAX_WORDS", max_words)
@@ -105,6 +130,8 @@ def test_many_buckets(spark, rows, monkeypatch, word, max_words):
     profiles = graph.node_profiles(spark.createDataFrame(cells, "g string, b string, node string"),
                                    "g", "b", "node")
     assert profiles.words == {(64, 16): 2, (64, 1): 0, (5, 16): 3}[word, max_words]
+    pairs = graph.profile_pairs
+    monkeypatch.setattr(graph, "profile_pairs", lambda g, t: pairs(g, t, meet))
     assert rows(graph.all_edges(profiles, 2)) == sorted(
         ((s, d, w) for (s, d), w in brute_edges(cells).items() if w >= 2), key=repr)
 
