@@ -34,7 +34,7 @@ from incident_analytics.operators.clean import (
     select_existing,
 )
 from incident_analytics.operators.ranking import downsample, in_test
-from incident_analytics.sources.scratch import materialize
+from incident_analytics.sources.scratch import materialize, materialize_counted
 
 
 @dataclass(frozen=True)
@@ -143,14 +143,21 @@ def severity_model(features: Features, cfg: TrainConfig = TrainConfig()) -> Pipe
 
 
 def index_map(df: DataFrame, c: str) -> DataFrame:
-    """value, index for each category, as the indexer numbers them.
+    """value, index for each category, as the indexer numbers them: by count, then by value.
 
-    The values are counted in parallel; only the categories, one row each, are ranked
-    together.
+    Categories have no bound, so they are ranked in parallel: sorted in ranges of
+    (count, value), numbered within their range, and moved on by the categories in the
+    ranges before. Only the sizes of the ranges, one row for each partition, meet in one place.
     """
     counts = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("value")).count()
-    by_count = Window.orderBy(F.desc("count"), "value")
-    return counts.select("value", (F.row_number().over(by_count) - 1).alias("idx"))
+    order = [F.desc("count"), F.asc("value")]
+    ranges = counts.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()  # the partition in the upper bits, the row in the lower 33
+    numbered = materialize(ranges.select("value", F.shiftright(place, 33).alias("part"), place.bitwiseAND(F.lit(2**33 - 1)).alias("row")), "ranks")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    sizes = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return numbered.join(F.broadcast(sizes), "part").select("value", (F.col("before") + F.col("row")).cast("int").alias("idx"))
 
 
 def scale_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -178,6 +185,8 @@ class Trained:
     features: Features
     train: DataFrame
     test: DataFrame
+    train_rows: int
+    test_rows: int
 
 
 def train_severity(df: DataFrame, keys: Sequence[str], cfg: TrainConfig = TrainConfig()) -> Trained:
@@ -185,20 +194,22 @@ def train_severity(df: DataFrame, keys: Sequence[str], cfg: TrainConfig = TrainC
 
     The source is read once: prepared rows are written with their part of the split,
     only with the columns in use. The estimators scan the training rows many times, so
-    these are written again with their weights.
+    these are written again with their weights. Both writes count their rows.
     """
     prepared = prepare_training(df, cfg.label)
     features = available_features(prepared)
     used = select_existing(prepared, list(dict.fromkeys([*keys, cfg.label, *features.all])))
-    split = materialize(used.withColumn("_test", in_test(cfg.label, keys, cfg.test_fraction, cfg.seed)), "split")
+    split, rows = materialize_counted(
+        used.withColumn("_test", in_test(cfg.label, keys, cfg.test_fraction, cfg.seed)), "split",
+        test_rows=F.count_if("_test"))
     train, test = split.filter(~F.col("_test")).drop("_test"), split.filter("_test").drop("_test")
     if cfg.use_downsample:
         train = downsample(train, cfg.label, keys, cfg.downsample_ratio, cfg.seed)
     if cfg.use_class_weight:
         weights = class_weights(train, cfg.label, cfg.min_weight, cfg.max_weight)
         train = with_class_weight(train, weights, cfg.label, cfg.weight)
-    train = materialize(train, "train")
-    return Trained(severity_model(features, cfg).fit(train), features, train, test)
+    train, fitted = materialize_counted(train, "train", train_rows=F.count(F.lit(1)))
+    return Trained(severity_model(features, cfg).fit(train), features, train, test, fitted["train_rows"], rows["test_rows"])
 
 
 def model_labels(model: PipelineModel) -> list[str] | None:
@@ -240,6 +251,6 @@ def run_record(
         "class_names": [f"{cfg.label} {s}" for s in labels],
         "features": trained.features.all,
         "n_features": len(trained.features.all),
-        "train_rows": trained.train.count(),
-        "test_rows": trained.test.count(),
+        "train_rows": trained.train_rows,
+        "test_rows": trained.test_rows,
     }

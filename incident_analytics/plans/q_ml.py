@@ -6,13 +6,16 @@ beat the majority class.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incident_analytics import fixed_values as fixed
 from incident_analytics.operators import aggregates as A
-from incident_analytics.operators import ml
+from incident_analytics.operators import ml, trees
 from incident_analytics.plans.registry import ev_sql, ln_sql, query, r, rounded
 from incident_analytics.sources import lake
 from incident_analytics.sources.adapters import LINE_ID
@@ -24,8 +27,33 @@ def lines(t):
     return ln.withColumnRenamed("pred_severity", "Severity")
 
 
-def trained(t) -> ml.Trained:
-    return ml.train_severity(lines(t), LINE_ID)
+@dataclass(frozen=True)
+class Saved:
+    """A training run, and where its model and its node table are."""
+
+    fit: ml.Trained
+    path: str
+    nodes: DataFrame
+
+
+_SAVED: dict[tuple[str, str], Saved] = {}
+
+
+def trained(t) -> Saved:
+    """One training serves all queries of a session over a folder of tables."""
+    at = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if at not in _SAVED:
+        fit, path = ml.train_severity(lines(t), LINE_ID), scratch_path(t.spark, "model")
+        lake.save_model(fit.model, path)
+        nodes = materialize(trees.tree_nodes(t.spark, path, trees.feature_names(fit.model)), "tree-nodes")
+        _SAVED[at] = Saved(fit, path, nodes)
+    return _SAVED[at]
+
+
+def walked(t) -> DataFrame:
+    """Test rows with the model's probability and the one by joins with the node table."""
+    saved = trained(t)
+    return trees.walked_scores(ml.score(saved.fit.test, saved.fit.model), saved.nodes, LINE_ID, ml.TrainConfig().max_depth)
 
 
 _LINES = """lines AS (
@@ -111,13 +139,14 @@ def _(t):
 
 
 # --- model ----------------------------------------------------------------------------------------
-# Trees can't be stated in SQL; their facts can: the split, the row counts, and what must hold of each row.
+# Trees can't be stated in SQL; their facts can: the split, the row counts, and what must hold of each row and node.
+# Predictions and nodes themselves have no SQL; the walk over the node table gives each row's probability again.
 
 @query("m06_forest_metrics", ln_sql("""
 SELECT count(*) AS test_rows, TRUE AS beats_majority FROM lines WHERE test""", _LINES))
 def _(t):
     """Test rows, and whether accuracy exceeds the share of the largest class by 0.2."""
-    fit = trained(t)
+    fit = trained(t).fit
     conf = materialize(A.confusion(ml.score(fit.test, fit.model), "Severity", "pred_severity"), "confusion")
     per_class = conf.groupBy("Severity").agg(F.sum("n").alias("n"))
     sizes = per_class.agg(F.sum("n").alias("test_rows"), (F.max("n") / F.sum("n")).alias("majority_share"))
@@ -125,33 +154,69 @@ def _(t):
     return sizes.select("test_rows", (accuracy > F.col("majority_share") + 0.2).alias("beats_majority"))
 
 
-@query("m07_predictions", ln_sql("""
+@query("m07_predictions")
+def _(t):
+    """Severity and confidence that the model predicts for each test row."""
+    fit = trained(t).fit
+    return ml.score(fit.test, fit.model).select(*LINE_ID[:4], "Severity", "pred_label", "pred_severity", "pred_conf")
+
+
+@query("m07_walked_predictions", ln_sql("""
 SELECT order_id, line_no, part_id, supplier_id, Severity, TRUE AS sums_to_one, TRUE AS conf_within,
-  TRUE AS is_severity FROM lines WHERE test""", _LINES))
+  TRUE AS is_severity, TRUE AS walk_agrees FROM lines WHERE test""", _LINES))
 def _(t):
-    fit = trained(t)
-    total = F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, x: a + x)
-    return ml.score(fit.test, fit.model).select(
-        *LINE_ID[:4], "Severity", (F.abs(total - 1) < 1e-6).alias("sums_to_one"), _conf_within(), _is_severity())
+    """Test rows: the model's probability against the one that joins with the node table give, and what else must hold."""
+    model, by_walk = vector_to_array("probability"), F.col("walked_probability")
+    total = F.aggregate(by_walk, F.lit(0.0), lambda a, x: a + x)
+    return walked(t).select(
+        *LINE_ID[:4], "Severity", (F.abs(total - 1) < 1e-6).alias("sums_to_one"), _conf_within(), _is_severity(),
+        (trees.largest_difference(model, by_walk) < 1e-9).alias("walk_agrees"))
+
 
+@query("m08_scored_table")
+def _(t):
+    """The scored table, with predicted severity and confidence."""
+    return ml.scored_table(t.ln().withColumn("ID", F.col("order_id").cast("string")), trained(t).fit.model)
 
-@query("m08_scored_table", ln_sql("""
+
+@query("m08_scored_checks", ln_sql("""
 SELECT order_id::VARCHAR AS ID, Severity, State, County, City, year, month, substr(month, 6, 2)::INT AS month_num,
   hour, weather_bucket, Weather_Condition, Distance_mi, Temperature_F, Humidity_pct, Visibility_mi,
   TRUE AS conf_within, TRUE AS is_severity FROM ln"""))
 def _(t):
     rows = t.ln().withColumn("ID", F.col("order_id").cast("string"))
-    scored = ml.scored_table(rows, trained(t).model)
+    scored = ml.scored_table(rows, trained(t).fit.model)
     return scored.select("*", _conf_within(), _is_severity()).drop("pred_severity", "pred_conf")
 
 
+@query("m09_tree_nodes")
+def _(t):
+    """Every node of every tree: what it asks, where it leads, and the weights of its classes."""
+    return trained(t).nodes
+
+
+@query("m09_tree_checks", ln_sql("""
+SELECT tree::INT AS tree, 7 + n_states AS n_features, TRUE AS depth_within, TRUE AS leaves_agree, 0::BIGINT AS n_orphans,
+  0::BIGINT AS n_unbalanced
+FROM (SELECT count(DISTINCT State) AS n_states FROM lines WHERE NOT test), range(5) AS t(tree)""", _LINES))
+def _(t):
+    """Each tree of the node table: whether its nodes hang together and their weights add up."""
+    saved = trained(t)
+    faults = trees.tree_faults(saved.nodes)
+    n_features = len(trees.feature_names(saved.fit.model))
+    return faults.select(
+        "tree", F.lit(n_features).cast("long").alias("n_features"),
+        (F.col("n_nodes") < 2 ** (ml.TrainConfig().max_depth + 1)).alias("depth_within"),
+        (2 * F.col("n_leaves") == F.col("n_nodes") + 1).alias("leaves_agree"), "n_orphans", "n_unbalanced")
+
+
 @query("m09_tree_text", ln_sql("""
 SELECT 0 AS tree, 7 + count(DISTINCT State) AS n_features, TRUE AS depth_within, TRUE AS leaves_agree
 FROM lines WHERE NOT test""", _LINES))
 def _(t):
     """The first tree's text: its features, its depth against the bound, its leaves against its nodes."""
     path = scratch_path(t.spark, "tree")
-    lake.write_meta(t.spark, path, {"tree": ml.tree_text(trained(t).model, 0)})
+    lake.write_meta(t.spark, path, {"tree": ml.tree_text(trained(t).fit.model, 0)})
     text = F.get_json_object("value", "$.tree")
 
     def head(name: str):
@@ -170,7 +235,7 @@ SELECT count(*) FILTER (NOT test) AS train_rows, count(*) FILTER (test) AS test_
   'year,month_num,hour,Distance_mi,Temperature_F,Humidity_pct,Visibility_mi,State' AS features,
   TRUE AS accuracy_within FROM lines""", _LINES))
 def _(t):
-    fit = trained(t)
+    fit = trained(t).fit
     conf = A.confusion(ml.score(fit.test, fit.model), "Severity", "pred_severity")
     scores = A.metrics(conf, "Severity", "pred_severity").first().asDict()
     path = scratch_path(t.spark, "run")
@@ -186,10 +251,9 @@ def _(t):
 SELECT count(*) AS n_rows, 0::BIGINT AS n_changed FROM lines WHERE test""", _LINES))
 def _(t):
     """Test rows, and those whose prediction differs after saving and loading the model."""
-    fit = trained(t)
-    path = scratch_path(t.spark, "model")
-    lake.save_model(fit.model, path)
-    first = ml.score(fit.test, fit.model).select(*fit.test.columns, F.col("pred_severity").alias("first"))
-    return ml.score(first, lake.load_model(path)).agg(
+    saved = trained(t)
+    test = saved.fit.test
+    first = ml.score(test, saved.fit.model).select(*test.columns, F.col("pred_severity").alias("first"))
+    return ml.score(first, lake.load_model(saved.path)).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(~F.col("pred_severity").eqNullSafe(F.col("first"))).alias("n_changed"))

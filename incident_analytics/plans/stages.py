@@ -19,6 +19,7 @@ from incident_analytics.operators import aggregates as A
 from incident_analytics.operators import clean, graph, ml
 from incident_analytics.operators.joins import attach_edge_risk
 from incident_analytics.operators.ranking import sample_n, topk
+from incident_analytics.operators.trees import feature_names, tree_nodes
 from incident_analytics.sources import lake
 from incident_analytics.sources.scratch import materialize
 
@@ -97,7 +98,7 @@ def run_train(
     spark: SparkSession, src: str, model_out: str, metrics_out: str,
     cfg: ml.TrainConfig = ml.TrainConfig(),
 ) -> dict[str, object]:
-    """Fit, save, evaluate on all test rows; write the run record and one tree.
+    """Fit, save, evaluate on all test rows; write the run record, one tree and the table of all nodes.
 
     The record also holds the confusion counts and the scores of each class, of which
     there are four at most.
@@ -112,6 +113,7 @@ def run_train(
         r.asDict() for r in A.class_metrics(conf, cfg.label, "pred_severity").orderBy("label").collect()]
     lake.write_meta(spark, metrics_out, record)
     lake.write_meta(spark, f"{metrics_out}_tree", {"tree": ml.tree_text(fit.model)})
+    lake.write_table(tree_nodes(spark, model_out, feature_names(fit.model)), f"{metrics_out}_nodes")
     return record
 
 

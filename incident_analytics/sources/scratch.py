@@ -12,7 +12,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -38,3 +38,10 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict[str, object]]:
+    """`materialize`, with aggregates that are observed while the rows are written: no job of their own."""
+    seen = Observation()
+    written = materialize(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), name)
+    return written, seen.get
