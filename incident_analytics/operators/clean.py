@@ -171,6 +171,9 @@ def to_int(df: DataFrame, c: str) -> DataFrame:
 
 # --- facets ----------------------------------------------------------------------------
 
+FACETS = {"year": ("year",), "state": ("state", "State"), "weather": ("weather_bucket", "weather")}
+
+
 def facets(
     df: DataFrame,
     year: str = "year",
@@ -178,23 +181,46 @@ def facets(
     weather: str = "weather_bucket",
     default_states: int = 8,
 ) -> DataFrame:
-    """Values of the three facets with the ones selected at the start.
+    """Values of the three facets of one table, with the ones selected at the start.
+
+    One scan finds the combinations that occur.
+    """
+    combos = df.select(year, state, weather).distinct()
+    return _with_defaults(_facet_values(combos, {"year": year, "state": state, "weather": weather}), default_states)
+
+
+def facets_of(marts: Sequence[DataFrame], default_states: int = 8) -> DataFrame:
+    """Values of the facets over several marts, each of which gives those that it has a column for.
 
-    Years: 2023 and 2022 if 2023 occurs, else the latest. States: the first
-    `default_states` in order. Weather: all. One scan finds the combinations
-    that occur; the windows run over the few values of a facet.
+    A facet's column is the first existing one of its names in `FACETS`; a facet that no mart
+    has gives no rows. Each mart is scanned once, only in its facet columns.
     """
-    combos = df.select(
-        F.col(year).try_cast("int").alias("y"),
-        F.upper(F.col(state).cast("string")).alias("s"),
-        F.col(weather).cast("string").alias("w"),
-    ).distinct()
-    pairs = F.array(*[
-        F.struct(F.lit(name).alias("facet"), F.col(c).cast("string").alias("value"))
-        for name, c in (("year", "y"), ("state", "s"), ("weather", "w"))
-    ])
-    values = combos.select(F.inline(pairs)).dropna().distinct()
+    found = []
+    for mart in marts:
+        columns = {facet: resolve_col(mart, names) for facet, names in FACETS.items()}
+        columns = {facet: c for facet, c in columns.items() if c}
+        if columns:
+            found.append(_facet_values(mart.select(*columns.values()).distinct(), columns))
+    if not found:
+        raise ValueError("no mart has a facet column")
+    return _with_defaults(reduce(DataFrame.unionByName, found).distinct(), default_states)
 
+
+def _facet_values(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """facet, value: years as whole numbers, states in capitals, nulls left out."""
+    def value(facet: str, c: str) -> Column:
+        text = F.col(c).cast("string")
+        return {"year": F.col(c).try_cast("int").cast("string"), "state": F.upper(text), "weather": text}[facet]
+
+    pairs = F.array(*[F.struct(F.lit(facet).alias("facet"), value(facet, c).alias("value")) for facet, c in columns.items()])
+    return df.select(F.inline(pairs)).dropna().distinct()
+
+
+def _with_defaults(values: DataFrame, default_states: int) -> DataFrame:
+    """Selected at the start: years 2023 and 2022 if 2023 occurs, else the latest; the first states; all weather.
+
+    The windows run over the few values of a facet.
+    """
     facet = Window.partitionBy("facet")
     years = F.when(F.col("facet") == "year", F.col("value").try_cast("int"))
     has_2023 = F.max(F.when(years == 2023, 1)).over(facet).isNotNull()

@@ -29,7 +29,7 @@ from incident_analytics.functions.scalar import node_part
 from incident_analytics.operators import overlap
 from incident_analytics.operators.clean import clean_key, resolve_col
 from incident_analytics.operators.ranking import topk
-from incident_analytics.sources.scratch import materialize
+from incident_analytics.sources.scratch import materialize, materialize_counted
 
 BLOCK_PROFILES = 2_000  # profiles of one group that one side of a join cell may hold
 SPREAD = 64             # sub-partitions of a profile when its first nodes are picked
@@ -366,7 +366,8 @@ def communities(edges: DataFrame, hub_nodes: DataFrame, rounds: int | None = 8)
     """Smallest label reached within `rounds` steps inside the hub graph.
 
     A fixed number of rounds need not finish: on a path of more nodes than rounds
-    several labels stay. None goes on until no label changes; 0 gives own names.
+    several labels stay. None gives the labels of the end, the least name of each
+    component, without a round for each step (see `settle`); 0 gives own names.
 
     Every hub starts with its own name and takes the least of its own and its
     neighbours' labels in each round. A loop edge per hub stands for its own
@@ -377,29 +378,55 @@ def communities(edges: DataFrame, hub_nodes: DataFrame, rounds: int | None = 8)
     links = undirect(edges).select("u", "v")
     for end in ("u", "v"):
         links = links.join(hub.select(F.col("node").alias(end)), end, "left_semi")
-    loops = hub.select(F.col("node").alias("u"), F.col("node").alias("v"))
-    graph = materialize(links.select("u", "v").unionByName(loops), "links")
-
+    if rounds is None:
+        return settle(links, hub)[0]
     if rounds == 0:
         return hub.select("node", F.col("node").alias("label"))
+    loops = hub.select(F.col("node").alias("u"), F.col("node").alias("v"))
+    graph = materialize(links.select("u", "v").unionByName(loops), "links")
     labels = graph.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("label"))
-
-    def spread(before: DataFrame) -> DataFrame:
-        return (
-            graph.join(before, "v").groupBy("u").agg(F.min("label").alias("label"))
+    for _ in range(rounds - 1):
+        labels = (
+            graph.join(labels, "v").groupBy("u").agg(F.min("label").alias("label"))
             .withColumnRenamed("u", "v")
         )
-
-    if rounds is None:
-        before, labels = None, materialize(labels, "labels")
-        while before is None or not labels.exceptAll(before).isEmpty():
-            before, labels = labels, materialize(spread(labels), "labels")
-    else:
-        for _ in range(rounds - 1):
-            labels = spread(labels)
     return labels.select(F.col("v").alias("node"), "label")
 
 
+def settle(links: DataFrame, nodes: DataFrame) -> tuple[DataFrame, list[dict[str, int]]]:
+    """Least name of each component, and what each round read: links (both ways, u and v) and changes.
+
+    In a round a node with a smaller neighbour takes the least of them as its label.
+    Only these changes are passed on: chains of them are shortened by doubling, until
+    a count that is observed while the table is written says that none moved. Then
+    the ends of the links are replaced by their labels, and links within a label
+    are left out: the links shrink from round to round, and none is left at the end.
+    """
+    links, seen = materialize_counted(links.where("u <> v").distinct(), "links", links=F.count(F.lit(1)))
+    labels = nodes.select("node", F.col("node").alias("label"))
+    history: list[dict[str, int]] = []
+    while seen["links"]:
+        least = links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label"))
+        changes, found = materialize_counted(least.where("label < node"), "changes", changes=F.count(F.lit(1)))
+        history.append({**seen, **found})
+        moved = found["changes"]
+        while moved:
+            further = changes.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            jumped = changes.join(further, "label", "left").select(
+                "node", F.coalesce("next", "label").alias("label"), F.col("next").isNotNull().alias("moved"))
+            changes, found = materialize_counted(jumped, "changes", moved=F.count_if("moved"))
+            moved = found["moved"]
+
+        def relabelled(df: DataFrame, column: str) -> DataFrame:
+            change = changes.select(F.col("node").alias(column), F.col("label").alias("_new"))
+            return df.join(change, column, "left").withColumn(column, F.coalesce("_new", column)).drop("_new")
+
+        shorter = relabelled(relabelled(links, "u"), "v").where("u <> v").distinct()
+        links, seen = materialize_counted(shorter, "links", links=F.count(F.lit(1)))
+        labels = materialize(relabelled(labels, "label").select("node", "label"), "labels")
+    return labels, history
+
+
 def community_sizes(labels: DataFrame) -> DataFrame:
     return labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_nodes"))
 

@@ -140,6 +140,15 @@ def _(t):
     return _labels(t)
 
 
+@query("g07_settled_communities", ev_sql("SELECT node, min(label) AS label FROM reach GROUP BY node", *_LABELS[:-9], """hub_links AS (
+  SELECT u, v FROM both_ways WHERE u IN (SELECT node FROM hubs) AND v IN (SELECT node FROM hubs))""", """reach(node, label) AS (
+  SELECT node, node FROM hubs UNION SELECT v, label FROM reach JOIN hub_links ON u = node)""").replace("WITH ", "WITH RECURSIVE ", 1))
+def _(t):
+    """Labels when no more change: the least name of each component of the hub graph."""
+    edges = materialize(graph.top_edges(_profiles(t), 3, 300), "edges")
+    return graph.communities(edges, graph.hubs(edges, k=100), None)
+
+
 @query("g10_community_labels", ev_sql(
     "SELECT split_part(node, '|', 1) AS state, split_part(node, '|', 2) AS city, label FROM l8",
     *_LABELS))

@@ -249,6 +249,14 @@ def _(t):
     return clean.facets(t.ln("year", "State", "weather_bucket"))
 
 
+@query("p17_facets_of_marts", _facets_sql(0, "year = (SELECT max(year) FROM ln)"))
+def _(t):
+    """Three marts, none with all facets: months, places, weather by hour."""
+    lines = t.ln("year", "month", "State", "City", "weather_bucket", "hour")
+    return clean.facets_of([
+        cross_count(lines, "year", "month"), cross_count(lines, "State", "City"), cross_count(lines, "weather_bucket", "hour")])
+
+
 _POINTS = """points AS (
   SELECT n_name AS StateName, count(*) AS Cases, max(n_regionkey)::DOUBLE AS lat,
          max(n_nationkey)::DOUBLE AS lon

@@ -102,3 +102,16 @@ def test_selected_point(spark):
     assert [r.StateName for r in clean.selected_point(df, ["tx"]).collect()] == ["Texas"]
     assert clean.selected_point(df, ["TX", "OH"]).count() == 0
     assert clean.selected_point(df, []).count() == 0
+
+
+def test_facets_over_marts_that_each_have_some(spark):
+    trend = spark.createDataFrame([(2021, 3), (2023, 1), (None, 2)], "year int, n int")
+    places = spark.createDataFrame([("tx", "A"), ("ny", "B"), (None, "C")], "state string, City string")
+    more = spark.createDataFrame([("TX", "2022")], "State string, Year string")
+    weather = spark.createDataFrame([("rain",), ("fog",)], "weather string")
+    got = {(r.facet, r.value): r.is_default for r in clean.facets_of([trend, places, more, weather, spark.range(2)], 1).collect()}
+    assert got == {("year", "2021"): False, ("year", "2022"): True, ("year", "2023"): True, ("state", "NY"): True,
+                   ("state", "TX"): False, ("weather", "rain"): True, ("weather", "fog"): True}
+    assert clean.facets_of([places.limit(0)]).count() == 0
+    with pytest.raises(ValueError):
+        clean.facets_of([spark.range(1)])

@@ -203,9 +203,27 @@ def test_no_rows(spark):
     assert edges.filter(F.lit(True)).count() == 0
 
 
-def test_communities_without_a_round_and_until_the_end(spark):
+def test_communities_without_a_round_and_until_the_end(spark, rows):
     path = spark.createDataFrame([(f"n{k:02}", f"n{k + 1:02}", 1) for k in range(19)], "src string, dst string, cooc int")
     nodes = graph.endpoints(path)
     assert {r.label for r in graph.communities(path, nodes, None).collect()} == {"n00"}
+    assert rows(graph.communities(path, nodes.limit(0), None)) == []
     assert all(r.label == r.node for r in graph.communities(path, nodes, 0).collect())
     assert len({r.label for r in graph.communities(path, nodes, 8).collect()}) == 12
+
+
+def test_a_path_of_500_nodes_settles_in_few_rounds(spark):
+    rng = random.Random(8)
+    names = [f"n{k:03}" for k in range(500)]
+    shuffled = rng.sample(names, 500)
+    ordered = [(a, b) for a, b in zip(names, names[1:])]
+    mixed = [("m" + a, "m" + b) for a, b in zip(shuffled, shuffled[1:])] + [("s", f"t{k}") for k in range(40)]
+    for pairs, ends in ((ordered, {"n000"}), (mixed, {"mn000", "s"})):
+        links = spark.createDataFrame([p for a, b in pairs for p in ((a, b), (b, a))], "u string, v string")
+        nodes = links.select(F.col("u").alias("node")).distinct()
+        labels, history = graph.settle(links, nodes.unionByName(spark.createDataFrame([("alone",)], "node string")))
+        got = {r.node: r.label for r in labels.collect()}
+        assert set(got.values()) == ends | {"alone"} and len(got) == len({x for p in pairs for x in p}) + 1
+        assert got["alone"] == "alone" and all(got[a] == got[b] for a, b in pairs)
+        read = [h["links"] for h in history]
+        assert len(read) <= 9 and all(b < a / 1.5 for a, b in zip(read, read[1:]))

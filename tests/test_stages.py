@@ -223,3 +223,62 @@ def test_materialize_uses_the_folder_of_the_session(spark):
     df = materialize(spark.range(3), "t")
     assert df.count() == 3
     assert scratch_root(spark) in df.inputFiles()[0]
+
+
+# --- incremental lake and checked records -----------------------------------------------------
+
+def files_of(path, part):
+    return {(f.name, f.stat().st_mtime_ns) for f in (path / part).iterdir()}
+
+
+def test_one_month_is_loaded_again(spark, tmp_path):
+    path = tmp_path / "lake"
+    rows = [(i, f"2022-{1 + i % 4:02d}", 2022, f"t{i}") for i in range(400)] + [(900, None, 2022, "no month"), (901, "2022-01", None, None)]
+    df = spark.createDataFrame(rows, "ID long, month string, year int, text string").repartition(3)
+    assert lake.update_lake(df, str(path)).count() == 6
+    parts = [p.relative_to(path) for p in path.glob("year=*/month=*")]
+    before = {p: files_of(path, p) for p in parts}
+    assert len(parts) == 6
+
+    february = df.filter("month = '2022-02'").withColumn("text", F.lit("new")).select("text", "year", "ID", "month")
+    changed = lake.update_lake(february, str(path)).collect()
+    assert [(r.year, r.month, r.n_rows) for r in changed] == [(2022, "2022-02", 100)]
+    for p in parts:
+        assert (files_of(path, p) != before[p]) == ("2022-02" in str(p))
+    after = lake.read_lake(spark, str(path))
+    assert after.count() == 402 and after.filter("text = 'new'").count() == 100
+
+    before = {p: files_of(path, p) for p in parts}
+    again = february.unionByName(df.filter("month IS NULL OR month = '2022-03'").select(february.columns))
+    assert lake.update_lake(again.repartition(5), str(path)).count() == 0
+    assert before == {p: files_of(path, p) for p in parts}
+    fewer = february.filter("ID % 8 = 1").unionByName(february.filter("ID = 1"))
+    assert [r.n_rows for r in lake.update_lake(fewer, str(path)).collect()] == [51]
+    assert lake.read_lake(spark, str(path)).count() == 402 - 100 + 51
+    with pytest.raises(ValueError, match="columns differ"):
+        lake.update_lake(february.drop("text"), str(path))
+    assert lake.update_lake(february.limit(0), str(path)).count() == 0
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = str(tmp_path / "mart")
+    lake.write_mart(spark.createDataFrame([(1, "x", 2.5), (2, "y", None)], "b int, c string, a double"), path)
+    out = lake.read_mart(spark, path, "a double, b int")
+    assert out.dtypes == [("a", "double"), ("b", "int")]
+    assert sorted(map(tuple, out.collect()), key=repr) == [(2.5, 1), (None, 2)]
+    with pytest.raises(ValueError, match="no column"):
+        lake.read_mart(spark, path, "a double, d int")
+
+
+def test_rejected_lines_are_set_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("b,a\n1,x\nword,y\n3\n4,z,more\n5,\n,q\n")
+    checked = lake.read_checked(spark, str(tmp_path / "a.csv"), "a string, b int")
+    assert sorted(map(tuple, checked.rows.collect()), key=repr) == sorted([("x", 1), (None, 5), ("q", None)], key=repr)
+    rejected = checked.rejected.collect()
+    assert sorted(r.line for r in rejected) == ["3", "4,z,more", "word,y"] and all(r.file.endswith("a.csv") for r in rejected)
+    assert checked.rows.select("a").count() == 3  # judged alike whatever is selected
+    (tmp_path / "many").mkdir()
+    (tmp_path / "many" / "1.csv").write_text("b,a\n1,x\n")
+    (tmp_path / "many" / "2.csv").write_text("a,b\nx,1\n")
+    with pytest.raises(Exception, match="header"):
+        lake.read_checked(spark, str(tmp_path / "many"), "a string, b int").rows.collect()
