@@ -29,6 +29,8 @@ def parser() -> argparse.ArgumentParser:
     for name, names in arguments.items():
         for arg in names:
             stage[name].add_argument(f"--{arg}", required=True)
+    for name in ("ingest", "curate"):
+        stage[name].add_argument("--update", action="store_true", help="replace only the months that differ")
     stage["score"].add_argument("--sample", type=int, default=0)
     stage["score"].add_argument("--mode", default="overwrite")
     stage["marts"].add_argument("--k", type=int, default=3000)

@@ -86,8 +86,17 @@ def share_by(df: DataFrame, key: str, severity: str, n: str = "n", k: int = 12)
 
 
 def nunique(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row: distinct values of each column."""
-    return df.agg(*[F.count_distinct(c).alias(f"n_{c}") for c in cols])
+    """One row: distinct values of each column.
+
+    The values of all columns are made distinct in one scan and step, each with the number of
+    its column; an aggregate of several distinct counts would repeat whole rows instead (Expand).
+    """
+    if len(cols) == 1:
+        return df.agg(F.count_distinct(cols[0]).alias(f"n_{cols[0]}"))
+    pairs = F.array(*[F.struct(F.lit(i).alias("col"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)])
+    counts = df.select(F.inline(pairs)).filter("value IS NOT NULL").distinct().groupBy("col").agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(*[
+        F.coalesce(F.max(F.when(F.col("col") == i, F.col("n"))), F.lit(0)).alias(f"n_{c}") for i, c in enumerate(cols)])
 
 
 def coverage(points: DataFrame, dim: DataFrame) -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from incident_analytics.functions import scalar as S
 from incident_analytics.operators import aggregates as A
-from incident_analytics.operators import graph, joins, ranking, sets
+from incident_analytics.operators import bitmaps, graph, joins, ranking, sets
 from incident_analytics.plans.q_rows import _POINTS, nation_points
 from incident_analytics.plans.registry import ev_sql, ln_sql, query, r, rounded
+from incident_analytics.sources.scratch import materialize
 
 
 # --- marts --------------------------------------------------------------------------------
@@ -72,6 +76,19 @@ def _(t):
     return A.distinct_per_group(t.ev(), "State", "City", 20)
 
 
+@query("a10_distinct_rolled_up", ev_sql("""
+SELECT State, hour, count(DISTINCT City) AS n_cities FROM ev GROUP BY GROUPING SETS ((State, hour), (State), (hour), ())"""))
+def _(t):
+    """Cities by state and hour, by each of them and in all, from one table of bitmaps."""
+    cities = materialize(bitmaps.value_bitmaps(t.ev(), ["State", "hour"], "City"), "bitmaps")
+    parts = []
+    for keys in (["State", "hour"], ["State"], ["hour"], []):
+        counts = bitmaps.counted(bitmaps.rolled_up(cities, keys), keys, "n_cities")
+        missing = {c: F.lit(None).cast(k) for c, k in (("State", "string"), ("hour", "int")) if c not in keys}
+        parts.append(counts.withColumns(missing).select("State", "hour", "n_cities"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("a11_nodes_per_bucket", ev_sql(
     "SELECT DISTINCT State, hour, concat_ws('|', State, City) AS node FROM ev"))
 def _(t):

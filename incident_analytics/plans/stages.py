@@ -78,12 +78,20 @@ def ml_table(curated: DataFrame) -> DataFrame:
     return clean.dropna_existing(table, ["Severity", "Distance_mi"])
 
 
-def run_ingest(spark: SparkSession, csv: str, out: str) -> None:
-    lake.write_lake(ingest(lake.read_csv_raw(spark, csv)), out, repartition=True)
+def _write_months(df: DataFrame, out: str, update: bool) -> None:
+    if update:
+        lake.update_lake(df, out)
+    else:
+        lake.write_lake(df, out, repartition=True)
 
 
-def run_curate(spark: SparkSession, src: str, out: str) -> None:
-    lake.write_lake(curate(lake.read_lake(spark, src)), out, repartition=True)
+def run_ingest(spark: SparkSession, src: str, out: str, update: bool = False) -> None:
+    """With `update`, only the months of the source that differ from the lake are replaced."""
+    _write_months(ingest(lake.read_csv_raw(spark, src)), out, update)
+
+
+def run_curate(spark: SparkSession, src: str, out: str, update: bool = False) -> None:
+    _write_months(curate(lake.read_lake(spark, src)), out, update)
 
 
 def run_aggregate(spark: SparkSession, src: str, summary_out: str, ml_out: str) -> None:

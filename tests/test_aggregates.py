@@ -1,11 +1,14 @@
 import math
+import random
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from incident_analytics.operators import aggregates as A
-from incident_analytics.operators import joins
+from incident_analytics.operators import bitmaps, joins, serving
 from incident_analytics.sources.dimensions import state_codes, state_dim
+from incident_analytics.sources.scratch import materialize
 
 
 def predictions(spark, pairs):
@@ -85,3 +88,28 @@ def test_map_leaves_out_dc(spark):
 def test_dimensions(spark):
     assert state_dim(spark).count() == 50 and state_codes(spark).count() == 51
     assert state_codes(spark).join(state_dim(spark), "StateName", "left_anti").first().code == "DC"
+
+
+def test_bitmaps_roll_up_to_exact_counts(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(3), f"v{rng.randrange(60_000)}" if rng.random() < 0.95 else None)
+            for _ in range(50_000)]
+    df = spark.createDataFrame(rows, "g string, h int, v string")
+    table = materialize(bitmaps.value_bitmaps(df, ["g", "h"], "v"), "bitmaps")
+    assert table.select("bucket").distinct().count() > 1
+    for keys, at in ((["g", "h"], (0, 1)), (["g"], (0,)), ([], ())):
+        want = defaultdict(set)
+        for r in rows:
+            if r[2] is not None:
+                want[tuple(r[i] for i in at)].add(r[2])
+        got = {tuple(r)[:-1]: r.n for r in bitmaps.counted(bitmaps.rolled_up(table, keys), keys, "n").collect()}
+        assert got == {k: len(v) for k, v in want.items()}
+    assert bitmaps.counted(bitmaps.value_bitmaps(df.limit(0), [], "v"), [], "n").first().n == 0
+
+
+def test_distinct_counts_repeat_no_rows(spark):
+    df = spark.createDataFrame([("a", 1, 1.5), ("a", None, 1.5), ("b", 2, None)], "x string, y int, z double")
+    out = serving.nunique(df, ["x", "y", "z"])
+    assert tuple(out.first()) == (2, 2, 1) and out.columns == ["n_x", "n_y", "n_z"]
+    assert "Expand" not in out._jdf.queryExecution().toString()
+    assert tuple(serving.nunique(df.limit(0), ["x", "y"]).first()) == (0, 0)

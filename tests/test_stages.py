@@ -225,6 +225,19 @@ def test_materialize_uses_the_folder_of_the_session(spark):
     assert scratch_root(spark) in df.inputFiles()[0]
 
 
+def test_command_line_updates_only_what_differs(spark, paths, tmp_path):
+    from incident_analytics.__main__ import main
+
+    files = []
+    for _ in range(2):
+        main(["ingest", "--src", f"{paths}/raw", "--out", str(tmp_path / "lake"), "--update"])
+        main(["curate", "--src", str(tmp_path / "lake"), "--out", str(tmp_path / "curated"), "--update"])
+        files.append({f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")})
+    assert files[0] == files[1] and files[0]
+    a, b = (lake.read_lake(spark, p) for p in (f"{paths}/curated", str(tmp_path / "curated")))
+    assert a.select(sorted(a.columns)).exceptAll(b.select(sorted(a.columns))).isEmpty() and a.count() == b.count()
+
+
 # --- incremental lake and checked records -----------------------------------------------------
 
 def files_of(path, part):
