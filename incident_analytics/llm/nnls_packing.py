@@ -64,9 +64,9 @@ class WordEncoder:
         self.path = path
         self.vocabulary = WordVocabulary.load(path)
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        self.plain = regex.compile(r"[!-~¡-ɏ]*")
         with open(path, encoding="utf-8") as file:
-            added = [regex.escape(token["content"]) for token in json.load(file).get("added_tokens", ())]
-        self.plain = regex.compile(rf"(?!.*(?:{'|'.join(added)}))[!-~¡-ɏ]*" if added else r"[!-~¡-ɏ]*")
+            self.added = [token["content"] for token in json.load(file).get("added_tokens", ())]
         self.units = UnitIds(self._encode_units)
 
     @cached_property
@@ -79,7 +79,10 @@ class WordEncoder:
 
     def _encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         texts = units.to_pylist()
-        plain = [self.plain.fullmatch(u) is not None for u in texts]
+        special = np.zeros(len(texts), dtype=bool)
+        for token in self.added:
+            special |= pc.match_substring(units, token).to_numpy(zero_copy_only=False)
+        plain = [not s and self.plain.fullmatch(u) is not None for u, s in zip(texts, special.tolist())]
         per_unit = [self.pattern.findall(unicodedata.normalize("NFC", u).lower()) if p else () for u, p in zip(texts, plain)]
         words = pa.array(chain.from_iterable(per_unit), pa.string()).dictionary_encode()
         v = self.vocabulary
