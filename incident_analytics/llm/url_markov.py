@@ -7,13 +7,15 @@ Counts cover every URL that a rule judges (three quarters of them, by hash), eac
 under a key of its own: the model is a table that grows with the URLs. It holds the
 `ORDER` + 1 bytes of every place of a URL once, with the counts of both classes; those of
 shorter contexts are sums over it, made by Spark, and so is the difference of the two
-log-probabilities of each gram. URLs are scored against that table in shards of about
-`SHARD` grams: only one is held in memory at a time, and sums are carried on from shard
-to shard through written tables. The other quarter calibrates the threshold on the difference of the two
+log-probabilities of each gram. URLs are scored in one pass, without the model on the driver or
+whole in any task: URLs are dealt to chunks of about `CHUNK` characters, the distinct grams of a
+chunk are joined to the table, and each chunk meets the part of the table that it needs. So what
+is shuffled grows with the URLs alone, and a gram that all URLs hold is one row for each chunk.
+The other quarter calibrates the threshold on the difference of the two
 log-likelihoods per character: the cut with the highest balanced accuracy.
 URLs without a rule are allowed if their difference reaches the threshold.
 
-Null URLs and URLs without "://" have an empty host and path, fit no rule and score 0.
+Null URLs and URLs without "://" have an empty host and path and fit no rule; null and empty ones score 0.
 If no URL, or only one side, is judged by rules, all others score 0 and are allowed.
 Repeated rows are judged alike; an empty table gives an empty result. Other columns,
 whatever their names, aren't read.
@@ -23,17 +25,16 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from incident_analytics.llm.common import new_folder, offsets, ship, written
 
 ORDER = 4  # at most 6, so that a gram fits into a long
-SHARD = 2_000_000
 CHUNK = 1 << 20
 STRENGTH = 2.0
 BINS_PER_NAT = 50
@@ -144,48 +145,60 @@ def log_ratios(counts: DataFrame, order: int = ORDER, strength: float = STRENGTH
     return table.select("gram", F.when(both, ratio).otherwise(0.0).alias("ratio"))
 
 
-@dataclass(frozen=True)
-class Model:
-    """A written table of (gram, ratio, shard); threshold in nats a character."""
+def in_chunks(urls: DataFrame, chunk: int = CHUNK, url: str = "url") -> DataFrame:
+    """Add `_chunk`: rows that follow one another in a task share one until it has `chunk` characters.
 
-    ratios: DataFrame
-    shards: int
-    threshold: float = 0.0
-    order: int = ORDER
+    Which rows share one depends on the tasks, so the result must be written before it is used twice.
+    """
+    place = urls.columns.index(url)
+    schema = urls.withColumn("_chunk", F.lit(0).cast("long")).schema
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            own = []
+            for value in batch.column(place).to_pylist():
+                if size >= chunk:
+                    number, size = number + 1, 0
+                size += len(value or "")
+                own.append(number)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int64())], [*batch.schema.names, "_chunk"])
 
-def _scored(df: DataFrame, model: Model, folder: str, url: str = "url", out: str = "score") -> DataFrame:
-    """Add `out`, the sum of a URL's ratios by its bytes; 0 for empty URLs."""
-    rows = df.withColumn(out, F.lit(0.0))
-    for shard in range(model.shards):
-        if shard:
-            rows = written(rows, f"{folder}/{shard}")
-        held = model.ratios.where(F.col("shard") == shard).select("gram", "ratio").toArrow()  # about SHARD rows
-        keys = held["gram"].to_numpy()
-        order = np.argsort(keys)
-        shared = df.sparkSession.sparkContext.broadcast((keys[order], held["ratio"].to_numpy()[order]))
-        rows = rows.mapInArrow(_adding(shared, model.order, rows.columns.index(url), rows.columns.index(out)), rows.schema)
-    return rows
+    return urls.mapInArrow(run, schema)
 
 
-def _adding(shared, order: int, place: int, at: int):
-    """A pass over rows that adds what one shard knows of a URL to column `at`."""
+def _needed(urls: DataFrame, order: int) -> DataFrame:
+    """(_chunk, gram): the grams of each chunk, once for each batch of rows that it spans."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, ratios = shared.value
         for batch in batches:
-            sums = []
-            for chunk in _chunks([u or "" for u in batch.column(place).to_pylist()]):
-                gram, lengths = grams(chunk, order)
-                found = np.minimum(np.searchsorted(keys, gram), max(len(keys) - 1, 0))
-                value = np.where(keys[found] == gram, ratios[found], 0.0) if len(keys) else np.zeros(len(gram))
-                of = np.repeat(np.arange(len(chunk)), lengths)
-                sums.append(np.bincount(of, weights=value, minlength=len(chunk)) / np.maximum(lengths, 1))
-            before = batch.column(at).to_numpy(zero_copy_only=False)
-            columns = batch.columns
-            columns[at] = pa.array(before + np.concatenate(sums or [np.empty(0)]))
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+            held: dict[int, list[str]] = {}
+            for number, url in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held.setdefault(number, []).append(url or "")
+            for number, own in held.items():
+                gram = np.unique(grams(own, order)[0])
+                yield pa.RecordBatch.from_pydict({"_chunk": np.full(len(gram), number, dtype=np.int64), "gram": gram})
+
+    return urls.mapInArrow(run, "_chunk long, gram long")
+
+
+def scored(urls: DataFrame, ratios: DataFrame, order: int = ORDER, url: str = "url", out: str = "score") -> DataFrame:
+    """`urls`, written with `_chunk`, and `out`: the sum of a URL's ratios by its bytes, 0 for empty URLs."""
+    known = _needed(urls.select("_chunk", url), order).join(ratios, "gram").select("_chunk", "gram", "ratio")
+    place = urls.columns.index(url)
+    schema = urls.withColumn(out, F.lit(0.0)).schema
 
-    return run
+    def run(rows: pa.Table, held: pa.Table) -> pa.Table:
+        keys, first = np.unique(held["gram"].to_numpy(), return_index=True)
+        values = held["ratio"].to_numpy()[first]
+        gram, lengths = grams([u or "" for u in rows.column(place).to_pylist()], order)
+        value = np.zeros(len(gram))
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
+            value = np.where(keys[at] == gram, values[at], 0.0)
+        sums = np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights=value, minlength=len(lengths))
+        return rows.append_column(out, pa.array(sums / np.maximum(lengths, 1)))
+
+    return urls.groupBy("_chunk").cogroup(known.groupBy("_chunk")).applyInArrow(run, schema)
 
 
 def threshold_of(bins: list[tuple[bool, int, int]]) -> float:
@@ -208,21 +221,25 @@ def threshold_of(bins: list[tuple[bool, int, int]]) -> float:
     return equal[len(equal) // 2] / BINS_PER_NAT
 
 
-def fit(urls: DataFrame, folder: str, order: int = ORDER, shard_grams: int = SHARD) -> Model:
-    """A model from `urls` (url, accepted), null where no rule judges; it knows the grams of all of them."""
-    held_out = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(HELD_OUT_OF)) == 0
-    counts = written(_counted(urls.withColumn("accepted", F.when(~held_out, F.col("accepted"))), order), f"{folder}/counts")
-    shards = max(1, -(-counts.count() // shard_grams))
-    ratios = log_ratios(counts, order).withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(shards)).cast("int"))
-    model = Model(written(ratios, f"{folder}/ratios"), shards, 0.0, order)
-    bins = (
-        _scored(urls.where(held_out & F.col("accepted").isNotNull()).select("url", "accepted"), model, f"{folder}/held-out")
-        .groupBy("accepted", F.floor(F.col("score") * BINS_PER_NAT).cast("int").alias("bin")).count().collect()
-    )  # a log-likelihood per character has at most some thousand bins
-    return Model(model.ratios, shards, threshold_of([tuple(b) for b in bins]), order)
+def held_out(url: str = "url") -> Column:
+    return F.pmod(F.crc32(F.col(url).cast("binary")), F.lit(HELD_OUT_OF)) == 0
+
+
+def fit(urls: DataFrame, folder: str, order: int = ORDER) -> DataFrame:
+    """The written table (gram, ratio) from `urls` (url, accepted), null where no rule judges; it holds the grams of all of them."""
+    learning = urls.withColumn("accepted", F.when(~held_out(), F.col("accepted")))
+    counts = written(_counted(learning, order), f"{folder}/counts")
+    return written(log_ratios(counts, order), f"{folder}/ratios")
+
+
+def calibrated(found: DataFrame) -> float:
+    """The threshold, in nats a character, from the held-out rows of `found` (url, accepted, score)."""
+    judged = found.where(held_out() & F.col("accepted").isNotNull())
+    bins = judged.groupBy("accepted", F.floor(F.col("score") * BINS_PER_NAT).cast("int").alias("bin")).count()
+    return threshold_of([tuple(b) for b in bins.collect()])  # a log-likelihood per character has at most some thousand bins
 
 
-def judge(df: DataFrame, rules=RULES, url: str = "url", key: str = "page_id", shard_grams: int = SHARD) -> DataFrame:
+def judge(df: DataFrame, rules=RULES, url: str = "url", key: str = "page_id", chunk: int = CHUNK) -> DataFrame:
     """key, url, host, path, rule, score and verdict of every URL."""
     ship(df.sparkSession)
     parsed = df.select(F.col(key), F.coalesce(F.col(url), F.lit("")).alias("url"))
@@ -232,8 +249,12 @@ def judge(df: DataFrame, rules=RULES, url: str = "url", key: str = "page_id", sh
     verdicts = F.array(*(F.lit(v) for v, _ in rules))
     parsed = parsed.withColumns({"rule": F.get(names, F.col("_rule")), "_verdict": F.get(verdicts, F.col("_rule"))}).drop("_rule")
     folder = new_folder(df.sparkSession, "urls")
-    model = fit(parsed.select("url", (F.col("_verdict") == "allow").alias("accepted")), folder, shard_grams=shard_grams)
-    return _scored(parsed, model, f"{folder}/scored").select(
+    parsed = written(in_chunks(parsed, chunk), f"{folder}/urls")
+    accepted = (F.col("_verdict") == "allow").alias("accepted")
+    ratios = fit(parsed.select("url", accepted), folder)
+    found = written(scored(parsed, ratios), f"{folder}/scored")
+    threshold = calibrated(found.select("url", accepted, "score"))
+    return found.select(
         key, "url", "host", "path", "rule", "score",
-        F.coalesce("_verdict", F.when(F.col("score") >= model.threshold, "allow").otherwise("block")).alias("verdict"),
+        F.coalesce("_verdict", F.when(F.col("score") >= threshold, "allow").otherwise("block")).alias("verdict"),
     )

@@ -210,7 +210,7 @@ def test_url_rules_and_model(spark):
 
 
 def test_url_scores_are_those_of_all_grams(spark):
-    """More grams than a table of 65,536 slots holds, in one shard and in several, against plain counts."""
+    """More grams than a table of 65,536 slots holds, in large and in small chunks, against plain counts; threshold and verdicts too."""
     rng = random.Random(7)
     urls = [f"http://{'en.example.org/fr' if i % 2 else 'x.example.com/de'}/{''.join(rng.choices('abcdefghijklmnopqrstuvwxyz', k=30))}" for i in range(1500)]
     urls += ["http://none.test/" + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=30)) for _ in range(20)] + ["http://none.test/é日", ""]
@@ -233,9 +233,18 @@ def test_url_scores_are_those_of_all_grams(spark):
         return total / max(1, len(data) - 4)
 
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    for shard in (1_000_000, 30_000):
-        got = {r.page_id: r.score for r in url_markov.judge(df, shard_grams=shard).collect()}
-        assert all(abs(got[i] - score(urls[i])) < 1e-9 for i in [*range(0, 1500, 60), *range(1500, len(urls))])
+    held = [(i % 2, score(u)) for i, u in enumerate(urls[:1500]) if not zlib.crc32(u.encode()) % 4]
+    bins = Counter((side, int(np.floor(s * 50))) for side, s in held)
+    sides = [sum(n for (side, _), n in bins.items() if side == k) for k in (0, 1)]
+    cuts = range(min(b for _, b in bins), max(b for _, b in bins) + 2)
+    gains = {cut: sum(n * (b >= cut) / sides[1] if side else n * (b < cut) / sides[0] for (side, b), n in bins.items()) for cut in cuts}
+    equal = [cut for cut in cuts if gains[cut] > max(gains.values()) - 1e-9]
+    threshold = equal[len(equal) // 2] / 50
+    for chunk in (1 << 20, 3000):
+        got = {r.page_id: r for r in url_markov.judge(df, chunk=chunk).collect()}
+        assert all(abs(got[i].score - score(urls[i])) < 1e-9 for i in [*range(0, 1500, 60), *range(1500, len(urls))])
+        assert all(got[i].verdict == ("allow" if score(urls[i]) >= threshold else "block") for i in range(1500, len(urls)))
+        assert {r.verdict for r in got.values() if r.page_id < 1500} == {"allow", "block"}
 
 
 def test_main_text():
