@@ -112,7 +112,8 @@ def scan(versions: DataFrame, ledger: str, path: str = "doc_id", text: str = "te
     scanned = scanned.select("blob_id", F.explode(F.filter("found", lambda f: f.isNotNull())).alias("f")).select("blob_id", "f.rule", "f.spans")
     scanned.write.mode("append").parquet(ledger)
     current = read_ledger(spark, ledger).where(F.col("rule").isin([r.id for r in rules]) & (F.size("spans") > 0))
-    findings = current.groupBy("blob_id").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))  # one list per rule version
+    # One list for each rule version, and equal ones where runs that overlapped have scanned the same pair.
+    findings = current.groupBy("blob_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("spans"))
     return addressed.select("path", "blob_id").join(findings, "blob_id", "left").select(
         "path", "blob_id", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
 
@@ -141,13 +142,14 @@ def report(documents: DataFrame, ledger: str, key: str = "doc_id") -> DataFrame:
 def redact(documents: DataFrame, text: str = "text", rules=RULES, mask: str = "[secret]") -> DataFrame:
     """All columns, with the secrets in the text replaced: each distinct secret-bearing blob is scanned once.
 
-    Spans that overlap are masked as one. Null texts stay null.
+    Spans that overlap are masked as one. Null texts stay null. Columns may have any names.
     """
     spark = documents.sparkSession
-    keyed = documents.withColumn("_blob", F.sha2(text_or_empty(text), 256))
-    found = scan(documents.where(reduce(lambda a, b: a | b, (F.col(text).rlike(r.pattern) for r in rules))).select(
-        F.lit(0).alias("_path"), text), new_folder(spark, "ledger"), "_path", text, rules, fresh=True)
-    masks = found.where(F.size("spans") > 0).select(F.col("blob_id").alias("_blob"), "spans").dropDuplicates(["_blob"])
+    whole = F.struct(*(F.col(f"`{c}`").alias(c) for c in documents.columns)).alias("_row")  # a column of its own, so that no name can clash
+    keyed = documents.select(whole, F.col(text).alias("_text"), F.sha2(text_or_empty(text), 256).alias("_blob"))
+    bearing = keyed.where(reduce(lambda a, b: a | b, (F.col("_text").rlike(r.pattern) for r in rules)))
+    found = scan(bearing.select(F.lit(0).alias("_path"), "_text"), new_folder(spark, "ledger"), "_path", "_text", rules, fresh=True)
+    masks = found.where(F.size("spans") > 0).select(F.col("blob_id").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"])
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("text"))
 
     def masked(content: Column, spans: Column) -> Column:
@@ -161,4 +163,5 @@ def redact(documents: DataFrame, text: str = "text", rules=RULES, mask: str = "[
         return F.aggregate(spans, start, cut, lambda s: F.concat(s.text, F.substring(content, (s.at + 1).cast("int"), F.length(content))))
 
     joined = keyed.join(masks, "_blob", "left")
-    return joined.withColumn(text, F.when(F.col("spans").isNull(), F.col(text)).otherwise(masked(F.col(text), F.col("spans")))).select(*documents.columns)
+    content = F.when(F.col("_spans").isNull(), F.col("_text")).otherwise(masked(F.col("_text"), F.col("_spans")))
+    return joined.select(*(content.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in documents.columns))

@@ -19,8 +19,8 @@ declared language with any text is in the model, whose counts are sparse.
 Null or empty text gives no text evidence; null declarations, hosts and suffixes give
 none either. Where no row declares a language there is nothing to tell apart: language and
 posterior are null, and every row that has letters is accepted. Ties go to the language that sorts first. An empty table gives an empty
-result; repeated rows are judged alike; all columns of the input stay, and those named
-like an output are replaced.
+result; repeated rows are judged alike; all columns of the input stay, whatever their
+names, and those named like an output are replaced.
 """
 
 from __future__ import annotations
@@ -90,13 +90,13 @@ def fit_text_model(df: DataFrame, text: str, declared: str, fit_rows: int = FIT_
     """3-gram counts per declared language, from at most `fit_rows` different texts each."""
     hashed = df.select(primary_subtag(declared).alias("language"), F.xxhash64(text_or_empty(text)).alias("h"), text_or_empty(text).alias("text"))
     hashed = hashed.where("language IS NOT NULL AND text <> ''")
-    different = written(hashed.select("language", "h").distinct(), f"{new_folder(df.sparkSession, 'language-fit')}/different")
-    # Hashes are uniform: the lowest `fit_rows` lie in a share that holds four times as many, and only those are sorted.
+    different = hashed.select("language", "h").distinct()
+    # Hashes are uniform: the lowest `fit_rows` lie in a share that holds four times as many. Only texts of that share are
+    # shuffled, each once for a task that has it, and sorted.
     share = F.broadcast(different.groupBy("language").agg((F.lit(4.0 * fit_rows) / F.count("*")).alias("share")))  # a row for each language
-    few = different.join(share, "language").where(F.col("h") / F.lit(2.0 ** 64) + 0.5 <= F.col("share"))
+    few = hashed.join(share, "language").where(F.col("h") / F.lit(2.0 ** 64) + 0.5 <= F.col("share"))
     lowest = Window.partitionBy("language").orderBy("h")
-    chosen = few.withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= fit_rows)
-    rows = hashed.join(chosen.select("language", "h"), ["language", "h"]).groupBy("language", "h").agg(F.first("text").alias("text"))
+    rows = few.groupBy("language", "h").agg(F.min("text").alias("text")).withColumn("rank", F.row_number().over(lowest)).where(F.col("rank") <= fit_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,15 +162,17 @@ def identify(df: DataFrame, text: str, declared: str, host: str | None, fit_rows
     """Add `language`, `posterior` and `accepted` to every row."""
     spark = df.sparkSession
     ship(spark)
-    base = df.drop("language", "posterior", "accepted")
-    model = fit_text_model(base, text, declared, fit_rows)
+    stay = [c for c in df.columns if c.lower() not in ("language", "posterior", "accepted")]
+    whole = F.struct(*(F.col(f"`{c}`").alias(c) for c in stay)).alias("_row")  # a column of its own, so that no name can clash
+    base = df.select(whole, F.col(text).cast("string").alias("_text"), primary_subtag(declared).alias("_declared"),
+                     (F.col(host) if host else F.lit(None)).cast("string").alias("_host"))
+    model = fit_text_model(base, "_text", "_declared", fit_rows)
     n = len(model.languages)
     if not n:
-        return base.withColumns({"language": F.lit(None).cast("string"), "posterior": F.lit(None).cast("double"), "accepted": has_letters(text)})
+        return base.select("_row.*", F.lit(None).cast("string").alias("language"), F.lit(None).cast("double").alias("posterior"),
+                           has_letters("_text").alias("accepted"))
     names = F.array(*map(F.lit, model.languages))
-    host_column = (F.col(host) if host else F.lit(None)).cast("string")
-    keyed = base.withColumns({"_host": host_column, "_declared": primary_subtag(declared)})
-    rows = with_evidence(keyed, model, text)
+    rows = with_evidence(base, model, "_text").drop("_text")
 
     # What the texts alone say, counted by declaration and host over all rows that have letters.
     by_text = rows.where("_letters").select(
@@ -222,10 +224,10 @@ def identify(df: DataFrame, text: str, declared: str, host: str | None, fit_rows
     none = F.array(*[F.lit(0.0)] * n)
     log_posterior = F.zip_with(with_host, F.when(F.col("_declared").isNull(), none).otherwise(F.col("_line")), lambda a, b: a + b)
     scored = joined.withColumn("_log", log_posterior).withColumn("_best", F.array_max("_log"))
-    return scored.withColumns({
-        "language": F.element_at(names, F.array_position("_log", F.col("_best")).cast("int")),
-        "posterior": 1 / F.aggregate("_log", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_best"))),
-    }).withColumn("accepted", F.col("_letters") & (F.col("posterior") >= LEAST_POSTERIOR)).select(*base.columns, "language", "posterior", "accepted")
+    posterior = 1 / F.aggregate("_log", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_best")))
+    return scored.withColumn("_posterior", posterior).select(
+        "_row.*", F.element_at(names, F.array_position("_log", F.col("_best")).cast("int")).alias("language"),
+        F.col("_posterior").alias("posterior"), (F.col("_letters") & (F.col("_posterior") >= LEAST_POSTERIOR)).alias("accepted"))
 
 
 def declared_language(html) -> Column:

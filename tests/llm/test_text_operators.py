@@ -336,6 +336,29 @@ def test_language_fusion(spark):
     assert language_fusion.identify(df.limit(0), "text", "lang", "source").count() == 0
 
 
+def test_clashing_names_and_copies(spark):
+    """Columns named like the operators' own stay as they are; copies of one text teach as much as one."""
+    own = ["_line", "_prior", "_log", "_row", "_text", "_declared", "_host", "h", "rank", "share", "posterior", "k.dot"]
+    english, german = "the quick brown fox and the lazy dog of the house", "der schnelle braune fuchs und der faule hund des hauses"
+    rows = [(i, german if i % 2 else english, "de" if i % 2 else "en", None, *["x"] * len(own)) for i in range(40)] + [(40, english, None, "h", *["y"] * len(own))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in own))
+    found = language_fusion.identify(df, "text", "lang", "source")
+    assert sorted(found.columns) == sorted([*df.columns, "language", "accepted"])
+    got = {r.doc_id: r for r in found.collect()}
+    assert len(got) == 41 and got[40].language == "en" and got[1].language == "de" and got[40]["_line"] == "y" and got[40]["k.dot"] == "y"
+    secret = df.limit(2).withColumns({"text": F.lit("token: abcdefgh1234"), "spans": F.lit("s"), "_blob": F.lit("b"), "_spans": F.lit("t"), "path": F.lit("p")})
+    masked = blob_secrets.redact(secret)
+    assert masked.columns == secret.columns and {(r.text, r.spans, r["_blob"], r.path) for r in masked.collect()} == {("[secret]", "s", "b", "p")}
+
+
+def test_runs_that_overlap_do_not_double_spans(spark):
+    df = spark.createDataFrame([(1, "token: abcdefgh1234 and token: abcdefgh9876"), (2, None), (3, "")], "doc_id long, text string")
+    ledger = new_folder(spark, "ledger")
+    before = {r.path: r.spans for r in blob_secrets.scan(df, ledger, fresh=True).collect()}
+    after = {r.path: r.spans for r in blob_secrets.scan(df, ledger, fresh=True).collect()}  # as a run that began before the first one ended
+    assert after == before and len(before[1]) == 2
+
+
 def test_letters_count_wherever_they_stand(spark):
     texts = ["12 | 34\n" * 100 + "the house and the garden", "12 | 34\n" * 100, "— … —", None, "日本"]
     one = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
