@@ -193,6 +193,45 @@ def test_kd_search_equals_all_scores(spark):
     assert kd_search.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_kd_shards_that_no_box_allows_are_not_visited(spark):
+    """Clusters, a third of all rows one vector, shards and blocks of few rows, vectors of unequal length."""
+    rng = np.random.default_rng(3)
+    spots = rng.normal(size=(12, 4)) * 20
+    rows = [(i, (spots[i % 12] + rng.normal(size=4)).tolist()) for i in range(600)]
+    rows += [(i, [30.0, 1.0, -2.0, 0.5]) for i in range(600, 900)] + [(900, [1.0]), (901, []), (902, None), (902, [1.0, 2.0]), (None, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in kd_search.search(df, df.where("vec_id % 50 = 0"), shard_rows=40, query_block=3).collect())
+    whole = [(i, np.floor(256 * np.array([*v, 0, 0, 0, 0][:4], dtype=float))) for i, v in rows if v is not None and i is not None]
+    want = []
+    for q, v in whole:
+        if q % 50 == 0:
+            scores = sorted((-int(v @ w), i) for i, w in whole if i != q)[:5]
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+    assert got == sorted(want)
+
+    x = np.array([v for _, v in whole])
+    cells = kd_search.cells_of(x, 16)
+    of = cells.of(x)
+    used = np.unique(of)
+    assert len(used) > 8 and (used == np.arange(len(used))).all()
+    boxes = [np.array([getattr(x[of == c], side)(axis=0) for c in used]) for side in ("min", "max")]
+    shards = kd_search.Shards(cells, used, *boxes, used, np.ones(len(used), dtype=int))
+    scores = x @ x.T
+    query, shard = shards.rest(x, np.zeros(len(x), dtype=int), np.sort(scores, axis=1)[:, -5])
+    assert len(query) < 0.5 * len(x) * len(used)
+    visited = {*zip(query.tolist(), shard.tolist())} | {(q, s) for q, two in enumerate(shards.begin(x, shards.bounds(x), np.zeros(len(x), dtype=int)).tolist()) for s in two}
+    assert all((q, of[r]) in visited for q in range(len(x)) for r in np.flatnonzero(scores[q] >= np.sort(scores[q])[-5]))
+
+
+def test_kd_search_of_scores_beyond_64_bits(spark):
+    large = spark.createDataFrame([(0, [2.0 ** 20, 1.0]), (50, [2.0 ** 20, -1.0]), (3, [2.0 ** 21, 3.0])], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in kd_search.search(large, large.where("vec_id % 50 = 0")).collect()}
+    assert got[0, 3] == 2 ** 57 + 3 * 2 ** 16 and got[0, 50] == 2 ** 56 - 2 ** 16  # beyond what doubles hold
+    beyond = large.unionByName(spark.createDataFrame([(7, [1e18, 0.0])], "vec_id long, embedding array<double>"))
+    with pytest.raises(ValueError, match="64 bits"):
+        kd_search.search(beyond, beyond)
+
+
 def test_url_rules_and_model(spark):
     urls = [(1, "http://A.example.net/en/1"), (2, "http://example.net"), (3, "https://x.example.com/de/2?a#b"), (4, "ftp://example.org/fr/"),
             (5, None), (6, "no scheme"), (7, "https://other.test/fr/9"), (8, "http://notexample.net.org/fr/x"), (9, "http://example.net/de/"),
