@@ -7,9 +7,14 @@ is the whole word), unless an exception phrase covers it. The weights found are
 per 1,000 characters of text; score = 1 - exp(-scale * that density).
 
 The lexicon is learned from labelled documents: words and beginnings of words that many
-toxic and hardly any other documents hold, weighted by their log-odds. Learning reads at
-most `FIT_ROWS` documents of each label, those with the lowest hashes of their ids, and a
-group of near copies counts once for each term. `scale` puts the cut between the labels'
+toxic and hardly any other documents hold, weighted by their log-odds. As many terms are
+tested, some stand in toxic documents only by chance: an entry must be significant at a
+false discovery rate of `FALSE_SHARE` over all terms (Benjamini and Hochberg; binomial tails
+by their Chernoff bound). At most `MAX_TERMS` entries are learned, the most significant
+ones, from words of 3 to 24 letters. Exceptions are learned too: an entry with its
+neighbouring word, where `LEAST_EXCEPTIONS` clean documents and no toxic one hold the two.
+Learning reads at most `FIT_ROWS` documents of each label, those with the lowest hashes of
+their ids, and a group of near copies counts once for each term. `scale` puts the cut between the labels'
 densities at a score of 0.3.
 
 Null and empty texts score 0. Without documents of both labels the lexicon is `SEED`; where
@@ -40,6 +45,8 @@ LEAST_DOCUMENTS = 4
 LEAST_SHARE = 0.02
 LEAST_ODDS = 100.0
 MAX_TERMS = 2000
+FALSE_SHARE = 0.01
+LEAST_EXCEPTIONS = 3
 CUT_SCORE = 0.3
 
 #: Look-alike letters of other scripts, and digits and signs in place of letters.
@@ -55,9 +62,8 @@ SEED = tuple((w, 5.0) for w in (
     "cunts", "dickhead", "dickheads", "douchebag", "dumbass", "fuck*", "halfwit", "idiot", "idiots", "imbecile", "imbeciles", "jackass",
     "moron", "morons", "motherfuck*", "nitwit", "scumbag", "scumbags", "shithead", "shitty", "slut", "sluts", "stupid", "twat", "twats",
     "wanker", "wankers", "whore", "whores"))
-#: Phrases in which an entry is harmless.
-EXCEPTIONS = ("trash can", "trash bin", "trash collection", "recycle the trash", "clown fish", "circus clown", "rodeo clown",
-              "pathetic fallacy", "pond scum", "soap scum", "not stupid", "the loser of the match", "idiot proof", "idiot light")
+#: Phrases in which an entry of `SEED` is harmless; only used with it.
+EXCEPTIONS = ("not stupid", "idiot proof", "idiot light")
 
 FOLD = {ord(c): plain for plain, others in _LOOK_ALIKE.items() for c in others}
 FOLD |= {ord(zero_width): None for zero_width in "​‌‍⁠﻿­"}
@@ -173,23 +179,63 @@ def learn(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
         counts = groups.distinct().groupBy("term").agg(
             F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0"))
         odds = (share[1] + 0.5 / total[1]) / (share[0] + 0.5 / total[0])
+        counts = counts.persist()
+        tests = counts.count()
+        # Of n documents with a term, how unlikely n1 toxic ones are if labels don't matter: at most exp(-n * divergence).
+        toxic_share, held = total[1] / (total[0] + total[1]), F.col("n1") / (F.col("n0") + F.col("n1"))
+        rest = F.when(held < 1, (1 - held) * F.log((1 - held) / (1 - toxic_share))).otherwise(0.0)
+        unlikely = F.when(held > toxic_share, (F.col("n0") + F.col("n1")) * (held * F.log(held / toxic_share) + rest)).otherwise(0.0)
         found = (
             counts.where((F.col("n1") >= LEAST_DOCUMENTS) & (share[1] >= LEAST_SHARE) & (odds >= LEAST_ODDS))
-            .select("term", "n1", F.log(odds).alias("weight")).orderBy(F.desc("weight"), "term").limit(MAX_TERMS).collect()
+            .select("term", "n1", F.log(odds).alias("weight"), unlikely.alias("unlikely")).orderBy(F.desc("unlikely"), "term").limit(MAX_TERMS).collect()
         )
-        terms = _most_specific({r.term: (int(r.n1), round(r.weight, 4)) for r in found})
+        significant = _significant([r.unlikely for r in found], tests)
+        terms = _most_specific({r.term: (int(r.n1), round(r.weight, 4)) for r in found[:significant]})
+        exceptions = tuple(_exceptions(labelled, terms))
         if not terms:
+            exceptions = EXCEPTIONS
             refuted = counts.where(F.col("term").isin([t for t, _ in SEED]) & (odds <= 1)).select("term").collect()
             terms = {t: w for t, w in SEED if t not in {r.term for r in refuted}}
-        lexicon = Lexicon(tuple(sorted(terms.items())), 1e-3)
+        counts.unpersist()
+        lexicon = Lexicon(tuple(sorted(terms.items())), 1e-3, exceptions)
         scored = score(labelled.select("text", "toxic"), lexicon).select(
             "toxic", F.coalesce(-F.log1p(-F.col("score")) * 1e3, F.lit(1e6)).alias("density"))
         cut = _cut([(r.toxic, r.density) for r in scored.collect()])  # at most 2 * fit_rows pairs of numbers
-        return Lexicon(lexicon.terms, -math.log(1 - CUT_SCORE) / cut)
+        return Lexicon(lexicon.terms, -math.log(1 - CUT_SCORE) / cut, exceptions)
     finally:
         labelled.unpersist()
 
 
+def _significant(unlikely: list[float], tests: int) -> int:
+    """How many of the first terms, by descending minus log p, keep the false discovery rate."""
+    kept = [k for k, u in enumerate(unlikely, 1) if u >= math.log(tests / (FALSE_SHARE * k))]
+    return max(kept, default=0)
+
+
+def _exceptions(labelled: DataFrame, terms: dict[str, float]) -> list[str]:
+    """Two neighbouring words, one of them an entry, that clean documents hold and toxic ones don't."""
+    whole = {t for t in terms if not t.endswith("*")}
+    begins = tuple(t[:-1] for t in terms if t.endswith("*"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                text = fold(text)
+                words = [m.span() for m in _WORD.finditer(text)]
+                entry = [text[a:b] in whole or text.startswith(begins, a) for a, b in words]
+                two = {text[words[i][0]:words[i + 1][1]] for i in range(len(words) - 1)
+                       if (entry[i] or entry[i + 1]) and text[words[i][1]:words[i + 1][0]] == " "}
+                yield pa.RecordBatch.from_pydict({"phrase": pa.array(two, pa.string()), "toxic": pa.array([toxic] * len(two), pa.int32()),
+                                                  "copies": pa.array([zlib.crc32(text.encode())] * len(two), pa.int64())})
+
+    if not terms:
+        return []
+    found = labelled.select("text", "toxic").mapInArrow(run, "phrase string, toxic int, copies long")
+    clean = found.groupBy("phrase").agg(F.max("toxic").alias("toxic"), F.count_distinct("copies").alias("n"))
+    chosen = clean.where((F.col("toxic") == 0) & (F.col("n") >= LEAST_EXCEPTIONS)).orderBy(F.desc("n"), "phrase").limit(MAX_TERMS)
+    return sorted(r.phrase for r in chosen.collect())
+
+
 def _most_specific(found: dict[str, tuple[int, float]]) -> dict[str, float]:
     """Without beginnings of words that a longer entry replaces: it has nearly as many toxic documents."""
     longest: dict[str, int] = {}

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -357,6 +358,30 @@ def test_labels_override_the_seed(spark):
     assert toxicity.learn(dull, labels.where("toxic = 0")) == toxicity.Lexicon()
 
 
+def test_entries_are_significant_and_exceptions_are_learned(spark):
+    """Rare words of few toxic documents are no entries; an entry beside a word that only clean documents put there counts nothing."""
+    random.seed(8)
+    clean = ["".join(random.choice("abcdefgh") for _ in range(6)) for _ in range(300)]
+    rows = []
+    for i in range(600):
+        words = random.choices(clean, k=40)
+        if i % 4 == 0:
+            words[random.randrange(40)] = "grubnix"
+        elif i % 150 == 1:
+            words[5:7] = ["grubnix", "pump"]
+        if i < 20 and i % 4 == 0:
+            words[7] = "zorkly"
+        rows.append((i, " ".join(words), int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.learn(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert "grubnix" in dict(lexicon.terms) and "zorkly" not in dict(lexicon.terms)
+    assert lexicon.exceptions == ("grubnix pump",)
+    assert toxicity.density("a grubnix pump", lexicon) == 0 and toxicity.density("a grubnix here", lexicon) > 0
+    for second, n in ((4e4, 1), (6e4, 2)):  # the second of 1,000 terms needs 1,000 / (0.01 * 2)
+        assert toxicity._significant([math.log(1e9), math.log(second), 1.0], 1000) == n
+    assert toxicity._significant([], 0) == 0
+
+
 def test_held_out_accuracy_of_toxicity(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
     rows = [r for r in queries.op8_toxicity(spark, "/root/testdata/sf0.1").collect() if r.held_out and r.doc_id in labels]
