@@ -162,6 +162,8 @@ def test_pq_near_duplicates_equal_all_pairs(spark):
                 links[i].add(j)
                 links[j].add(i)
     got = {r.vec_id: r for r in pq_neardup.near_duplicates(df).collect()}
+    small = pq_neardup.near_duplicates(df, rows_per_cell=20, block=16, lists=2).collect()  # many cells, blocks and groups
+    assert {r.vec_id: tuple(r) for r in small} == {i: tuple(r) for i, r in got.items()}
     assert {i: got[i].n_links for i in links} == {i: len(x) for i, x in links.items()}
     assert sum(map(len, links.values())) > 100
     for i in links:
@@ -177,8 +179,10 @@ def test_pq_near_duplicates_equal_all_pairs(spark):
 def test_pq_near_duplicates_with_repeated_and_negative_ids(spark):
     a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
     rows = [(5, a), (5, [1.0, 0.001, 0.0]), (7, b), (7, [0.0, 0.0, -1.0]), (-3, [0.001, 1.0, 0.0]), (-9, c), (-4, [0.0, 0.001, 1.0])]
-    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, label int")
-    got = sorted(tuple(r) for r in pq_neardup.near_duplicates(df).collect())
+    df = spark.createDataFrame([(i, v, 1) for i, v in [*rows, (None, a)]], "vec_id long, embedding array<double>, label int")
+    got = [tuple(r) for r in pq_neardup.near_duplicates(df).collect()]
+    assert (None, 0, None, None) in got  # a vector without an id links with nothing, not even with its copy
+    got = sorted(r for r in got if r[0] is not None)
     assert got == [(-9, 1, -9, True), (-4, 1, -9, False), (-3, 1, -3, True), (5, 1, 5, True), (5, 1, 5, True), (7, 0, 7, True), (7, 1, -3, False)]
 
 
