@@ -467,7 +467,13 @@ def test_secrets_equal_a_scan_by_hand_and_the_ledger_is_incremental(spark):
     texts = [None, "", "nothing", f"é😀 token = \"{hexes}\" and {hexes}", "token=token: abcdefghij", "PASSWORD:short secret=longenough1", f"AKIA{'A1' * 8} AKIA12",
              f"\x01token=abcdefgh\x02{hexes}\x03", f"{hexes} token:{hexes}", f"{hexes} token:{hexes}"]
     df = odd_documents(spark, texts)
-    got = {r.doc_id: r for r in blob_secrets.report(df, new_folder(spark, "ledger")).collect()}
+    ledger = new_folder(spark, "ledger")
+    got = {r.doc_id: r for r in blob_secrets.report(df, ledger).collect()}
+    scanned = blob_secrets.read_ledger(spark, ledger)  # two deliveries, and no pair is scanned twice
+    n_blobs = len({t for t in [*texts, "null id"] if t})
+    assert scanned.count() == scanned.select("blob_id", "rule").distinct().count() == n_blobs * len(blob_secrets.RULES)
+    assert 0 < blob_secrets.scan(df.where("pmod(xxhash64(doc_id), 2) = 0"), new_folder(spark, "ledger"), fresh=True).where("blob_id IS NOT NULL").count() < df.count()
+    assert blob_secrets.report(df.limit(0), new_folder(spark, "ledger")).count() == 0
     for i, text in enumerate(texts):
         spans = sorted((m.start(), k, m.end()) for k, (_, p, least, g) in enumerate(BASE) for m in p.finditer(text or "") if len(m[g]) >= least)
         listed = ",".join(f"{BASE[k][0]}:{a}:{b}" for a, k, b in spans)
@@ -479,7 +485,6 @@ def test_secrets_equal_a_scan_by_hand_and_the_ledger_is_incremental(spark):
     assert blob_secrets.scan(df, ledger).count() == first and blob_secrets.read_ledger(spark, ledger).count() == size
     newer = (*blob_secrets.RULES[1:], blob_secrets.Rule("assign", blob_secrets.RULES[0].pattern, 8, 2, version=2))
     blob_secrets.scan(df, ledger, rules=newer).count()
-    n_blobs = len({t for t in [*texts, "null id"] if t})
     assert blob_secrets.read_ledger(spark, ledger).count() == size + n_blobs
     masked = {r.doc_id: r.text for r in blob_secrets.redact(df).collect()}
     assert masked[3] == '😀'.join(['é', ' [secret]" and [secret]']) and masked[0] is None and masked[2] == "nothing"
