@@ -105,8 +105,9 @@ def scan(versions: DataFrame, ledger: str, path: str = "doc_id", text: str = "te
         seen = read_ledger(spark, ledger).groupBy("blob_id").agg(F.collect_set("rule").alias("seen"))  # at most one entry per rule version
         unseen = contents.select("blob_id").distinct().join(seen, "blob_id", "left").select(
             "blob_id", F.array_except(ids, F.coalesce("seen", F.array().cast("array<string>"))).alias("missing")).where(F.size("missing") > 0)
-        pending = contents.join(unseen, "blob_id").dropDuplicates(["blob_id"])  # addresses meet the ledger, then only contents in need are kept
-    content = plain(F.col("content"))
+        pending = contents.dropDuplicates(["blob_id"]).join(unseen, "blob_id")  # copies collapse in every task, before the join
+    pending = pending.select("blob_id", "missing", plain(F.col("content")).alias("content"))  # once, not in each rule's branch
+    content = F.col("content")
     scanned = pending.select("blob_id", F.array(*(
         F.when(F.array_contains("missing", rule.id), F.struct(F.lit(rule.id).alias("rule"), spans_of(content, rule, kind).alias("spans")))
         for kind, rule in enumerate(rules))).alias("found"))
