@@ -54,25 +54,3 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
         before = after
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-
-
-class Forest:
-    """Union-find over the rows 0..n-1 of one block."""
-
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def find(self, x: int) -> int:
-        parent = self.parent
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        """Whether the two were apart."""
-        x, y = self.find(x), self.find(y)
-        if x == y:
-            return False
-        self.parent[max(x, y)] = min(x, y)
-        return True

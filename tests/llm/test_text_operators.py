@@ -23,7 +23,7 @@ from incident_analytics.llm import (
     blob_secrets, byte_bpe, kd_search, language_fusion, nnls_packing, partenum_join, pq_neardup, queries, tag_paths, toxicity, url_markov,
 )
 from incident_analytics.llm.common import new_folder
-from incident_analytics.llm.components import Forest, components
+from incident_analytics.llm.components import components
 
 SF_DIR = "/root/testdata/sf0.001"
 ODD = [None, "", " ", "a", "a  b \n c", "a   b c", "x " * 30_000, "aaaaaaaaaaaaaaaaaaa ------------", "It's I'LL don't 123 4567",
@@ -31,6 +31,28 @@ ODD = [None, "", " ", "a", "a  b \n c", "a   b c", "x " * 30_000, "aaaaaaaaaaa
        "a <|endoftext|> b<|startoftext|>c <|ENDOFTEXT|>", "a \uffff\ufffeb c", "\uffff\ufffe a", " \uffff\ufffeb", "\x1ca\x1cb", "A b c", "A b c"]
 
 
+class Forest:
+    """Union-find over the rows 0..n-1 of one block."""
+
+    def __init__(self, n: int):
+        self.parent = list(range(n))
+
+    def find(self, x: int) -> int:
+        parent = self.parent
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether the two were apart."""
+        x, y = self.find(x), self.find(y)
+        if x == y:
+            return False
+        self.parent[max(x, y)] = min(x, y)
+        return True
+
+
 def odd_documents(spark, texts=ODD):
     """Repeated rows, a null id, and columns named like the operators' own."""
     rows = [(i, t, "s", 1.5, "x", "y") for i, t in enumerate(texts)] + [(None, "null id", "s", 1.0, "x", "y"), (1, "", "s", 1.5, "x", "y")]
