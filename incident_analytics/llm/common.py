@@ -6,8 +6,11 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +63,20 @@ def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string")
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices with at most `most_bytes` of text in a column, or a single longer row; nothing is copied."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        start = size = 0
+        for i, length in enumerate(lengths):
+            if i > start and size + length > most_bytes:
+                yield batch.slice(start, i - start)
+                start, size = i, 0
+            size += length
+        if start < len(lengths):
+            yield batch.slice(start)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit numbers (finaliser of SplitMix64)."""
     x = x.astype(np.uint64, copy=True)

@@ -32,8 +32,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from incident_analytics.llm.common import new_folder, offsets, ranges, ship, text_or_empty, written
+from incident_analytics.llm.common import new_folder, offsets, ranges, ship, slices, text_or_empty, written
 
 FIT_ROWS = 500
 SLOTS = 1 << 15
@@ -135,21 +136,25 @@ def has_letters(text: str | Column) -> Column:
     return text_or_empty(text).rlike(r"\p{L}")
 
 
-def with_evidence(df: DataFrame, model: TextModel, text: str) -> DataFrame:
-    """Add `_evidence` (array of doubles), and `_letters`: whether the text has any."""
-    base = df.drop("_evidence", "_letters")
-    schema = base.withColumn("_evidence", F.array(F.lit(0.0))).schema
+def with_evidence(df: DataFrame, model: TextModel, text: str, keep_text: bool = True) -> DataFrame:
+    """Add `_letters`, whether the text has any, and `_evidence` (array of doubles); without `keep_text` the text goes.
+
+    A batch is judged and returned in slices, so that a task holds no second copy of it.
+    """
+    base = df.drop("_evidence", "_letters").withColumn("_letters", has_letters(text))
     place = base.columns.index(text)
+    stay = [i for i in range(len(base.columns)) if keep_text or i != place]
+    out = base if keep_text else base.drop(text)
+    schema = out.withColumn("_evidence", F.array(F.lit(0.0))).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [model.evidence(t or "") for t in batch.column(place).to_pylist()]
+        for part in slices(batches, place):
+            found = [model.evidence(t or "") for t in part.column(place).to_pylist()]
             evidence = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(found) + 1) * len(model.languages), pa.int32()),
-                pa.array(np.concatenate(found) if found else np.empty(0), pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, evidence], [*batch.schema.names, "_evidence"])
+                pa.array(np.arange(len(found) + 1) * len(model.languages), pa.int32()), pa.array(np.concatenate(found), pa.float64()))
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in stay), evidence], schema.names)
 
-    return base.mapInArrow(run, schema).withColumn("_letters", has_letters(text))
+    return base.mapInArrow(run, schema)
 
 
 def _smoothed(counts: Column, parent: Column, strength: float) -> Column:
@@ -163,19 +168,21 @@ def identify(df: DataFrame, text: str, declared: str, host: str | None, fit_rows
     spark = df.sparkSession
     ship(spark)
     stay = [c for c in df.columns if c.lower() not in ("language", "posterior", "accepted")]
-    whole = F.struct(*(F.col(f"`{c}`").alias(c) for c in stay)).alias("_row")  # a column of its own, so that no name can clash
+    apart = text if text in stay and df.schema[text].dataType == StringType() else None  # texts travel once
+    others = [F.col(f"`{c}`").alias(c) for c in stay if c != apart]
+    whole = F.struct(*others or [F.lit(None).cast("int").alias("_")]).alias("_row")  # a column of its own, so that no name can clash
+    restored = [F.col("_text").alias(c) if c == apart else F.col(f"_row.`{c}`").alias(c) for c in stay]
     base = df.select(whole, F.col(text).cast("string").alias("_text"), primary_subtag(declared).alias("_declared"),
                      (F.col(host) if host else F.lit(None)).cast("string").alias("_host"))
     model = fit_text_model(base, "_text", "_declared", fit_rows)
     n = len(model.languages)
     if not n:
-        return base.select("_row.*", F.lit(None).cast("string").alias("language"), F.lit(None).cast("double").alias("posterior"),
+        return base.select(*restored, F.lit(None).cast("string").alias("language"), F.lit(None).cast("double").alias("posterior"),
                            has_letters("_text").alias("accepted"))
     names = F.array(*map(F.lit, model.languages))
-    rows = with_evidence(base, model, "_text").drop("_text")
-
     # What the texts alone say, counted by declaration and host over all rows that have letters.
-    by_text = rows.where("_letters").select(
+    seen = with_evidence(base.where(has_letters("_text")).drop("_row"), model, "_text", keep_text=False)
+    by_text = seen.select(
         "_host", "_declared", (F.array_position("_evidence", F.array_max("_evidence")) - 1).alias("k"))
     folder = new_folder(spark, "language")
     counted = written(by_text.groupBy("_host", "_declared", "k").count(), f"{folder}/counts")
@@ -215,6 +222,7 @@ def identify(df: DataFrame, text: str, declared: str, host: str | None, fit_rows
         table[int(row.d)] += np.array(row.c)
     table = np.log(table / table.sum(axis=0))
     lines = spark.createDataFrame([(name, line) for name, line in zip(("", *model.languages), table.tolist())], "_known string, _line array<double>")
+    rows = with_evidence(base, model, "_text", keep_text=apart is not None)
     rows = rows.withColumn("_known", F.when(F.array_contains(names, F.col("_declared")), F.col("_declared")).otherwise(""))
     rows = rows.join(F.broadcast(lines), "_known", "left")  # a row for each language
 
@@ -226,7 +234,7 @@ def identify(df: DataFrame, text: str, declared: str, host: str | None, fit_rows
     scored = joined.withColumn("_log", log_posterior).withColumn("_best", F.array_max("_log"))
     posterior = 1 / F.aggregate("_log", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_best")))
     return scored.withColumn("_posterior", posterior).select(
-        "_row.*", F.element_at(names, F.array_position("_log", F.col("_best")).cast("int")).alias("language"),
+        *restored, F.element_at(names, F.array_position("_log", F.col("_best")).cast("int")).alias("language"),
         F.col("_posterior").alias("posterior"), (F.col("_letters") & (F.col("_posterior") >= LEAST_POSTERIOR)).alias("accepted"))
 
 

@@ -12,6 +12,7 @@ from fractions import Fraction
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from oracle import compare, connect
@@ -20,7 +21,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from incident_analytics.llm import (
-    blob_secrets, byte_bpe, kd_search, language_fusion, nnls_packing, partenum_join, pq_neardup, queries, tag_paths, toxicity, url_markov,
+    blob_secrets, byte_bpe, common, kd_search, language_fusion, nnls_packing, partenum_join, pq_neardup, queries, tag_paths, toxicity, url_markov,
 )
 from incident_analytics.llm.common import new_folder
 from incident_analytics.llm.components import components
@@ -426,6 +427,29 @@ def test_language_fusion(spark):
     assert language_fusion.identify(df.limit(0), "text", "lang", "source").count() == 0
 
 
+def test_language_carries_texts_once(spark, monkeypatch):
+    """The counting pass takes no rows along, the last one each text once; batches are judged in slices."""
+    df = spark.createDataFrame([(i, "the house and the garden", "en", "h", i % 2 == 0) for i in range(50)] + [(50, None, None, None, None)],
+                               "doc_id long, text string, lang string, source string, last boolean")
+    inner, given = language_fusion.with_evidence, []
+
+    def spied(rows, *args, **more):
+        given.append(rows.schema.simpleString())
+        return inner(rows, *args, **more)
+
+    monkeypatch.setattr(language_fusion, "with_evidence", spied)
+    found = language_fusion.identify(df, "text", "lang", "source")
+    assert found.select(df.columns).exceptAll(df).isEmpty() and found.count() == 51 and found.where("accepted").count() == 50
+    assert ["_row" in s for s in given] == [False, True] and all(s.count("text:string") == 1 for s in given)
+    only = language_fusion.identify(df.select("text", F.lit("de").alias("language")), "text", "language", None)
+    assert only.columns == ["text", "language", "posterior", "accepted"] and only.where("text IS NOT NULL").count() == 50
+    numbers = language_fusion.identify(df.select("doc_id", "lang"), "doc_id", "lang", None)
+    assert numbers.columns[0] == "doc_id" and dict(numbers.dtypes)["doc_id"] == "bigint" and numbers.count() == 51
+    batch = pa.RecordBatch.from_pydict({"t": pa.array(["a" * 40, None, "b" * 90, "c" * 30, "", "d" * 30])})
+    assert [len(s) for s in common.slices([batch, batch.slice(0, 0)], 0, 64)] == [2, 1, 3]
+    assert pa.Table.from_batches(common.slices([batch], 0, 64)).equals(pa.Table.from_batches([batch]))
+
+
 def test_clashing_names_and_copies(spark):
     """Columns named like the operators' own stay as they are; copies of one text teach as much as one."""
     own = ["_line", "_prior", "_log", "_row", "_text", "_declared", "_host", "h", "rank", "share", "posterior", "k.dot"]
