@@ -36,6 +36,8 @@ from incident_analytics.operators.clean import (
 from incident_analytics.operators.ranking import downsample, in_test
 from incident_analytics.sources.scratch import materialize, materialize_counted
 
+VALUES_PER_TASK = 8_000_000  # feature values of training rows in one partition; about 8 bytes each where the forest keeps them
+
 
 @dataclass(frozen=True)
 class TrainConfig:
@@ -179,6 +181,29 @@ def prepare_training(df: DataFrame, label: str = "Severity") -> DataFrame:
     return drop_non_finite(df, available_features(df).numeric)
 
 
+def spread(df: DataFrame, keys: Sequence[str], n_rows: int, n_features: int) -> DataFrame:
+    """The rows in as many partitions as keep each at about `VALUES_PER_TASK` feature values.
+
+    A forest holds each partition of its rows as one block, and a table's scan has partitions
+    by the size of its files, which says little about the size of that block.
+    Rows are in a fixed order, since the trees' samples are drawn by position.
+    """
+    parts = -(-n_rows * n_features // VALUES_PER_TASK)
+    if parts <= 1:
+        return df
+    return df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism), *keys).sortWithinPartitions(*keys)
+
+
+def fit_severity(train: DataFrame, keys: Sequence[str], n_rows: int, features: Features, cfg: TrainConfig) -> PipelineModel:
+    """`severity_model`, fitted stage by stage: the forest gets its rows in bounded partitions."""
+    *stages, trees = severity_model(features, cfg).getStages()
+    prepared = Pipeline(stages=stages).fit(train)
+    labels = [s.labels for s in prepared.stages if isinstance(s, StringIndexerModel) and s.getOutputCol() != "label"]
+    n_features = len(features.numeric) + len(features.boolean) + sum(map(len, labels))
+    model = trees.fit(prepared.transform(spread(train, keys, n_rows, n_features)))
+    return PipelineModel([*prepared.stages, model])
+
+
 @dataclass(frozen=True)
 class Trained:
     model: PipelineModel
@@ -209,7 +234,7 @@ def train_severity(df: DataFrame, keys: Sequence[str], cfg: TrainConfig = TrainC
         weights = class_weights(train, cfg.label, cfg.min_weight, cfg.max_weight)
         train = with_class_weight(train, weights, cfg.label, cfg.weight)
     train, fitted = materialize_counted(train, "train", train_rows=F.count(F.lit(1)))
-    return Trained(severity_model(features, cfg).fit(train), features, train, test, fitted["train_rows"], rows["test_rows"])
+    return Trained(fit_severity(train, keys, fitted["train_rows"], features, cfg), features, train, test, fitted["train_rows"], rows["test_rows"])
 
 
 def model_labels(model: PipelineModel) -> list[str] | None:

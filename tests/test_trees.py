@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -55,6 +56,26 @@ def test_walk_equals_the_model_and_a_walk_by_hand(forest):
         assert r.p == pytest.approx(votes, abs=1e-12)
 
 
+def test_forest_gets_rows_in_bounded_partitions(spark, monkeypatch):
+    rows = [(i, 1 + i % 4, i % 24, float(i % 4 + i % 3 / 10), 1.0 * i, 2.0, 3.0, f"s{i % 5}", 2020, "2020-01") for i in range(2000)]
+    df = spark.createDataFrame(rows, "ID long, Severity int, hour int, Distance_mi double, Temperature_F double, Humidity_pct double, "
+                                     "Visibility_mi double, State string, year int, month string").coalesce(1)
+    inner, seen = RandomForestClassifier.fit, []
+
+    def spied(self, data, *args):
+        seen.extend(data.groupBy(F.spark_partition_id()).count().collect())
+        return inner(self, data, *args)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", spied)
+    monkeypatch.setattr(ml, "VALUES_PER_TASK", 1200, raising=False)  # of 12 features: 100 rows
+    fit = ml.train_severity(df, ["ID"])
+    assert sum(r["count"] for r in seen) == fit.train_rows and len(seen) >= fit.train_rows // 110
+    assert max(r["count"] for r in seen) <= 200
+    scored = ml.score(fit.test, fit.model)
+    assert scored.count() == fit.test_rows and scored.where("pred_severity = Severity").count() > 0.9 * fit.test_rows
+    assert ml.model_labels(fit.model) == ["1", "2", "3", "4"]
+
+
 def test_categories_send_rows_left(spark):
     nodes = spark.createDataFrame(
         [(0, 0, 0, None, [1.0, 3.0], 1, 2, [3.0, 1.0]), (0, 1, None, None, None, None, None, [3.0, 0.0]), (0, 2, None, None, None, None, None, [0.0, 1.0])],
