@@ -32,6 +32,7 @@ from incident_analytics.operators.ranking import topk
 from incident_analytics.sources.scratch import materialize, materialize_counted
 
 BLOCK_PROFILES = 2_000  # profiles of one group that one side of a join cell may hold
+BLOCK_NODES = 2_000     # nodes of one profile that one side of a pair of blocks holds
 SPREAD = 64             # sub-partitions of a profile when its first nodes are picked
 WORD = 64               # cells of a group that one bigint mask holds
 FEW_PAIRS = 20_000_000  # pairs that are compared without asking whether the index forms fewer
@@ -182,14 +183,38 @@ def all_edges(graph: Profiles, min_cooc: int) -> DataFrame:
 
     The result is as large as the graph, so use it for a selective threshold;
     `top_edges`, `hubs_of_all_edges` and `weight_histogram` do without it.
+
+    Nodes of a profile are kept in blocks, and a pair of profiles is cut into pairs of
+    blocks, which are dealt out evenly: a task's edges are bounded, however many
+    nodes a profile has, and the number of tasks follows from the edges.
     """
-    pairs = profile_pairs(graph, min_cooc).select("p_pid", "q_pid", "cooc")
-    numbered = graph.nodes.join(graph.table.select("profile", "pid"), "profile")
-    p = numbered.select(F.col("pid").alias("p_pid"), F.col("node").alias("a"))
-    q = numbered.select(F.col("pid").alias("q_pid"), F.col("node").alias("b"))
+    pairs = materialize(profile_pairs(graph, min_cooc).select("p_pid", "q_pid", "p_size", "q_size", "cooc"), "pairs")
+    n_edges = pairs.agg(F.sum(F.col("p_size") * F.col("q_size"))).first()[0] or 0
+    parts = max(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_edges // overlap.PAIRS_PER_TASK))
+
+    def n_blocks(size: str) -> Column:
+        return F.ceil(F.col(size) / F.lit(BLOCK_NODES))
+
+    numbered = graph.nodes.join(graph.table.select("profile", "pid", "size"), "profile")
+    blocks = materialize(
+        numbered.groupBy("pid", F.pmod(F.xxhash64("node"), n_blocks("size")).alias("block"))
+        .agg(F.collect_list("node").alias("nodes")), "blocks")
+
+    def side(name: str) -> DataFrame:
+        return blocks.select(F.col("pid").alias(f"{name}_pid"), F.col("block").alias(f"{name}_block"), F.col("nodes").alias(f"{name}_nodes"))
+
+    def numbers(size: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), n_blocks(size) - 1))
+
+    cut = pairs.withColumn("p_block", numbers("p_size")).withColumn("q_block", numbers("q_size"))
+    cut = cut.filter(~_same() | (F.col("p_block") <= F.col("q_block"))).drop("p_size", "q_size")
+    met = cut.join(side("p"), ["p_pid", "p_block"]).join(side("q"), ["q_pid", "q_block"])
+    dealt = met.repartition(parts, "p_pid", "p_block", "q_pid", "q_block")
+    one_block = _same() & (F.col("p_block") == F.col("q_block"))
     return (
-        pairs.join(p, "p_pid").join(q, "q_pid")
-        .filter(~_same() | (F.col("a") < F.col("b")))
+        dealt.select(one_block.alias("one_block"), "cooc", "q_nodes", F.explode("p_nodes").alias("a"))
+        .select("one_block", "cooc", "a", F.explode("q_nodes").alias("b"))
+        .filter(~F.col("one_block") | (F.col("a") < F.col("b")))
         .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"), "cooc")
     )
 

@@ -227,3 +227,15 @@ def test_a_path_of_500_nodes_settles_in_few_rounds(spark):
         assert got["alone"] == "alone" and all(got[a] == got[b] for a, b in pairs)
         read = [h["links"] for h in history]
         assert len(read) <= 9 and all(b < a / 1.5 for a, b in zip(read, read[1:]))
+
+
+def test_edges_of_a_large_profile_are_dealt_out(spark, rows, monkeypatch):
+    """No task forms most edges where two profiles hold most nodes, and none is lost or doubled between blocks."""
+    cells = [("g", str(b), f"n{i:03d}") for i in range(240) for b in range(3 if i % 3 else 4)] + [("g", "9", "x"), ("g", "9", "y")]
+    df = spark.createDataFrame(cells, "g string, b string, node string")
+    monkeypatch.setattr(graph, "BLOCK_NODES", 15, raising=False)
+    monkeypatch.setattr(overlap, "PAIRS_PER_TASK", 2000)
+    edges = graph.all_edges(graph.node_profiles(df, "g", "b", "node"), 1)
+    assert rows(edges) == sorted(((s, d, w) for (s, d), w in brute_edges(cells).items()), key=repr)
+    tasks = [r["count"] for r in edges.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(tasks) < 0.25 * sum(tasks)
