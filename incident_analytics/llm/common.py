@@ -39,11 +39,22 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Spark fills a batch for Python up to 10,000 rows, whatever their length, and keeps some copies of it outside the heap.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _SHIPPED: set[str] = set()
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let the session end batches for Python at `BATCH_BYTES`, if it has no bound of its own yet; a longer row stands alone."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def ship(spark: SparkSession) -> None:
-    """Give this subpackage to the Python workers of all executors, once for each application."""
+    """Give this subpackage to the Python workers of all executors, once for each application, and bound their batches."""
+    bound_batches(spark)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -63,10 +74,11 @@ def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices with at most `most_bytes` of text in a column, or a single longer row; nothing is copied."""
     for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        texts = batch.column(column)
+        lengths = [0] * len(texts) if pa.types.is_null(texts.type) else pc.fill_null(pc.binary_length(texts), 0).to_pylist()
         start = size = 0
         for i, length in enumerate(lengths):
             if i > start and size + length > most_bytes:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from incident_analytics.llm.common import ship, text_or_empty
+from incident_analytics.llm.common import ship, slices, text_or_empty
 
 FIT_ROWS = 4000
 PREFIXES = (4, 5, 6)
@@ -130,16 +130,16 @@ def density(text: str, lexicon: Lexicon) -> float:
 
 
 def score(df: DataFrame, lexicon: Lexicon, text: str = "text", out: str = "score") -> DataFrame:
-    """Add `out`, between 0 and 1; all columns of `df` stay."""
+    """Add `out`, between 0 and 1; all columns of `df` stay. A batch is scored and returned in slices, so that a task holds no second copy of it."""
     ship(df.sparkSession)
     base = df.drop(out)
     schema = base.withColumn(out, F.lit(0.0)).schema
     place = base.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = [1.0 - math.exp(-lexicon.scale * density(t or "", lexicon)) for t in batch.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, out])
+        for part in slices(batches, place):
+            scores = [1.0 - math.exp(-lexicon.scale * density(t or "", lexicon)) for t in part.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64())], [*part.schema.names, out])
 
     return base.mapInArrow(run, schema)
 

@@ -409,6 +409,38 @@ def test_entries_are_significant_and_exceptions_are_learned(spark):
     assert toxicity._significant([], 0) == 0
 
 
+def test_toxicity_moves_texts_in_bounded_batches(spark, monkeypatch):
+    """Batches for Python end at a number of bytes, not only of rows, and scores go back in slices; a bound of the user's own stays."""
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("word "), 800), F.lit("idiot")).alias("text"), F.lit("en").alias("lang"))
+    inner, given = type(docs).mapInArrow, []
+
+    def spied(rows, work, schema):
+        given.append(work)
+        return inner(rows, work, schema)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    monkeypatch.setattr(type(docs), "mapInArrow", spied)
+    scored = toxicity.score(docs, toxicity.Lexicon())
+    found = docs.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r.rows for r in found) == 3000 and len(found) > 2 and max(r.bytes for r in found) < 1.1 * common.BATCH_BYTES
+    whole = pa.RecordBatch.from_pydict({"doc_id": list(range(3000)), "text": ["word " * 800 + "idiot", *[None] * 2, *["word " * 800] * 2997], "lang": ["en"] * 3000})
+    parts = list(given[0](iter([whole])))
+    assert max(p.nbytes for p in parts) < 1.1 * common.BATCH_BYTES and len(parts) > 2
+    joined = pa.Table.from_batches(parts)
+    assert joined.drop_columns("score").equals(pa.Table.from_batches([whole])) and [i for i, s in enumerate(joined["score"].to_pylist()) if s] == [0]
+    assert scored.where("score > 0").count() == 3000 and scored.columns == [*docs.columns, "score"]
+    had = spark.conf.get(common.BATCH_SETTING)
+    try:
+        spark.conf.set(common.BATCH_SETTING, "1m")
+        toxicity.score(docs, toxicity.Lexicon())
+        assert spark.conf.get(common.BATCH_SETTING) == "1m"
+    finally:
+        spark.conf.set(common.BATCH_SETTING, had)
+
+
 def test_held_out_accuracy_of_toxicity(spark):
     labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
     rows = [r for r in queries.op8_toxicity(spark, "/root/testdata/sf0.1").collect() if r.held_out and r.doc_id in labels]
