@@ -137,15 +137,16 @@ def string_bytes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class UnitIds:
-    """Ids of text units, remembered for the units met first, up to a limit.
+    """Ids of text units, remembered for the units met first, up to a number of units and of bytes.
 
     `encode` turns distinct units into ids; it is asked only for units that aren't
     remembered. Beyond the limit, units are encoded for the block at hand and forgotten,
     so memory is bounded and the ids are the same either way.
     """
 
-    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], limit: int = 250_000):
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], limit: int = 250_000,
+                 most_bytes: int = 16 << 20):
+        self.encode, self.limit, self.most_bytes = encode, limit, most_bytes
         self.units = pa.array([], pa.string())
         self.ids = np.empty(0, dtype=np.int32)
         self.lengths = np.empty(0, dtype=np.int64)
@@ -161,7 +162,8 @@ class UnitIds:
         all_lengths = np.concatenate([self.lengths, lengths])
         room = max(0, self.limit - len(self.units))
         if room and len(new):
-            kept = min(room, len(new))
+            sizes = np.cumsum(pc.binary_length(new).to_numpy(zero_copy_only=False), dtype=np.int64)
+            kept = min(room, int(np.searchsorted(sizes, self.most_bytes - self.units.nbytes, side="right")))
             self.units = pa.concat_arrays([self.units, new[:kept]])
             self.lengths = all_lengths[:len(self.units)]
             self.ids = all_ids[:int(self.lengths.sum())]

@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import json
 import os
-import unicodedata
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
 from itertools import chain
@@ -33,7 +32,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +46,10 @@ DEPTH = 3
 END_ID = 2
 BLOCK_CHARS = 4_000_000
 
+#: Parts that composition (NFC) leaves alone and whose characters lower-case one to one: İ would become two.
+PLAIN = "^[!-~¡-įı-ɏ]*$"
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -55,19 +57,19 @@ class WordEncoder:
     """Ids of whole texts under the word vocabulary; equal to those of the tokenizers library.
 
     White space only separates words there, so each distinct part between white space
-    is encoded once: parts of Latin letters, digits and signs by merge replay, all
-    others by the library itself, as its file configures it. So an added token's text
-    has that token's id, wherever it stands.
+    is encoded once: parts of Latin letters, digits and signs word by word by merge
+    replay, all others by the library itself, as its file configures it. So an added
+    token's text has that token's id, wherever it stands. Parts and words are each
+    remembered up to a limit, so a word that returns in a new part isn't replayed again.
     """
 
     def __init__(self, path: str):
         self.path = path
         self.vocabulary = WordVocabulary.load(path)
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self.plain = regex.compile(r"[!-~¡-ɏ]*")
         with open(path, encoding="utf-8") as file:
             self.added = [token["content"] for token in json.load(file).get("added_tokens", ())]
         self.units = UnitIds(self._encode_units)
+        self.words = UnitIds(self._encode_words)
 
     @cached_property
     def library(self):
@@ -77,27 +79,32 @@ class WordEncoder:
 
         return Tokenizer.from_file(self.path)
 
+    def _encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        v = self.vocabulary
+        return encode_words(words, v.merges, v.byte_ids, v.last_byte_ids)
+
     def _encode_units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        texts = units.to_pylist()
-        special = np.zeros(len(texts), dtype=bool)
+        plain = pc.match_substring_regex(units, PLAIN)
         for token in self.added:
-            special |= pc.match_substring(units, token).to_numpy(zero_copy_only=False)
-        plain = [not s and self.plain.fullmatch(u) is not None for u, s in zip(texts, special.tolist())]
-        per_unit = [self.pattern.findall(unicodedata.normalize("NFC", u).lower()) if p else () for u, p in zip(texts, plain)]
-        words = pa.array(chain.from_iterable(per_unit), pa.string()).dictionary_encode()
-        v = self.vocabulary
-        ids, n_ids = encode_words(words.dictionary, v.merges, v.byte_ids, v.last_byte_ids)
-        word = words.indices.to_numpy().astype(np.int64)
-        lengths = n_ids[word]
-        flat = ids[ranges((np.cumsum(n_ids) - n_ids)[word], lengths)]
-        n_words = np.fromiter(map(len, per_unit), dtype=np.int64, count=len(per_unit))
-        ends = offsets(lengths)[offsets(n_words)]
-        other = [u for u, p in zip(texts, plain) if not p]
+            plain = pc.and_not(plain, pc.match_substring(units, token))
+        spaced = pc.replace_substring_regex(pc.utf8_lower(units.filter(plain)), pattern=WORDS, replacement=r"\0 ")
+        words = pc.ascii_split_whitespace(spaced)  # with an empty one at the end, which has no ids
+        coded = words.flatten().dictionary_encode()
+        word = coded.indices.to_numpy().astype(np.int64)
+        ids, begin, length = self.words.of(coded.dictionary)
+        flat = ids[ranges(begin[word], length[word])]
+        n_words = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        n_ids = np.diff(offsets(length[word])[offsets(n_words)])
+        other = units.filter(pc.invert(plain)).to_pylist()
         if not other:
-            return flat, np.diff(ends)
-        found = iter([np.array(e.ids, dtype=np.int32) for e in self.library.encode_batch(other, add_special_tokens=False)])
-        parts = [flat[a:b] if p else next(found) for a, b, p in zip(ends[:-1], ends[1:], plain)]
-        return np.concatenate(parts), np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+            return flat, n_ids
+        found = [np.array(e.ids, dtype=np.int32) for e in self.library.encode_batch(other, add_special_tokens=False)]
+        n_found = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        place = np.argsort(~plain.to_numpy(zero_copy_only=False), kind="stable")  # plain parts, then the others
+        begin, length = np.empty((2, len(units)), dtype=np.int64)
+        length[place] = np.concatenate([n_ids, n_found])
+        begin[place] = offsets(length[place])[:-1]
+        return np.concatenate([flat, *found])[ranges(begin, length)], length
 
     def encode(self, texts: pa.Array, end_id: int) -> list[np.ndarray]:
         parts = pc.ascii_split_whitespace(texts)
@@ -142,20 +149,21 @@ def _columns(units: int, depth: int) -> np.ndarray:
 
 
 def non_negative_least_squares(a: np.ndarray, b: np.ndarray, rounds: int = 1000) -> np.ndarray:
-    """x >= 0 that minimises |a x - b|: active-set method on the normal equations."""
-    gram, target = a.T @ a, a.T @ b
+    """x >= 0 that minimises |a x - b|: active-set method on the normal equations of the chosen columns."""
+    target = a.T @ b
     x = np.zeros(a.shape[1])
     active = np.zeros(a.shape[1], dtype=bool)
     tolerance = 1e-9 * max(1.0, float(np.abs(target).max(initial=0)))
     for _ in range(rounds):
-        gain = np.where(active, -np.inf, target - gram @ x)
+        chosen = np.flatnonzero(active)
+        gain = np.where(active, -np.inf, (b - a[:, chosen] @ x[chosen]) @ a)
         best = int(np.argmax(gain))
         if gain[best] <= tolerance:
             break
         active[best] = True
         while True:
             chosen = np.flatnonzero(active)
-            solved = np.linalg.lstsq(gram[np.ix_(chosen, chosen)], target[chosen], rcond=None)[0]
+            solved = _solved(a[:, chosen], target[chosen])
             if (solved > 0).all():
                 x[:] = 0
                 x[chosen] = solved
@@ -172,6 +180,15 @@ def non_negative_least_squares(a: np.ndarray, b: np.ndarray, rounds: int = 1000)
     return x
 
 
+def _solved(columns: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """The solution of the normal equations; the smallest one if the columns depend on each other."""
+    gram = columns.T @ columns
+    try:
+        return np.linalg.solve(gram, target)
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(gram, target, rcond=None)[0]
+
+
 def repeat_counts(histogram: np.ndarray, depth: int) -> list[tuple[tuple[int, ...], int]]:
     """Combinations and how often each is filled; never more lengths than there are."""
     units = len(histogram)

@@ -21,7 +21,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from incident_analytics.llm import (
-    blob_secrets, byte_bpe, common, kd_search, language_fusion, nnls_packing, partenum_join, pq_neardup, queries, tag_paths, toxicity, url_markov,
+    blob_secrets, byte_bpe, common, kd_search, language_fusion, merge_replay, nnls_packing, partenum_join, pq_neardup, queries, tag_paths,
+    toxicity, url_markov,
 )
 from incident_analytics.llm.common import new_folder
 from incident_analytics.llm.components import components
@@ -100,6 +101,59 @@ def test_packing_holds_each_id_once_without_padding(spark):
         assert end <= 4096 and (end == 4096 or end & (end - 1) == 0)
 
 
+def test_word_encoder_replays_a_word_once_whatever_part_it_stands_in(monkeypatch):
+    encoder, replayed = nnls_packing.WordEncoder(queries.WORD_VOCABULARY), []
+
+    def recorded(words, *vocabulary):
+        replayed.extend(words.to_pylist())
+        return encode_words(words, *vocabulary)
+
+    encode_words = nnls_packing.encode_words
+    monkeypatch.setattr(nnls_packing, "encode_words", recorded)
+    texts = ["Abc naïve's def.", "(abc) naïve, it's DEF%%%", "def's abc... 'sabc 12abc"]
+    found = [encoder.encode(pa.array([t]), 2)[0].tolist() for t in texts]
+    tokenizer = Tokenizer.from_file(queries.WORD_VOCABULARY)
+    assert found == [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    words = [w for w in replayed if w]
+    assert len(words) == len(set(words)) and {"abc", "def", "naïve"} <= set(words)
+
+
+def test_word_encoder_equals_the_library_on_every_character():
+    tokenizer = Tokenizer.from_file(queries.WORD_VOCABULARY)
+    chars = [chr(c) for c in range(1, 0x300)]
+    texts = [f"{a}{c}{b}" for c in chars for a, b in [("", ""), ("x", "Y"), ("'", "s"), ("1", "'ll"), ("é", "\u0301"), ("日", "<|endoftext|>")]]
+    texts += ["".join(random.Random(i).choices("aé'sİ1½-\u0301 日ve", k=30)) for i in range(500)]
+    for encoder in (nnls_packing.WordEncoder(queries.WORD_VOCABULARY),) * 2:
+        found = encoder.encode(pa.array(texts), 2)
+        assert [x.tolist() for x in found] == [[*e.ids, 2] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_remembered_units_are_bounded_in_bytes():
+    calls = []
+
+    def encode(units):
+        calls.append(units.to_pylist())
+        return np.zeros(len(units), dtype=np.int32), np.ones(len(units), dtype=np.int64)
+
+    units = merge_replay.UnitIds(encode, limit=100, most_bytes=50)
+    for _ in range(2):
+        ids, begin, length = units.of(pa.array(["a", "b" * 200, "c"]))
+        assert ids[begin].tolist() == [0, 0, 0] and length.tolist() == [1, 1, 1]
+    assert calls == [["a", "b" * 200, "c"], ["b" * 200, "c"]] and units.units.to_pylist() == ["a"]
+
+
+def test_least_squares_are_optimal_on_combinations_and_on_dependent_columns():
+    rng = np.random.default_rng(3)
+    a = nnls_packing._columns(128, 3)
+    for b in (rng.integers(0, 60, 128).astype(float), np.eye(128)[40] * 50, np.zeros(128)):
+        x = nnls_packing.non_negative_least_squares(a, b)
+        gain = a.T @ (b - a @ x)
+        assert (x >= 0).all() and gain.max() <= 1e-6 and np.abs(gain[x > 0]).max(initial=0) <= 1e-6
+    x = nnls_packing.non_negative_least_squares(np.array([[1.0, 1, 2], [1, 1, 2]]), np.array([3.0, 3]))
+    assert x @ [1, 1, 2] == pytest.approx(3)
+    assert nnls_packing._solved(np.ones((2, 2)), np.array([6.0, 6])) == pytest.approx([1.5, 1.5])
+
+
 def test_plan_fills_windows_and_cuts_few_documents():
     random.seed(2)
     lengths = [random.randint(1, 6000) for _ in range(3000)]
