@@ -34,9 +34,10 @@ from incident_analytics.operators.clean import (
     select_existing,
 )
 from incident_analytics.operators.ranking import downsample, in_test
-from incident_analytics.sources.scratch import materialize, materialize_counted
+from incident_analytics.sources.scratch import materialize, materialize_counted, shuffles_removed, task_per_file
 
 VALUES_PER_TASK = 8_000_000  # feature values of training rows in one partition; about 8 bytes each where the forest keeps them
+ROWS_PER_FILE = 125_000  # of the split; with few enough features the forest reads these files, else smaller ones
 
 
 @dataclass(frozen=True)
@@ -181,27 +182,26 @@ def prepare_training(df: DataFrame, label: str = "Severity") -> DataFrame:
     return drop_non_finite(df, available_features(df).numeric)
 
 
-def spread(df: DataFrame, keys: Sequence[str], n_rows: int, n_features: int) -> DataFrame:
-    """The rows in as many partitions as keep each at about `VALUES_PER_TASK` feature values.
+def fit_severity(train: DataFrame, n_rows: int, rows_per_file: int, features: Features, cfg: TrainConfig) -> PipelineModel:
+    """`severity_model`, fitted stage by stage: the forest gets at most about `VALUES_PER_TASK` feature values in a task.
 
-    A forest holds each partition of its rows as one block, and a table's scan has partitions
-    by the size of its files, which says little about the size of that block.
-    Rows are in a fixed order, since the trees' samples are drawn by position.
+    A forest holds each partition of its rows as one block, and scans them several times before. So a
+    partition is a written file, of which the number of rows is bounded, rather than a shuffle: each scan
+    would repeat its exchange, and the model's summary would keep the files of the last one.
+    If files of `rows_per_file` rows hold too many values, the rows are written again in smaller ones.
+    Written rows have a fixed order, as the trees' samples, drawn by position, need it.
     """
-    parts = -(-n_rows * n_features // VALUES_PER_TASK)
-    if parts <= 1:
-        return df
-    return df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism), *keys).sortWithinPartitions(*keys)
-
-
-def fit_severity(train: DataFrame, keys: Sequence[str], n_rows: int, features: Features, cfg: TrainConfig) -> PipelineModel:
-    """`severity_model`, fitted stage by stage: the forest gets its rows in bounded partitions."""
     *stages, trees = severity_model(features, cfg).getStages()
     prepared = Pipeline(stages=stages).fit(train)
     labels = [s.labels for s in prepared.stages if isinstance(s, StringIndexerModel) and s.getOutputCol() != "label"]
     n_features = len(features.numeric) + len(features.boolean) + sum(map(len, labels))
-    model = trees.fit(prepared.transform(spread(train, keys, n_rows, n_features)))
-    return PipelineModel([*prepared.stages, model])
+    if n_rows * n_features <= VALUES_PER_TASK:
+        return PipelineModel([*prepared.stages, trees.fit(prepared.transform(train))])
+    bound = max(1, VALUES_PER_TASK // n_features)
+    if rows_per_file > bound:
+        train = materialize(train, "train", bound)
+    with task_per_file(train.sparkSession):
+        return PipelineModel([*prepared.stages, trees.fit(prepared.transform(train))])
 
 
 @dataclass(frozen=True)
@@ -218,23 +218,26 @@ def train_severity(df: DataFrame, keys: Sequence[str], cfg: TrainConfig = TrainC
     """Prepare, split by key hash, balance and fit.
 
     The source is read once: prepared rows are written with their part of the split,
-    only with the columns in use. The estimators scan the training rows many times, so
-    these are written again with their weights. Both writes count their rows.
+    only with the columns in use, and counted by this write. Training rows are a filter of
+    what was written, with a join to the few weights of classes; thinned ones are written.
     """
-    prepared = prepare_training(df, cfg.label)
+    spark, prepared = df.sparkSession, prepare_training(df, cfg.label)
     features = available_features(prepared)
     used = select_existing(prepared, list(dict.fromkeys([*keys, cfg.label, *features.all])))
-    split, rows = materialize_counted(
-        used.withColumn("_test", in_test(cfg.label, keys, cfg.test_fraction, cfg.seed)), "split",
-        test_rows=F.count_if("_test"))
+    with shuffles_removed(spark):
+        split, rows = materialize_counted(
+            used.withColumn("_test", in_test(cfg.label, keys, cfg.test_fraction, cfg.seed)), "split", ROWS_PER_FILE, "zstd",
+            test_rows=F.count_if("_test"), train_rows=F.count_if(~F.col("_test")))
     train, test = split.filter(~F.col("_test")).drop("_test"), split.filter("_test").drop("_test")
     if cfg.use_downsample:
-        train = downsample(train, cfg.label, keys, cfg.downsample_ratio, cfg.seed)
+        train, thinned = materialize_counted(
+            downsample(train, cfg.label, keys, cfg.downsample_ratio, cfg.seed), "train", ROWS_PER_FILE, train_rows=F.count(F.lit(1)))
+        rows = rows | thinned
     if cfg.use_class_weight:
-        weights = class_weights(train, cfg.label, cfg.min_weight, cfg.max_weight)
+        weights = materialize(class_weights(train, cfg.label, cfg.min_weight, cfg.max_weight), "weights")
         train = with_class_weight(train, weights, cfg.label, cfg.weight)
-    train, fitted = materialize_counted(train, "train", train_rows=F.count(F.lit(1)))
-    return Trained(fit_severity(train, keys, fitted["train_rows"], features, cfg), features, train, test, fitted["train_rows"], rows["test_rows"])
+    model = fit_severity(train, rows["train_rows"], ROWS_PER_FILE, features, cfg)
+    return Trained(model, features, train, test, rows["train_rows"], rows["test_rows"])
 
 
 def model_labels(model: PipelineModel) -> list[str] | None:

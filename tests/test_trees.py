@@ -76,6 +76,36 @@ def test_forest_gets_rows_in_bounded_partitions(spark, monkeypatch):
     assert ml.model_labels(fit.model) == ["1", "2", "3", "4"]
 
 
+def _shuffle_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    found = [files.apply(i) for i in range(files.size())]
+    return {f.getName(): f.length() for f in found if f.getName().startswith("shuffle_")}
+
+
+def test_training_leaves_no_copies_of_its_rows(spark, monkeypatch):
+    lines = spark.range(60_000).repartition(4, "id").selectExpr(
+        "id ID", "1 + cast(id % 4 as int) Severity", "cast(id % 24 as int) hour", "id % 4 + xxhash64(id) % 10 / 20D Distance_mi",
+        "xxhash64(id, 1) % 1000 / 7D Temperature_F", "xxhash64(id, 2) % 1000 / 7D Humidity_pct", "xxhash64(id, 3) % 1000 / 7D Visibility_mi",
+        "concat('s', id % 5) State", "2020 year", "'2020-01' month")
+    df = lines.join(spark.range(60_000).selectExpr("id ID", "xxhash64(id, 4) % 1000 / 7D Pressure_in").hint("shuffle_merge"), "ID")
+    inner, plans = RandomForestClassifier.fit, []
+
+    def spied(self, data, *args):
+        plans.append(data._jdf.queryExecution().executedPlan().toString())
+        return inner(self, data, *args)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", spied)
+    monkeypatch.setattr(ml, "VALUES_PER_TASK", 200_000)  # of 13 features: 15,384 rows
+    names = ["spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.files.openCostInBytes"]
+    before, held = [spark.conf.get(n) for n in names], _shuffle_bytes(spark)
+    fit = ml.train_severity(df, ["ID"])
+    left = sum(size for name, size in _shuffle_bytes(spark).items() if name not in held)
+    assert fit.train_rows + fit.test_rows == 60_000 and fit.train.count() == fit.train_rows
+    assert len(plans) == 1 and "hashpartitioning" not in plans[0]  # the forest scans its rows several times
+    assert left < 1_000_000  # the rows take more than that in each shuffle
+    assert [spark.conf.get(n) for n in names] == before
+
+
 def test_categories_send_rows_left(spark):
     nodes = spark.createDataFrame(
         [(0, 0, 0, None, [1.0, 3.0], 1, 2, [3.0, 1.0]), (0, 1, None, None, None, None, None, [3.0, 0.0]), (0, 2, None, None, None, None, None, [0.0, 1.0])],
