@@ -56,6 +56,13 @@ def walked(t) -> DataFrame:
     return trees.walked_scores(ml.score(saved.fit.test, saved.fit.model), saved.nodes, LINE_ID, ml.TrainConfig().max_depth)
 
 
+def scored(t) -> DataFrame:
+    """The scored table of all order lines; the training comes first, so that its files and those of the joins don't meet."""
+    model = trained(t).fit.model
+    rows = t.ln("order_id", *fixed.SCORED_COLS, staged=True).withColumn("ID", F.col("order_id").cast("string"))
+    return ml.scored_table(rows, model)
+
+
 _LINES = """lines AS (
   SELECT order_id, line_no, part_id, supplier_id, pred_severity AS Severity, State, substr(md5(concat_ws('|',
     order_id, line_no, part_id, supplier_id, strftime(End_Time_ts, '%Y-%m-%d %H:%M:%S'), '42')), 1, 8) < '33333333' AS test
@@ -176,7 +183,7 @@ def _(t):
 @query("m08_scored_table")
 def _(t):
     """The scored table, with predicted severity and confidence."""
-    return ml.scored_table(t.ln().withColumn("ID", F.col("order_id").cast("string")), trained(t).fit.model)
+    return scored(t)
 
 
 @query("m08_scored_checks", ln_sql("""
@@ -184,9 +191,7 @@ SELECT order_id::VARCHAR AS ID, Severity, State, County, City, year, month, subs
   hour, weather_bucket, Weather_Condition, Distance_mi, Temperature_F, Humidity_pct, Visibility_mi,
   TRUE AS conf_within, TRUE AS is_severity FROM ln"""))
 def _(t):
-    rows = t.ln().withColumn("ID", F.col("order_id").cast("string"))
-    scored = ml.scored_table(rows, trained(t).fit.model)
-    return scored.select("*", _conf_within(), _is_severity()).drop("pred_severity", "pred_conf")
+    return scored(t).select("*", _conf_within(), _is_severity()).drop("pred_severity", "pred_conf")
 
 
 @query("m09_tree_nodes")

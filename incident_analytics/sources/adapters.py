@@ -15,11 +15,18 @@ from pyspark.sql import functions as F
 from incident_analytics import fixed_values as fixed
 from incident_analytics.functions import scalar as S
 from incident_analytics.operators import clean
+from incident_analytics.sources.scratch import materialize, shuffles_removed
 
 EVENT_SEVERITY = {"view": "1", "click": "2", "signup": "2", "purchase": "3", "error": "4"}
 GOODS_RULES = [("widget", "widget"), ("gear", "gear"), ("bolt", "bolt"), ("ring", "ring"),
                ("plate", "plate")]
 LINE_ID = ["order_id", "line_no", "part_id", "supplier_id", "End_Time_ts"]
+#: Columns of the view LN by the table that they need beside the order lines.
+OF_ORDERS = {"Start_Time_ts", "year", "month", "hour", "Severity", "State", "County"}
+OF_PARTS = {"City": "p_brand", "Weather_Condition": "p_name", "weather_bucket": "p_name"}
+OF_LINES = {"order_id": "l_orderkey", "line_no": "l_linenumber", "part_id": "l_partkey", "supplier_id": "l_suppkey",
+            "End_Time_ts": "l_shipdate", "pred_severity": "l_quantity", "pred_conf": "l_tax", "Distance_mi": "l_quantity",
+            "Temperature_F": "l_extendedprice", "Humidity_pct": "l_discount", "Visibility_mi": "l_tax"}
 
 
 class Tables:
@@ -66,13 +73,16 @@ class Tables:
         return clean.fill(placed.drop("user_id", "c_custkey"),
                           {"State": fixed.UNKNOWN, "City": fixed.UNKNOWN})
 
-    def ln(self, *cols: str) -> DataFrame:
+    def ln(self, *cols: str, staged: bool = False) -> DataFrame:
         """Order lines with order, customer, nation and part: the columns asked for.
 
         All joins are left joins on unique keys, which neither drop nor repeat a
         line. So a join that no asked column needs is left out, and customers
         are joined to the orders rather than to the lines: at most two joins
-        move the large table.
+        move the large table. Parts come first, since they make lines less wide.
+
+        With `staged`, lines with their parts are written, if both joins are needed:
+        the files that one join shuffles are gone before the other shuffles its own.
         """
         start = F.col("o_orderdate").cast("timestamp")
         every = {
@@ -100,15 +110,19 @@ class Tables:
         }
         asked = set(cols or every)
         lines = self("lineitem")
-        if asked & {"Start_Time_ts", "year", "month", "hour", "Severity", "State", "County"}:
+        if asked & OF_PARTS.keys():
+            part = self("part").select("p_partkey", "p_name", "p_brand")
+            lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+            if staged and asked & OF_ORDERS:
+                used = {c for name, c in (OF_LINES | OF_PARTS).items() if name in asked}
+                with shuffles_removed(self.spark):
+                    lines = materialize(lines.select("l_orderkey", *sorted(used - {"l_orderkey"})), "lines-parts", compression="zstd")
+        if asked & OF_ORDERS:
             orders = self("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
             if asked & {"State", "County"}:
                 same = F.col("o_custkey") == F.col("c_custkey")
                 orders = orders.join(self._customers().drop("c_name"), same, "left")
             lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        if asked & {"City", "Weather_Condition", "weather_bucket"}:
-            part = self("part").select("p_partkey", "p_name", "p_brand")
-            lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
         return lines.select(*[c.alias(name) for name, c in every.items() if name in asked])
 
 
