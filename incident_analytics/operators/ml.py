@@ -37,7 +37,7 @@ from incident_analytics.operators.ranking import downsample, in_test
 from incident_analytics.sources.scratch import materialize, materialize_counted, shuffles_removed, task_per_file
 
 VALUES_PER_TASK = 8_000_000  # feature values of training rows in one partition; about 8 bytes each where the forest keeps them
-ROWS_PER_FILE = 125_000  # of the split; with few enough features the forest reads these files, else smaller ones
+ROWS_PER_FILE = 250_000  # of the split; with few enough features the forest reads these files, else smaller ones
 
 
 @dataclass(frozen=True)

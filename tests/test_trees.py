@@ -82,26 +82,31 @@ def _shuffle_bytes(spark):
     return {f.getName(): f.length() for f in found if f.getName().startswith("shuffle_")}
 
 
-def test_training_leaves_no_copies_of_its_rows(spark, monkeypatch):
+@pytest.mark.parametrize("rows_per_file, read", [(15_000, "split"), (40_000, "train")])
+def test_training_leaves_no_copies_of_its_rows(spark, monkeypatch, rows_per_file, read):
     lines = spark.range(60_000).repartition(4, "id").selectExpr(
         "id ID", "1 + cast(id % 4 as int) Severity", "cast(id % 24 as int) hour", "id % 4 + xxhash64(id) % 10 / 20D Distance_mi",
         "xxhash64(id, 1) % 1000 / 7D Temperature_F", "xxhash64(id, 2) % 1000 / 7D Humidity_pct", "xxhash64(id, 3) % 1000 / 7D Visibility_mi",
         "concat('s', id % 5) State", "2020 year", "'2020-01' month")
     df = lines.join(spark.range(60_000).selectExpr("id ID", "xxhash64(id, 4) % 1000 / 7D Pressure_in").hint("shuffle_merge"), "ID")
-    inner, plans = RandomForestClassifier.fit, []
+    inner, plans, files, sizes = RandomForestClassifier.fit, [], [], []
 
     def spied(self, data, *args):
         plans.append(data._jdf.queryExecution().executedPlan().toString())
+        files.extend(data.inputFiles())
+        sizes.extend(r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect())
         return inner(self, data, *args)
 
     monkeypatch.setattr(RandomForestClassifier, "fit", spied)
     monkeypatch.setattr(ml, "VALUES_PER_TASK", 200_000)  # of 13 features: 15,384 rows
+    monkeypatch.setattr(ml, "ROWS_PER_FILE", rows_per_file, raising=False)
     names = ["spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.files.openCostInBytes"]
     before, held = [spark.conf.get(n) for n in names], _shuffle_bytes(spark)
-    fit = ml.train_severity(df, ["ID"])
+    fit = ml.train_severity(df, ["ID"], ml.TrainConfig(num_trees=1, max_depth=2))  # whose own shuffles are small
     left = sum(size for name, size in _shuffle_bytes(spark).items() if name not in held)
     assert fit.train_rows + fit.test_rows == 60_000 and fit.train.count() == fit.train_rows
     assert len(plans) == 1 and "hashpartitioning" not in plans[0]  # the forest scans its rows several times
+    assert sum(sizes) == fit.train_rows and max(sizes) <= 15_384 and any(f"/{read}-" in f for f in files)
     assert left < 1_000_000  # the rows take more than that in each shuffle
     assert [spark.conf.get(n) for n in names] == before
 
