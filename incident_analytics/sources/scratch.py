@@ -61,7 +61,8 @@ def task_per_file(spark: SparkSession):
 def materialize(df: DataFrame, name: str = "table", rows_per_file: int = 0, compression: str | None = None) -> DataFrame:
     """Write the frame to scratch and return a scan of what was written."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path, compression=compression)
+    writer = df.write.option("maxRecordsPerFile", rows_per_file) if rows_per_file else df.write
+    writer.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
